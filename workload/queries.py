@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from citeloom.functions import nested, predicates, scalars
 from citeloom.operators import grouping, joins, keys, ranking
@@ -31,7 +31,7 @@ def registered() -> dict[str, Query]:
     return dict(_REGISTERED)
 
 
-def _r6(*cs: str) -> list[F.Column]:
+def _r6(*cs: str) -> list[Column]:
     return [F.round(c, 6).alias(c) for c in cs]
 
 
@@ -667,7 +667,7 @@ def format_labels(spark, d):
         scalars.round_in_query(F.col("s_suppkey") / 2).alias("half_up"),
         scalars.label_text("<strong>%s</strong><br/>%s records", "s_name", scalars.format_thousands("s_suppkey")).alias("label"),
         scalars.n_choose_2("s_nationkey").alias("pairs"),
-        scalars.if_null_then(F.expr("nullif(s_nationkey, 1)"), "s_name", "Unknown").alias("nation"),
+        scalars.if_null_then(F.expr("cast(nullif(s_nationkey, 1) as string)"), "s_name", "Unknown").alias("nation"),
         *scalars.scaled_estimates("s_acctbal", {"fifth": 5.0, "twentieth": 20.0}),
     )
 

@@ -8,7 +8,7 @@ them needs no grouping and grows with the tables.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from citeloom.functions.predicates import fix_duplicate_labels
 from citeloom.operators.joins import union_all
@@ -126,7 +126,7 @@ def funding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def taxonomy_nodes(spark: SparkSession, sf_dir: str, deep: bool = False) -> DataFrame:
     """Regions, nations, suppliers and (deep) parts as levels 0 to 3, labels corrected."""
-    def level(table: str, letter: str, key: str, label: F.Column, n: int) -> DataFrame:
+    def level(table: str, letter: str, key: str, label: Column, n: int) -> DataFrame:
         return load(spark, sf_dir, table).select(
             F.concat(F.lit(letter), F.col(key)).alias("category_id"), F.lit(n).cast("long").alias("level"), label.alias("display_name")
         )
