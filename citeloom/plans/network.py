@@ -26,16 +26,23 @@ def small_teams(affiliation: DataFrame, record: str, max_team_size: int) -> Data
 def _teams(affiliation: DataFrame, record: str, unit: str) -> DataFrame:
     """One row per record: its distinct organisation sets and the authors sharing each.
 
-    A list has at most as many entries as a small team has authors. Authors without a known
-    organisation take part in no pair and are left out here.
+    A list has at most as many entries as a small team has authors, and it is gathered in
+    one grouping by record. Authors without a known organisation take part in no pair and
+    are left out here.
     """
-    sets = (
-        affiliation.where(F.col(unit).isNotNull())
-        .groupBy(record, "contribution_id")
-        .agg(F.array_sort(F.collect_set(unit)).alias("orgs"))
-    )
-    shared_sets = sets.groupBy(record, "orgs").agg(F.count(F.lit(1)).cast("double").alias("authors"))
-    return shared_sets.groupBy(record).agg(F.collect_list(F.struct("orgs", "authors")).alias("team"))
+    link = F.struct(F.col("contribution_id").alias("author"), F.col(unit).alias("org"))
+    links = affiliation.where(F.col(unit).isNotNull()).groupBy(record).agg(F.collect_set(link).alias("links"))
+
+    def orgs_of(author: Column) -> Column:
+        return F.sort_array(F.transform(F.filter("links", lambda x: x["author"] == author), lambda x: x["org"]))
+
+    def shared_set(orgs: Column) -> Column:
+        authors = F.size(F.filter("sets", lambda s: s == orgs)).cast("double")
+        return F.struct(orgs.alias("orgs"), authors.alias("authors"))
+
+    authors = F.array_distinct(F.transform("links", lambda x: x["author"]))
+    sets = links.select(record, F.transform(authors, orgs_of).alias("sets"))
+    return sets.select(record, F.transform(F.array_distinct("sets"), shared_set).alias("team"))
 
 
 def _author_pairs(team: Column) -> Column:
@@ -45,15 +52,17 @@ def _author_pairs(team: Column) -> Column:
     the same rows. Of the k x m organisation combinations of two sets with s shared ones,
     k*m - C(s,2) are distinct as unordered pairs, and each combination weighs that number.
     """
-    def pair(x: Column, y: Column, place: Column) -> Column:
-        same = place == 0
+    def pair(x: Column, y: Column, shared: Column, author_pairs: Column) -> Column:
         return F.struct(
-            x["orgs"].alias("left"),
-            y["orgs"].alias("right"),
-            F.when(same, x["orgs"]).otherwise(F.array_intersect(x["orgs"], y["orgs"])).alias("shared"),
-            F.when(same, n_choose_2(x["authors"])).otherwise(x["authors"] * y["authors"]).alias("pairs"),
+            x["orgs"].alias("left"), y["orgs"].alias("right"), shared.alias("shared"), author_pairs.alias("pairs")
         )
 
+    def across(x: Column, y: Column) -> Column:
+        return pair(x, y, F.array_intersect(x["orgs"], y["orgs"]), x["authors"] * y["authors"])
+
+    def within(x: Column) -> Column:
+        return pair(x, x, x["orgs"], n_choose_2(x["authors"]))
+
     def weigh(p: Column) -> Column:
         combined = F.size(p["left"]).cast("double") * F.size(p["right"]).cast("double")
         distinct_pairs = combined - n_choose_2(F.size(p["shared"]))
@@ -67,13 +76,11 @@ def _author_pairs(team: Column) -> Column:
             F.when(external, combined).otherwise(F.size(p["shared"]).cast("double")).alias("rows"),
         )
 
-    listed = F.flatten(
-        F.transform(
-            team,
-            lambda x, i: F.transform(F.slice(team, i + 1, F.size(team)), lambda y, j: pair(x, y, j)),
-        )
+    different = F.flatten(
+        F.transform(team, lambda x, i: F.transform(F.slice(team, i + 2, F.size(team)), lambda y: across(x, y)))
     )
-    return F.transform(F.filter(listed, lambda p: p["pairs"] > 0), weigh)
+    same = F.transform(F.filter(team, lambda x: x["authors"] > 1), within)
+    return F.transform(F.concat(different, same), weigh)
 
 
 def collaboration_edges(
@@ -93,7 +100,9 @@ def collaboration_edges(
     teams = _teams(small_teams(base, record, max_team_size), record, level)
     pairs = teams.select(_author_pairs(F.col("team")).alias("pairs"))
     total = F.aggregate("pairs", F.lit(0.0), lambda acc, p: acc + p["weight"] * p["rows"])
-    scaled = pairs.select(total.alias("_total"), F.explode("pairs").alias("p")).select(
+    # The outer form: for the plain one the planner adds a filter that builds all pairs twice.
+    each = pairs.select("pairs", total.alias("_total")).select("_total", F.explode_outer("pairs").alias("p"))
+    scaled = each.where(F.col("p").isNotNull()).select(
         "p.left", "p.right", "p.shared", "p.is_ext", (F.col("p.weight") / F.col("_total")).alias("row_weight")
     )
     one_end = scaled.select(
