@@ -31,16 +31,22 @@ def all_null_flag(df: DataFrame, key: str, c: str, out: str) -> DataFrame:
     return attach_group(df.where(F.col(key).isNotNull()), [key], (F.count(c) == 0).alias(out))
 
 
-def filter_flagged(df: DataFrame, key: str, c: str) -> DataFrame:
-    """Drop rows with a null ``c`` where the key has more than one row.
+def filter_flagged(records: DataFrame, lines: DataFrame, key: str, c: str) -> DataFrame:
+    """Records with their lines, without the lines that only say "none".
 
-    Adds ``nb_rows``, the number of rows of the key that are left.
+    A record without lines keeps one row. Of several lines those with a null ``c`` are
+    dropped, and with them a record that has no other line. ``nb_rows`` is the number of
+    rows a record has left. The counts come from the lines alone, so the records are read
+    once.
     """
-    known = df.where(F.col(key).isNotNull())
-    counted = attach_group(known, [key], F.count(F.lit(1)).alias("_n"), F.count(c).alias("_filled"))
+    n, filled = F.col("_n"), F.col("_filled")
+    counts = lines.groupBy(key).agg(F.count(F.lit(1)).alias("_n"), F.count(c).alias("_filled"))
+    single = F.coalesce(n, F.lit(1)) == 1
+    alive = records.join(counts, key, "left").where(single | (filled > 0))
     return (
-        counted.where((F.col("_n") == 1) | F.col(c).isNotNull())
-        .withColumn("nb_rows", F.when(F.col("_n") == 1, F.lit(1)).otherwise(F.col("_filled")))
+        alive.join(lines, key, "left")
+        .where(single | F.col(c).isNotNull())
+        .withColumn("nb_rows", F.when(single, F.lit(1)).otherwise(filled))
         .drop("_n", "_filled")
     )
 
@@ -53,16 +59,20 @@ def sample_keys(df: DataFrame, key: str, n: int, seed: int = 42) -> DataFrame:
     return df.join(chosen, key, "left_semi")
 
 
-def fractional_count(df: DataFrame, record: str, keys: Sequence[str], out: str = "nb_records") -> DataFrame:
+def fractional_count(
+    df: DataFrame, record: str, keys: Sequence[str], out: str = "nb_records", distinct: bool = False
+) -> DataFrame:
     """Every record counts 1 in total, spread evenly over its rows; summed per ``keys``.
 
-    Rows without a record id are left out first, also because the filter then stands in both
+    With ``distinct`` it is spread over the different ``keys`` of the record instead. Rows
+    without a record id are left out first, also because the filter then stands in both
     inputs of the join, which lets them share one scan and one exchange.
     """
-    known = df.where(F.col(record).isNotNull())
-    cells = known.groupBy(record, *keys).agg(F.count(F.lit(1)).alias("_rows"))
-    spread = attach_group(cells, [record], F.sum("_rows").alias("_all"))
-    return spread.groupBy(*keys).agg(F.sum(F.col("_rows") / F.col("_all")).alias(out))
+    known = df.where(F.col(record).isNotNull()).select(record, *keys)
+    rows = F.lit(1) if distinct else F.col("_rows")
+    cells = known.distinct() if distinct else known.groupBy(record, *keys).agg(F.count(F.lit(1)).alias("_rows"))
+    spread = attach_group(cells, [record], F.sum(rows).alias("_all"))
+    return spread.groupBy(*keys).agg(F.sum(rows / F.col("_all")).alias(out))
 
 
 def two_level_totals(df: DataFrame, parent: Sequence[str], child: Sequence[str], value: str, leaf: str, total: str) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from citeloom.functions.scalars import n_choose_2, pair_sorted
-from citeloom.operators.grouping import fractional_count, sample_keys
+from citeloom.operators.grouping import attach_group, sample_keys
 from citeloom.operators.joins import keep_keys_of, union_distinct_keys
 
 MAX_TEAM_SIZE = 20
@@ -123,10 +123,13 @@ def collaboration_nodes(
 ) -> DataFrame:
     """Nodes of the network: fractional contributions and number of records per organisation."""
     teams = small_teams(affiliation, record, max_team_size).where(F.col("org_id").isNotNull())
-    shares = fractional_count(teams, record, ["org_id"], "nb_contributions")
-    spans = teams.groupBy("org_id").agg(F.count_distinct(record).alias("nb_records"))
-    ends = union_distinct_keys(edges)
-    return ends.join(shares, "org_id").join(spans, "org_id").join(organisations, "org_id")
+    cells = teams.groupBy(record, "org_id").agg(F.count(F.lit(1)).alias("_rows"))
+    figures = (
+        attach_group(cells, [record], F.sum("_rows").alias("_all"))
+        .groupBy("org_id")
+        .agg(F.sum(F.col("_rows") / F.col("_all")).alias("nb_contributions"), F.count(F.lit(1)).alias("nb_records"))
+    )
+    return union_distinct_keys(edges).join(figures, "org_id").join(organisations, "org_id")
 
 
 def collaboration_network(

@@ -95,6 +95,16 @@ def _median(c: str) -> Column:
     return round_in_query(F.median(c), 1)
 
 
+def _row_mean(c: str, n: str = "n") -> Column:
+    """Mean over the rows behind cells that stand for ``n`` rows each."""
+    filled = F.when(F.col(c).isNotNull(), F.col(n))
+    return round_in_query(F.sum(F.col(c) * F.col(n)) / F.sum(filled), 1)
+
+
+def _row_median(c: str, n: str = "n") -> Column:
+    return round_in_query(weighted_median(c, n), 1)
+
+
 def _headline(df: DataFrame, value: Column) -> DataFrame:
     return df.agg(format_thousands(F.coalesce(value, F.lit(0))).alias("hero"))
 
@@ -183,16 +193,11 @@ def report_countries(tables: Tables, years: Years = None) -> Report:
         .join(tables["organisations"].select("org_id", "country_code"), "org_id", "left")
     )
     cells = rows.groupBy("country_code", "lens_id", "nb_authors", "year_published").agg(F.count(F.lit(1)).alias("n"))
-
-    def row_mean(c: str) -> Column:
-        filled = F.when(F.col(c).isNotNull(), F.col("n"))
-        return round_in_query(F.sum(F.col(c) * F.col("n")) / F.sum(filled), 1)
-
     grouped = cells.groupBy("country_code").agg(
         F.count("lens_id").alias("nb_records"),
-        row_mean("nb_authors").alias("avg_nb_authors"),
-        round_in_query(weighted_median("nb_authors", "n"), 1).alias("median_nb_authors"),
-        row_mean("year_published").alias("avg_year"),
+        _row_mean("nb_authors").alias("avg_nb_authors"),
+        _row_median("nb_authors").alias("median_nb_authors"),
+        _row_mean("year_published").alias("avg_year"),
     )
     shares = share_of_total(stage(grouped, "countries"), "nb_records", "share_records")
     named = join_lookup_code(filter_null_any(shares), tables["countries"], "country_code", "country_code", "country", {"??": "unknown"})
@@ -218,13 +223,21 @@ def report_funders(tables: Tables, years: Years = None, minimum: float = 10, n:
         .select("lens_id", "org", if_null_then("funding_id", "org", "Unknown").alias("funding_id"), "country")
         .distinct()
     )
-    kept = filter_flagged(records.join(lines, "lens_id", "left"), "lens_id", "org")
-    grouped = kept.groupBy("org", "country").agg(
-        F.sum(F.lit(1.0) / F.col("nb_rows")).alias("nb_records"),
-        F.count_distinct("funding_id").alias("nb_projects"),
-        _mean("nb_authors").alias("avg_nb_authors"),
-        _median("nb_authors").alias("median_nb_authors"),
-        _mean("year_published").alias("avg_year"),
+    kept = filter_flagged(records, lines, "lens_id", "org")
+    # One pass counts the rows per project and per measure; both counts are combined on the
+    # map side, and the distinct projects, shares, means and the median follow from them.
+    funder, measures = ["org", "country"], ["nb_authors", "year_published"]
+    cells = kept.groupingSets([[*funder, "funding_id"], [*funder, *measures]], *funder, "funding_id", *measures).agg(
+        F.sum(F.lit(1.0) / F.col("nb_rows")).alias("part"),
+        F.count(F.lit(1)).alias("n"),
+        (F.grouping("funding_id") == 0).alias("is_project"),
+    )
+    grouped = cells.groupBy(*funder).agg(
+        F.sum(F.when(~F.col("is_project"), F.col("part"))).alias("nb_records"),
+        F.count(F.when(F.col("is_project"), F.col("funding_id"))).alias("nb_projects"),
+        _row_mean("nb_authors").alias("avg_nb_authors"),
+        _row_median("nb_authors").alias("median_nb_authors"),
+        _row_mean("year_published").alias("avg_year"),
     )
     shares = share_of_total(stage(grouped, "funders"), "nb_records", "share_records")
     shares = share_of_total(shares, "nb_projects", "share_projects")
@@ -266,14 +279,11 @@ def discipline_counts(linked: DataFrame, marker: str) -> DataFrame:
     """Fractional records (nb_1) per domain and discipline.
 
     Each record counts 1 over the distinct (domain, discipline) pairs of its linked
-    categories. ``marker`` is the letter that ids of real categories hold.
+    categories. ``marker`` is the letter that ids of real categories hold. A known category
+    makes its record a linked one, so ``is_not_linked`` need not be looked at.
     """
-    cells = (
-        linked.where(F.col("category_id").isNotNull() & ~F.col("is_not_linked") & F.col("parent_1").contains(marker))
-        .select("lens_id", *DOMAIN, *DISCIPLINE)
-        .distinct()
-    )
-    return fractional_count(cells, "lens_id", [*DOMAIN, *DISCIPLINE], "nb_1")
+    known = linked.where(F.col("category_id").isNotNull() & F.col("parent_1").contains(marker))
+    return fractional_count(known, "lens_id", [*DOMAIN, *DISCIPLINE], "nb_1", distinct=True)
 
 
 def flow_domain_discipline(flows: DataFrame) -> DataFrame:

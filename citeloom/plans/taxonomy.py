@@ -4,13 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from citeloom.functions.nested import array_filter_map
 from citeloom.functions.scalars import strip_prefix
-from citeloom.operators.grouping import attach_group, children_per_parent
+from citeloom.operators.grouping import children_per_parent
 from citeloom.operators.joins import union_all
-from citeloom.session import stage
 
 # The id namespace and the markers of the stored hierarchy.
 ID_NAMESPACE = "https://openalex.org/"
@@ -105,44 +104,47 @@ def build_taxonomy_nodes(topics: DataFrame, namespace: str = ID_NAMESPACE) -> di
     return {"nodes": nodes, "parents": parents, "siblings": siblings}
 
 
-def _known_edges(nodes: DataFrame, edges: DataFrame) -> DataFrame:
-    """Edges whose parent is a node; edges to removed nodes vanish."""
-    parents = nodes.select(F.col("category_id").alias("parent"))
-    return edges.select("category_id", "parent").distinct().join(parents, "parent", "left_semi")
+def _resolved(nodes: DataFrame, edges: DataFrame, max_level: int) -> DataFrame:
+    """Nodes with the ids and labels of their level-1 and level-0 ancestors.
 
-
-def _ancestors(nodes: DataFrame, edges: DataFrame, max_level: int) -> DataFrame:
-    """(category_id, parent_1, parent_0) for every path, level by level from the top.
-
-    Level k looks up the finished rows of level k-1 through its parent edges, so each level
-    costs one join and rows are distinct per level: many paths to the same pair of ancestors
-    stay one row.
+    One row per node and distinct pair of ancestors. Level k looks up the finished rows of
+    level k-1 through its parent edges, so a level costs two joins, edges to removed nodes
+    find nothing and vanish, and many paths to the same ancestors stay one row.
     """
+    found = ["parent_1", "parent_0", "display_name_1", "display_name_0"]
+
     def at(level: int) -> DataFrame:
-        return nodes.where(F.col("level") == level).select("category_id")
+        return nodes.where(F.col("level") == level)
 
     def or_none(c: str) -> Column:
-        return F.coalesce(F.col(c), F.lit(NO_ANCESTOR)).alias(c)
-
-    known = _known_edges(nodes, edges)
-    top = at(0).select("category_id", F.lit(NOT_APPLICABLE).alias("parent_1"), F.col("category_id").alias("parent_0"))
-    done = [top]
-    if max_level >= 1:
-        first = at(1).join(known, "category_id", "left").select(
-            "category_id",
-            F.col("category_id").alias("parent_1"),
-            F.coalesce("parent", F.lit(NO_ANCESTOR)).alias("parent_0"),
+        return F.coalesce(F.col(c), F.lit(NO_ANCESTOR))
+
+    nothing = F.lit(None).cast("string")
+    own_id, own_name = F.col("category_id"), F.col("display_name")
+    done = [
+        at(0).select("*", F.lit(NOT_APPLICABLE).alias("parent_1"), own_id.alias("parent_0"),
+                     nothing.alias("display_name_1"), own_name.alias("display_name_0"))
+    ]
+    for level in range(1, max_level + 1):
+        above = done[-1].select(F.col("category_id").alias("parent"), *found)
+        upward = edges.select("category_id", "parent").join(above, "parent").drop("parent").distinct()
+        here = at(level).join(upward, "category_id", "left")
+        first = level == 1
+        done.append(
+            here.select(
+                *nodes.columns,
+                (own_id if first else or_none("parent_1")).alias("parent_1"),
+                or_none("parent_0").alias("parent_0"),
+                (own_name if first else F.col("display_name_1")).alias("display_name_1"),
+                "display_name_0",
+            ).distinct()
         )
-        done.append(first.distinct())
-    for level in range(2, max_level + 1):
-        above = done[-1].withColumnRenamed("category_id", "parent")
-        here = at(level).join(known, "category_id", "left").join(above, "parent", "left")
-        done.append(here.select("category_id", or_none("parent_1"), or_none("parent_0")).distinct())
     return union_all(*done)
 
 
-def _with_labels(df: DataFrame, names: DataFrame, parent: str, out: str) -> DataFrame:
-    return df.join(names.select(F.col("category_id").alias(parent), F.col("display_name").alias(out)), parent, "left")
+def _distinct_parents(parent: str) -> Column:
+    """Number of different ancestors of a category; it has at most one row per pair of them."""
+    return F.size(F.collect_set(parent).over(W.partitionBy("category_id"))).cast("long").alias(f"nb_{parent}")
 
 
 def resolve_hierarchy(nodes: DataFrame, parent_edges: DataFrame, max_level: int = 5) -> DataFrame:
@@ -152,19 +154,10 @@ def resolve_hierarchy(nodes: DataFrame, parent_edges: DataFrame, max_level: int
     category to a parent one level up. A missing ancestor is ``'0'`` and the discipline of a
     domain is ``'N/A'``; both count as values in nb_parent_1 and nb_parent_0.
     """
-    pairs = stage(_ancestors(nodes, parent_edges, max_level), "ancestors")
-    counted = attach_group(
-        pairs,
-        ["category_id"],
-        F.count_distinct("parent_1").alias("nb_parent_1"),
-        F.count_distinct("parent_0").alias("nb_parent_0"),
-    )
-    named = nodes.select("category_id", "level", "display_name", "raw_display_name").join(counted, "category_id")
-    for parent, out in (("parent_1", "display_name_1"), ("parent_0", "display_name_0")):
-        named = _with_labels(named, nodes, parent, out)
-    return named.select(
+    wanted = nodes.select("category_id", "level", "display_name", "raw_display_name")
+    return _resolved(wanted, parent_edges, max_level).select(
         "category_id", "level", "display_name", "raw_display_name", "parent_1", "parent_0",
-        "display_name_1", "display_name_0", "nb_parent_1", "nb_parent_0",
+        "display_name_1", "display_name_0", _distinct_parents("parent_1"), _distinct_parents("parent_0"),
     )
 
 
@@ -173,25 +166,24 @@ def resolve_topic_hierarchy(nodes: DataFrame, parent_edges: DataFrame) -> DataFr
 
     Levels 0 to 2 follow the edges, topics (level 3) carry their ancestors in columns.
     """
-    upper = nodes.where(F.col("level") < 3)
-    pairs = _ancestors(upper, parent_edges, 2)
-    resolved = upper.select("category_id", "level", "display_name").join(pairs, "category_id").select(
-        "category_id", "level", "display_name",
-        F.when(F.col("level") == 2, F.col("category_id")).otherwise(NOT_APPLICABLE).alias("parent_2"),
-        "parent_1", "parent_0",
+    upper = nodes.where(F.col("level") < 3).select("category_id", "level", "display_name")
+    is_subfield = F.col("level") == 2
+    resolved = _resolved(upper, parent_edges, 2).select(
+        "*",
+        F.when(is_subfield, F.col("category_id")).otherwise(NOT_APPLICABLE).alias("parent_2"),
+        F.when(is_subfield, F.col("display_name")).alias("display_name_2"),
     )
     leaves = nodes.where(F.col("level") == 3).select(
         "category_id", "level", "display_name",
         F.col("subfield_id").alias("parent_2"), F.col("field_id").alias("parent_1"), F.col("domain_id").alias("parent_0"),
     )
-    rows = stage(union_all(resolved, leaves).distinct(), "topics")
     parents = ("parent_2", "parent_1", "parent_0")
-    named = attach_group(rows, ["category_id"], *[F.count_distinct(p).alias(f"nb_{p}") for p in parents])
     for parent in parents:
-        named = _with_labels(named, upper, parent, f"display_name_{parent[-1]}")
-    return named.select(
+        names = upper.select(F.col("category_id").alias(parent), F.col("display_name").alias(f"display_name_{parent[-1]}"))
+        leaves = leaves.join(names, parent, "left")
+    return union_all(resolved, leaves).distinct().select(
         "category_id", "level", "display_name", *parents,
-        *[f"display_name_{p[-1]}" for p in parents], *[f"nb_{p}" for p in parents],
+        *[f"display_name_{p[-1]}" for p in parents], *[_distinct_parents(p) for p in parents],
     )
 
 
@@ -207,4 +199,4 @@ def link_categories(cats: DataFrame, hierarchy: DataFrame, record: str, value: s
     flags = (
         known.join(labels, label, "left").groupBy(record).agg((F.count("_known") == 0).alias("is_not_linked"))
     )
-    return known.join(hierarchy, label, "left").join(flags, record)
+    return known.join(hierarchy, label, "left").join(flags, record, "left")
