@@ -37,6 +37,15 @@ def round_in_query(c: ColumnOrName, digits: int = 0) -> Column:
     return F.round(_col(c), digits)
 
 
+def settled(c: Column) -> Column:
+    """A sum of fractions to 9 places.
+
+    The last digits of such a sum depend on the order of addition. Without them equal sums
+    are equal, so that thresholds, ties and half-way roundings come out the same every time.
+    """
+    return F.round(c, 9)
+
+
 def n_choose_2(c: ColumnOrName) -> Column:
     """Number of unordered pairs, kept as a double so that no decimal scale cuts it."""
     n = _col(c).cast("double")

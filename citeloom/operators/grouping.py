@@ -12,6 +12,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
+from citeloom.functions.scalars import settled
+
 
 def attach_group(df: DataFrame, keys: Sequence[str], *stats: Column) -> DataFrame:
     """Add per-key statistics to every row. Rows with a null key get null statistics.
@@ -72,7 +74,7 @@ def fractional_count(
     rows = F.lit(1) if distinct else F.col("_rows")
     cells = known.distinct() if distinct else known.groupBy(record, *keys).agg(F.count(F.lit(1)).alias("_rows"))
     spread = attach_group(cells, [record], F.sum(rows).alias("_all"))
-    return spread.groupBy(*keys).agg(F.sum(rows / F.col("_all")).alias(out))
+    return spread.groupBy(*keys).agg(settled(F.sum(rows / F.col("_all"))).alias(out))
 
 
 def two_level_totals(df: DataFrame, parent: Sequence[str], child: Sequence[str], value: str, leaf: str, total: str) -> DataFrame:

@@ -1,14 +1,14 @@
 """Shares, percentile ranks and top lists.
 
 All of them work on grouped tables. Totals come from a scalar subquery and ranks from a
-range-partitioned running total, so no step gathers a table in one task.
+range-partitioned running total, so no step gathers a table of unknown size in one task.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from citeloom.operators.keys import running_total
 
@@ -47,9 +47,16 @@ def percent_rank_within(df: DataFrame, groups: Sequence[str], c: str, out: str)
     return df.alias("l").join(ranks.alias("r"), match, "left").select("l.*", f"r.{out}")
 
 
-def percent_rank_groups(df: DataFrame, c: str, out: str) -> DataFrame:
-    """``percent_rank`` of group totals over the whole grouped table."""
-    return percent_rank_within(df, [], c, out)
+def percent_rank_groups(df: DataFrame, c: str, out: str, one_task_rows: int = 100_000) -> DataFrame:
+    """``percent_rank`` of group totals over a whole staged table of groups.
+
+    The table is counted first: up to ``one_task_rows`` groups are ranked by a plain window,
+    which runs in one task; more groups are ranked by many tasks.
+    """
+    if df.limit(one_task_rows + 1).count() > one_task_rows:
+        return percent_rank_within(df, [], c, out)
+    ranked = F.percent_rank().over(W.partitionBy(F.col(c).isNull()).orderBy(c))
+    return df.withColumn(out, F.when(F.col(c).isNotNull(), ranked))
 
 
 def sort_desc(df: DataFrame, cs: Sequence[str], tie: Sequence[str] = ()) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from citeloom.functions.scalars import n_choose_2, pair_sorted
+from citeloom.functions.scalars import n_choose_2, pair_sorted, settled
 from citeloom.operators.grouping import attach_group, sample_keys
 from citeloom.operators.joins import keep_keys_of, union_distinct_keys
 
@@ -114,7 +114,7 @@ def collaboration_edges(
         F.explode(F.when(F.col("is_ext"), F.col("right")).otherwise(F.array("_l"))).alias("_r"),
     )
     low, high = pair_sorted("_l", "_r")
-    return both_ends.groupBy(low.alias("from"), high.alias("to"), "is_ext").agg(F.sum("row_weight").alias("weight"))
+    return both_ends.groupBy(low.alias("from"), high.alias("to"), "is_ext").agg(settled(F.sum("row_weight")).alias("weight"))
 
 
 def collaboration_nodes(
@@ -127,7 +127,7 @@ def collaboration_nodes(
     figures = (
         attach_group(cells, [record], F.sum("_rows").alias("_all"))
         .groupBy("org_id")
-        .agg(F.sum(F.col("_rows") / F.col("_all")).alias("nb_contributions"), F.count(F.lit(1)).alias("nb_records"))
+        .agg(settled(F.sum(F.col("_rows") / F.col("_all"))).alias("nb_contributions"), F.count(F.lit(1)).alias("nb_records"))
     )
     return union_distinct_keys(edges).join(figures, "org_id").join(organisations, "org_id")
 

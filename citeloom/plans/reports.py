@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from citeloom.functions.predicates import filter_null_any, filter_null_subset, filter_optional_threshold, filter_year_range
 from citeloom.functions.scalars import (
-    bin_edges, bin_of, format_thousands, if_null_then, label_text, round_after_fetch, round_in_query, scaled_estimates,
+    bin_edges, bin_of, format_thousands, if_null_then, label_text, round_after_fetch, round_in_query, scaled_estimates, settled,
 )
 from citeloom.operators.grouping import count_distinct_pair, filter_flagged, fractional_count, trend_line, weighted_median
 from citeloom.operators.joins import join_lookup_code, join_many_to_many, keep_keys_of, union_distinct_keys
@@ -233,7 +233,7 @@ def report_funders(tables: Tables, years: Years = None, minimum: float = 10, n:
         (F.grouping("funding_id") == 0).alias("is_project"),
     )
     grouped = cells.groupBy(*funder).agg(
-        F.sum(F.when(~F.col("is_project"), F.col("part"))).alias("nb_records"),
+        settled(F.sum(F.when(~F.col("is_project"), F.col("part")))).alias("nb_records"),
         F.count(F.when(F.col("is_project"), F.col("funding_id"))).alias("nb_projects"),
         _row_mean("nb_authors").alias("avg_nb_authors"),
         _row_median("nb_authors").alias("median_nb_authors"),
@@ -296,8 +296,8 @@ def report_domains_disciplines(tables: Tables, years: Years = None, marker: str
     records = filter_year_range(tables["records"], "year_published", years).select("lens_id")
     data = tables["categories"].join(records, "lens_id", "left_semi")
     leaves = stage(discipline_counts(data, marker), "flows")
-    domains = stage(leaves.groupBy(*DOMAIN).agg(F.sum("nb_1").alias("nb_0")), "domains")
-    disciplines = stage(leaves.groupBy(*DISCIPLINE).agg(F.sum("nb_1").alias("nb_1_total")), "disciplines")
+    domains = stage(leaves.groupBy(*DOMAIN).agg(settled(F.sum("nb_1")).alias("nb_0")), "domains")
+    disciplines = stage(leaves.groupBy(*DISCIPLINE).agg(settled(F.sum("nb_1")).alias("nb_1_total")), "disciplines")
     ranked = leaves.join(
         percent_rank_groups(domains, "nb_0", "percentile_0").select("parent_0", "nb_0", "percentile_0"), "parent_0"
     ).join(percent_rank_groups(disciplines, "nb_1_total", "percentile_1").select("parent_1", "percentile_1"), "parent_1")

@@ -48,7 +48,9 @@ def test_percent_rank_equals_the_window_function(spark, partitions, hot):
 
 def test_nulls_are_not_ranked(spark):
     df = spark.createDataFrame([("a", 1.0), ("b", None), ("c", 3.0), ("d", 3.0)], "k string, v double")
-    assert rows(ranking.percent_rank_groups(df, "v", "p"), "k", "p") == [("a", 0.0), ("b", None), ("c", 0.5), ("d", 0.5)]
+    for one_task_rows in (0, 100):
+        got = rows(ranking.percent_rank_groups(df, "v", "p", one_task_rows), "k", "p")
+        assert got == [("a", 0.0), ("b", None), ("c", 0.5), ("d", 0.5)]
 
 
 def test_shares_add_up_to_100(spark):

@@ -10,6 +10,8 @@ from __future__ import annotations
 LO, HI = 1996, 2000
 TOTAL = "sum({0}) OVER ()"
 
+# Sums of fractions are taken to 9 places, where the order of addition no longer shows.
+
 # --- shared blocks ---------------------------------------------------------------------
 
 TEAMS = "teams AS (SELECT l_orderkey AS lens_id, count(DISTINCT l_linenumber) AS nb_authors FROM lineitem GROUP BY 1)"
@@ -51,7 +53,7 @@ joined AS (
 kept AS (
   SELECT *, count(*) OVER (PARTITION BY lens_id) AS k FROM joined WHERE NOT (n > 1 AND org IS NULL)),
 grouped AS (
-  SELECT org, country, sum(1.0::DOUBLE / k) AS nb_records, count(DISTINCT funding_id) AS nb_projects,
+  SELECT org, country, round(sum(1.0::DOUBLE / k), 9) AS nb_records, count(DISTINCT funding_id) AS nb_projects,
          round(avg(nb_authors), 1) AS avg_nb_authors, round(median(nb_authors), 1) AS median_nb_authors,
          round(avg(year_published), 1) AS avg_year
   FROM kept GROUP BY org, country),
@@ -93,12 +95,12 @@ cells AS (
   FROM recent_links WHERE category_id IS NOT NULL AND NOT is_not_linked),
 weighed AS (SELECT *, count(*) OVER (PARTITION BY lens_id) AS k FROM cells),
 leaves AS (
-  SELECT parent_0, display_name_0, parent_1, display_name_1, sum(1.0::DOUBLE / k) AS nb_1
+  SELECT parent_0, display_name_0, parent_1, display_name_1, round(sum(1.0::DOUBLE / k), 9) AS nb_1
   FROM weighed GROUP BY ALL),
 domains AS (
-  SELECT parent_0, sum(nb_1) AS nb_0, percent_rank() OVER (ORDER BY sum(nb_1)) AS percentile_0 FROM leaves GROUP BY 1),
+  SELECT parent_0, round(sum(nb_1), 9) AS nb_0, percent_rank() OVER (ORDER BY round(sum(nb_1), 9)) AS percentile_0 FROM leaves GROUP BY 1),
 disciplines AS (
-  SELECT parent_1, percent_rank() OVER (ORDER BY sum(nb_1)) AS percentile_1 FROM leaves GROUP BY 1),
+  SELECT parent_1, percent_rank() OVER (ORDER BY round(sum(nb_1), 9)) AS percentile_1 FROM leaves GROUP BY 1),
 ranked AS (SELECT * FROM leaves JOIN domains USING (parent_0) JOIN disciplines USING (parent_1)),
 totals AS (
   SELECT count(DISTINCT lens_id) - count(DISTINCT CASE WHEN is_not_linked THEN lens_id END) AS n FROM recent_links)"""
@@ -120,13 +122,13 @@ rows_weighed AS (SELECT pairs.*, n * (n - 1) / 2.0::DOUBLE * k AS w FROM pairs J
 per_record AS (
   SELECT r, p, q, is_ext, sum(w) AS w FROM rows_weighed WHERE is_ext OR p = q GROUP BY 1, 2, 3, 4),
 scaled AS (SELECT *, w / sum(w) OVER (PARTITION BY r) AS s FROM per_record),
-net AS (SELECT p AS "from", q AS "to", is_ext, sum(s) AS weight FROM scaled GROUP BY 1, 2, 3)"""
+net AS (SELECT p AS "from", q AS "to", is_ext, round(sum(s), 9) AS weight FROM scaled GROUP BY 1, 2, 3)"""
 
 
 NET_NODES = f"""{ORGS},
 small AS (SELECT l.l_orderkey AS r, l.l_suppkey AS org_id FROM lineitem l JOIN team ON team.r = l.l_orderkey WHERE n <= 20),
 spread AS (SELECT r, org_id, count(*) OVER (PARTITION BY r) AS k FROM small),
-sums AS (SELECT org_id, sum(1.0::DOUBLE / k) AS nb_contributions, count(DISTINCT r) AS nb_records FROM spread GROUP BY 1),
+sums AS (SELECT org_id, round(sum(1.0::DOUBLE / k), 9) AS nb_contributions, count(DISTINCT r) AS nb_records FROM spread GROUP BY 1),
 net_nodes AS (
   SELECT s.*, o.name, o.country_code FROM sums s JOIN orgs o USING (org_id)
   WHERE org_id IN (SELECT "from" FROM net UNION SELECT "to" FROM net))"""
@@ -565,7 +567,7 @@ WHERE l_orderkey IN (SELECT l_orderkey FROM chosen)"""
        count(DISTINCT v) AS nb_distinct"""
     q["date_histogram"] = f"""WITH {FACTS}, x AS (SELECT *, citations AS v FROM facts)
 SELECT publication_type, strftime(date_trunc('year', date_published), '%Y-%m-%d') AS bucket, {stats} FROM x GROUP BY 1, 2"""
-    q["date_histogram_days"] = f"""WITH x AS (SELECT *, value AS v FROM events)
+    q["date_histogram_days"] = f"""WITH x AS (SELECT *, CAST(round(value * 100) AS BIGINT) AS v FROM events)
 SELECT event_type, strftime(date_trunc('day', ts), '%Y-%m-%d') AS bucket, {stats} FROM x GROUP BY 1, 2"""
     q["global_agg"] = f"""WITH {FACTS}
 SELECT count(DISTINCT year_published) AS nb_distinct, CAST(sum(citations) AS BIGINT) AS total, count(*) AS nb_records FROM facts"""

@@ -557,8 +557,8 @@ def date_histogram(spark, d):
 
 @query
 def date_histogram_days(spark, d):
-    events = load(spark, d, "events")
-    return grouping.date_histogram(events, "ts", "value", ["event_type"], grain="day").withColumn("avg_value", F.round("avg_value", 6))
+    events = load(spark, d, "events").withColumn("cents", F.round(F.col("value") * 100).cast("long"))
+    return grouping.date_histogram(events, "ts", "cents", ["event_type"], grain="day").withColumn("avg_value", F.round("avg_value", 6))
 
 
 @query
@@ -614,7 +614,7 @@ def window_normalise(spark, d):
 @query
 def percent_rank_groups(spark, d):
     totals = stage(load(spark, d, "lineitem").groupBy("l_partkey").agg(F.sum("l_quantity").alias("total")), "totals")
-    ranked = ranking.percent_rank_groups(totals, "total", "percentile")
+    ranked = ranking.percent_rank_within(totals, [], "total", "percentile")
     return ranked.select("l_partkey", "total", *_r6("percentile"))
 
 
