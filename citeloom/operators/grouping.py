@@ -13,14 +13,15 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from citeloom.functions.scalars import settled
+from citeloom.operators.joins import join_split, union_all
 
 
 def attach_group(df: DataFrame, keys: Sequence[str], *stats: Column) -> DataFrame:
-    """Add per-key statistics to every row. Rows with a null key get null statistics.
+    """Add per-key statistics to every row; rows with a null key form a group too.
 
     ``df`` is read twice: stage it first where that is dear.
     """
-    return df.join(df.groupBy(*keys).agg(*stats), list(keys), "left")
+    return join_split(df, df.groupBy(*keys).agg(*stats), keys, "left")
 
 
 def distinct_count_per(df: DataFrame, keys: Sequence[str], c: str, out: str) -> DataFrame:
@@ -43,12 +44,12 @@ def filter_flagged(records: DataFrame, lines: DataFrame, key: str, c: str) -> Da
     """
     n, filled = F.col("_n"), F.col("_filled")
     counts = lines.groupBy(key).agg(F.count(F.lit(1)).alias("_n"), F.count(c).alias("_filled"))
-    single = F.coalesce(n, F.lit(1)) == 1
-    alive = records.join(counts, key, "left").where(single | (filled > 0))
+    counted = records.join(counts, key, "left")
+    listed = join_split(lines, counted.where((n == 1) | (filled > 0)), [key]).where((n == 1) | F.col(c).isNotNull())
+    unlisted = counted.where(n.isNull())
     return (
-        alive.join(lines, key, "left")
-        .where(single | F.col(c).isNotNull())
-        .withColumn("nb_rows", F.when(single, F.lit(1)).otherwise(filled))
+        union_all(listed, unlisted)
+        .withColumn("nb_rows", F.when(n > 1, filled).otherwise(F.lit(1)))
         .drop("_n", "_filled")
     )
 

@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 
 def union_all(*dfs: DataFrame) -> DataFrame:
@@ -74,6 +74,13 @@ def join_taxonomy_crosswalk(a: DataFrame, b: DataFrame, id_col: str, shared: Seq
     return reduce(DataFrame.unionByName, [matched(by) for by in shared])
 
 
-def null_safe_on(left: str, right: str, cs: Sequence[str]) -> Column:
-    """Join condition in which null equals null, for two aliased frames."""
-    return reduce(Column.__and__, [F.col(f"{left}.{c}").eqNullSafe(F.col(f"{right}.{c}")) for c in cs])
+def join_split(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """Equi-join on ``keys`` whose hot keys can be split at run time; null matches null.
+
+    The run-time split needs a shuffle directly below both sides of the join. A side that
+    was just grouped by the same keys would skip that shuffle, and then all rows of a hot
+    key meet in one task. Joining on a struct of the keys keeps the shuffle on both sides;
+    of the grouped side it moves one row per key.
+    """
+    rekeyed = [df.withColumn("_key", F.struct(*keys)) for df in (left, right)]
+    return rekeyed[0].join(rekeyed[1].drop(*keys), "_key", how).drop("_key")

@@ -10,6 +10,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
+from citeloom.operators.joins import join_split
 from citeloom.operators.keys import running_total
 
 
@@ -22,7 +23,7 @@ def share_of_total(df: DataFrame, c: str, out: str, factor: float = 100.0) -> Da
 def window_normalise(df: DataFrame, part: Sequence[str], c: str) -> DataFrame:
     """``c`` divided by its sum over the rows with the same key."""
     sums = df.groupBy(*part).agg(F.sum(c).alias("_sum"))
-    return df.join(sums, list(part)).withColumn(c, F.col(c) / F.col("_sum")).drop("_sum")
+    return join_split(df, sums, part).withColumn(c, F.col(c) / F.col("_sum")).drop("_sum")
 
 
 def percent_rank_within(df: DataFrame, groups: Sequence[str], c: str, out: str) -> DataFrame:

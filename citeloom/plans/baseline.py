@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from citeloom.functions.predicates import filter_year_range
+from citeloom.operators.joins import join_split
 from citeloom.operators.ranking import percent_rank_within
 from citeloom.plans.taxonomy import NOT_APPLICABLE, NO_ANCESTOR
 
@@ -62,7 +63,7 @@ def normalised_impact(
     means = rows.groupBy(*CELL).agg(F.avg("citations").alias("_mean"))
     ranked = percent_rank_within(rows, CELL, "citations", "percentile")
     return (
-        ranked.join(means, CELL)
+        join_split(ranked, means, CELL)
         .withColumn("cnci", F.when(F.col("_mean") > 0, F.col("citations") / F.col("_mean")))
         .withColumn("is_top10", F.col("percentile") >= 0.90)
         .withColumn("is_top01", F.col("percentile") >= 0.99)

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from citeloom.functions.scalars import n_choose_2, pair_sorted, settled
 from citeloom.operators.grouping import attach_group, sample_keys
-from citeloom.operators.joins import keep_keys_of, union_distinct_keys
+from citeloom.operators.joins import join_split, keep_keys_of, union_distinct_keys
 
 MAX_TEAM_SIZE = 20
 
@@ -20,7 +20,7 @@ def small_teams(affiliation: DataFrame, record: str, max_team_size: int) -> Data
     """
     known = affiliation.where(F.col(record).isNotNull())
     sizes = known.groupBy(record).agg(F.count_distinct("contribution_id").alias("_team"))
-    return known.join(sizes.where(F.col("_team") <= max_team_size).select(record), record, "left_semi")
+    return join_split(known, sizes.where(F.col("_team") <= max_team_size).select(record), [record], "left_semi")
 
 
 def _teams(affiliation: DataFrame, record: str, unit: str) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 from citeloom.functions.nested import array_filter_map
 from citeloom.functions.scalars import strip_prefix
 from citeloom.operators.grouping import children_per_parent
-from citeloom.operators.joins import union_all
+from citeloom.operators.joins import join_split, union_all
 
 # The id namespace and the markers of the stored hierarchy.
 ID_NAMESPACE = "https://openalex.org/"
@@ -199,4 +199,4 @@ def link_categories(cats: DataFrame, hierarchy: DataFrame, record: str, value: s
     flags = (
         known.join(labels, label, "left").groupBy(record).agg((F.count("_known") == 0).alias("is_not_linked"))
     )
-    return known.join(hierarchy, label, "left").join(flags, record, "left")
+    return join_split(known.join(hierarchy, label, "left"), flags, [record], "left")
