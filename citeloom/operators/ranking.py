@@ -26,26 +26,32 @@ def window_normalise(df: DataFrame, part: Sequence[str], c: str) -> DataFrame:
     return join_split(df, sums, part).withColumn(c, F.col(c) / F.col("_sum")).drop("_sum")
 
 
-def percent_rank_within(df: DataFrame, groups: Sequence[str], c: str, out: str) -> DataFrame:
-    """``percent_rank`` of ``c`` among the rows of its group; null values are not ranked.
+def percent_rank_of_counts(counts: DataFrame, groups: Sequence[str], c: str, n: str, out: str) -> DataFrame:
+    """``percent_rank`` of every value of a group, from the number ``n`` of its rows.
 
-    Rows are first counted per (group, value). The rank of a value is the number of rows
-    below it, read off a running total over all groups, so a group of any size is ranked by
-    many tasks. Call with a staged table if ``c`` is a floating-point aggregate.
+    The rank of a value is the number of rows below it, read off a running total over all
+    groups, so a group of any size is ranked by many tasks.
     """
     keys = [*groups, c]
-    per_value = df.where(F.col(c).isNotNull()).groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    placed = running_total(per_value, keys, "_n", "_before")
+    placed = running_total(counts.select(*keys, F.col(n).alias("_n")), keys, "_n", "_before")
     if groups:
         start = placed.groupBy(*groups).agg(F.min("_before").alias("_first"), F.sum("_n").alias("_rows"))
-        same = [F.col(f"p.{g}").eqNullSafe(F.col(f"s.{g}")) for g in groups]
-        placed = placed.alias("p").join(start.alias("s"), same).select("p.*", "s._first", "s._rows")
+        placed = join_split(placed, start, groups)
     else:
         placed = placed.withColumn("_first", F.lit(0)).withColumn("_rows", placed.agg(F.sum("_n")).scalar())
     rank = F.when(F.col("_rows") > 1, (F.col("_before") - F.col("_first")) / (F.col("_rows") - 1)).otherwise(F.lit(0.0))
-    ranks = placed.select(*keys, rank.alias(out))
-    match = [F.col(f"l.{k}").eqNullSafe(F.col(f"r.{k}")) for k in groups] + [F.col(f"l.{c}") == F.col(f"r.{c}")]
-    return df.alias("l").join(ranks.alias("r"), match, "left").select("l.*", f"r.{out}")
+    return placed.select(*keys, rank.alias(out))
+
+
+def percent_rank_within(df: DataFrame, groups: Sequence[str], c: str, out: str) -> DataFrame:
+    """``percent_rank`` of ``c`` among the rows of its group; null values are not ranked.
+
+    Rows are first counted per (group, value). Call with a staged table if ``c`` is a
+    floating-point aggregate.
+    """
+    keys = [*groups, c]
+    counts = df.where(F.col(c).isNotNull()).groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    return join_split(df, percent_rank_of_counts(counts, groups, c, "_n", out), keys, "left")
 
 
 def percent_rank_groups(df: DataFrame, c: str, out: str, one_task_rows: int = 100_000) -> DataFrame:

@@ -6,8 +6,9 @@ from pyspark.sql import DataFrame, functions as F
 
 from citeloom.functions.predicates import filter_year_range
 from citeloom.operators.joins import join_split
-from citeloom.operators.ranking import percent_rank_within
+from citeloom.operators.ranking import percent_rank_of_counts
 from citeloom.plans.taxonomy import NOT_APPLICABLE, NO_ANCESTOR
+from citeloom.session import stage
 
 CELL = ["parent_1", "pubtype_id", "year"]
 
@@ -60,12 +61,17 @@ def normalised_impact(
     An extension: the original names these figures but does not compute them.
     """
     rows = discipline_records(records, categories, years, record)
-    means = rows.groupBy(*CELL).agg(F.avg("citations").alias("_mean"))
-    ranked = percent_rank_within(rows, CELL, "citations", "percentile")
-    return (
-        join_split(ranked, means, CELL)
-        .withColumn("cnci", F.when(F.col("_mean") > 0, F.col("citations") / F.col("_mean")))
-        .withColumn("is_top10", F.col("percentile") >= 0.90)
-        .withColumn("is_top01", F.col("percentile") >= 0.99)
-        .drop("_mean")
+    # Mean and ranks both follow from the distribution, so the rows are joined once.
+    counts = stage(citation_distribution(records, categories, years, record), "distribution")
+    means = counts.groupBy(*CELL).agg(
+        (F.sum(F.col("citations") * F.col("nb_records")) / F.sum(F.when(F.col("citations").isNotNull(), F.col("nb_records")))).alias("_mean")
     )
+    known = counts.where(F.col("citations").isNotNull())
+    ranks = percent_rank_of_counts(known, CELL, "citations", "nb_records", "percentile")
+    scores = join_split(ranks, means, CELL).select(
+        *CELL, "citations", "percentile",
+        F.when(F.col("_mean") > 0, F.col("citations") / F.col("_mean")).alias("cnci"),
+        (F.col("percentile") >= 0.90).alias("is_top10"),
+        (F.col("percentile") >= 0.99).alias("is_top01"),
+    )
+    return join_split(rows, scores, [*CELL, "citations"], "left")
