@@ -349,7 +349,7 @@ def unify_document_type(spark, d):
 
 
 def _baseline_input(spark, d):
-    categories = stage(star.linked_categories(spark, d).select("lens_id", "parent_1"), "disciplines")
+    categories = stage(star.linked_categories(spark, d).select("lens_id", "parent_1").distinct(), "disciplines")
     return star.typed_records(spark, d), categories
 
 
