@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from citeloom.llm import near_dup, packing, token_files
+from citeloom.llm import decontaminate, near_dup, packing, token_files
 from citeloom.llm.common import read_table
 from citeloom.session import new_path
 
@@ -27,8 +27,12 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contamination(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark")).drop("text_hash")
+
+
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op3_token_files, op4_near_duplicates, op5_packing)}
+    return {f.__name__: f for f in (op3_token_files, op4_near_duplicates, op5_packing, op7_decontamination)}
 
 
 def statements() -> dict[str, str]:
