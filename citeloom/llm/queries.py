@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from citeloom.llm import decontaminate, licenses, near_dup, packing, token_files
+from citeloom.llm import decontaminate, licenses, line_dedup, near_dup, packing, token_files
 from citeloom.llm.common import read_table
 from citeloom.session import new_path
 
@@ -31,13 +31,19 @@ def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark")).drop("text_hash")
 
 
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = line_dedup.delete_repeated_lines(read_table(spark, sf_dir, "documents"))
+    digest = F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("kept_sha256")
+    return out.select("doc_id", F.col("_n_units").alias("n_units"), F.col("_n_deleted").alias("n_deleted"), F.col("_n_runs").alias("n_runs"), digest)
+
+
 def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan_licenses(read_table(spark, sf_dir, "documents"))
 
 
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op3_token_files, op4_near_duplicates, op5_packing, op7_decontamination, op10_license_scan)}
+    return {f.__name__: f for f in (op3_token_files, op4_near_duplicates, op5_packing, op7_decontamination, op8_line_dedup, op10_license_scan)}
 
 
 def statements() -> dict[str, str]:
-    return {}
+    return {"op8_line_dedup": line_dedup.QUERY_SQL}
