@@ -7,11 +7,15 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from citeloom.llm import decontaminate, licenses, line_dedup, near_dup, packing, quality, token_files
+from citeloom.llm import decontaminate, licenses, line_dedup, near_dup, packing, quality, secrets, token_files
 from citeloom.llm.common import read_table
 from citeloom.session import new_path
 
 
+def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.find_secrets(read_table(spark, sf_dir, "documents"))
+
+
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(read_table(spark, sf_dir, "documents"))
 
@@ -46,7 +50,7 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_quality_rules, op3_token_files, op4_near_duplicates, op5_packing, op7_decontamination, op8_line_dedup, op10_license_scan)}
+    return {f.__name__: f for f in (op1_secret_scan, op2_quality_rules, op3_token_files, op4_near_duplicates, op5_packing, op7_decontamination, op8_line_dedup, op10_license_scan)}
 
 
 def statements() -> dict[str, str]:
