@@ -5,9 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from citeloom.llm import decontaminate, licenses, line_dedup, near_dup, packing, quality, secrets, token_files
+from citeloom.llm import decontaminate, language, licenses, line_dedup, near_dup, packing, quality, secrets, token_files
 from citeloom.llm.common import read_table
 from citeloom.session import new_path
 
@@ -35,6 +35,17 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
+def _held_out() -> Column:
+    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2
+
+
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    model = language.learn(docs.filter(~F.coalesce(_held_out(), F.lit(False))))
+    found = language.predict_languages(docs, model)
+    return found.select("doc_id", F.coalesce(_held_out(), F.lit(False)).alias("held_out"), "lang_pred", "score", "languages")
+
+
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark")).drop("text_hash")
 
@@ -50,7 +61,7 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_secret_scan, op2_quality_rules, op3_token_files, op4_near_duplicates, op5_packing, op7_decontamination, op8_line_dedup, op10_license_scan)}
+    return {f.__name__: f for f in (op1_secret_scan, op2_quality_rules, op3_token_files, op4_near_duplicates, op5_packing, op6_language_id, op7_decontamination, op8_line_dedup, op10_license_scan)}
 
 
 def statements() -> dict[str, str]:
