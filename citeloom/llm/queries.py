@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from citeloom.llm import decontaminate, language, licenses, line_dedup, near_dup, packing, quality, secrets, token_files
+from citeloom.llm import decontaminate, language, licenses, line_dedup, near_dup, packing, quality, secrets, suffix_dedup, token_files
 from citeloom.llm.common import read_table
 from citeloom.session import new_path
 
@@ -56,12 +56,16 @@ def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", F.col("_n_units").alias("n_units"), F.col("_n_deleted").alias("n_deleted"), F.col("_n_runs").alias("n_runs"), digest)
 
 
+def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_repeated_strings(read_table(spark, sf_dir, "documents")).drop("kept", "spans")
+
+
 def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan_licenses(read_table(spark, sf_dir, "documents"))
 
 
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_secret_scan, op2_quality_rules, op3_token_files, op4_near_duplicates, op5_packing, op6_language_id, op7_decontamination, op8_line_dedup, op10_license_scan)}
+    return {f.__name__: f for f in (op1_secret_scan, op2_quality_rules, op3_token_files, op4_near_duplicates, op5_packing, op6_language_id, op7_decontamination, op8_line_dedup, op9_suffix_dedup, op10_license_scan)}
 
 
 def statements() -> dict[str, str]:
