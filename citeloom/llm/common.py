@@ -21,6 +21,14 @@ def utf8(text: str = "text") -> Column:
     return F.col(text).cast("binary").alias("text")
 
 
+def fresh(docs: DataFrame, name: str) -> str:
+    """A column name that ``docs`` does not have, whatever the case of its letters."""
+    taken = {c.lower() for c in docs.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def text_chunks(batches: Iterable[pa.RecordBatch], text: str = "text", limit: int = CHUNK_BYTES) -> Iterator[pa.RecordBatch]:
     """The rows of ``batches`` in slices of at most ``limit`` text bytes, one row at least."""
     for batch in batches:

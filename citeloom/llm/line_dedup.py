@@ -25,6 +25,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from citeloom.llm.common import fresh
 from citeloom.session import stage
 
 RUN = 3
@@ -54,7 +55,7 @@ def _selected(grams: Column, window: int) -> Column:
 
 
 def repeated_units(docs: DataFrame, run: int = RUN, gram: int = GRAM) -> DataFrame:
-    """(doc_id, text_hash, n_runs, deleted) of the documents that lose units; ``deleted`` lists their places."""
+    """(doc_id, text_hash, deleted) of the documents that lose units; ``deleted`` lists their places."""
     hashes = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), F.transform(units(F.col("text")), lambda u: F.xxhash64(F.btrim(u, F.lit(_BLANK)))).alias("lines"))
     hashes = hashes.filter(F.size("lines") >= run).select(*_KEY, "lines", _runs(F.col("lines"), gram).alias("grams"))
     chosen = hashes.select(*_KEY, "lines", "grams", _selected(F.col("grams"), run - gram + 1).alias("at"))
@@ -73,28 +74,31 @@ def repeated_units(docs: DataFrame, run: int = RUN, gram: int = GRAM) -> DataFra
     return covered.groupBy(*_KEY).agg(F.array_sort(F.collect_set("unit")).alias("deleted"))
 
 
-def delete_repeated_lines(docs: DataFrame, run: int = RUN, gram: int = GRAM) -> DataFrame:
+def delete_repeated_lines(docs: DataFrame, counts: tuple[str, str, str], run: int = RUN, gram: int = GRAM) -> DataFrame:
     """``docs`` with the repeated units taken out of ``text``, all columns kept.
 
-    Adds ``_n_units`` and ``_n_deleted``, and ``_n_runs``, the number of maximal deleted runs.
+    Adds under the names in ``counts`` the number of units, of deleted ones and of maximal
+    deleted runs.
     """
     gone = stage(repeated_units(docs, run, gram), "deleted")
-    gone = gone.select(F.col("doc_id").alias("_gone_id"), F.col("text_hash").alias("_gone_text"), F.col("deleted").alias("_deleted"))
-    joined = docs.join(gone, docs["doc_id"].eqNullSafe(gone["_gone_id"]) & (F.xxhash64(docs["text"]) == gone["_gone_text"]), "left")
-    left = F.array_join(F.filter(units(docs["text"]), lambda u, i: ~F.array_contains("_deleted", i)), "\n")
-    n_units = F.coalesce(F.size(units(docs["text"])), F.lit(0))
+    own_id, own_text, places = (fresh(docs, n) for n in ("gone_id", "gone_text", "deleted"))
+    gone = gone.select(F.col("doc_id").alias(own_id), F.col("text_hash").alias(own_text), F.col("deleted").alias(places))
+    joined = docs.join(gone, docs["doc_id"].eqNullSafe(gone[own_id]) & (F.xxhash64(docs["text"]) == gone[own_text]), "left")
+    deleted = gone[places]
+    left = F.array_join(F.filter(units(docs["text"]), lambda u, i: ~F.array_contains(deleted, i)), "\n")
     return joined.select(
-        *[F.when(F.col("_deleted").isNull(), docs["text"]).otherwise(left).alias("text") if c == "text" else docs[c] for c in docs.columns],
-        F.when(docs["text"].isNull(), 0).otherwise(n_units).cast("bigint").alias("_n_units"),
-        F.coalesce(F.size("_deleted"), F.lit(0)).cast("bigint").alias("_n_deleted"),
-        F.coalesce(F.size(F.filter("_deleted", lambda x: ~F.array_contains("_deleted", x - 1))), F.lit(0)).cast("bigint").alias("_n_runs"),
+        *[F.when(deleted.isNull(), docs["text"]).otherwise(left).alias("text") if c == "text" else docs[c] for c in docs.columns],
+        F.when(docs["text"].isNull(), 0).otherwise(F.size(units(docs["text"]))).cast("bigint").alias(counts[0]),
+        F.when(deleted.isNull(), 0).otherwise(F.size(deleted)).cast("bigint").alias(counts[1]),
+        F.when(deleted.isNull(), 0).otherwise(F.size(F.filter(deleted, lambda x: ~F.array_contains(deleted, x - 1)))).cast("bigint").alias(counts[2]),
     )
 
 
 def drop_repeated_lines(docs: DataFrame) -> DataFrame:
     """The documents without their repeated runs; those that consist of nothing else go."""
-    out = delete_repeated_lines(docs)
-    return out.filter((F.col("_n_deleted") == 0) | (F.col("_n_deleted") < F.col("_n_units"))).select(*[out[c] for c in docs.columns])
+    names = tuple(fresh(docs, n) for n in ("n_units", "n_deleted", "n_runs"))
+    out = delete_repeated_lines(docs, names)
+    return out.filter((F.col(names[1]) == 0) | (F.col(names[1]) < F.col(names[0]))).select(*docs.columns)
 
 
 #: The same as SQL, by comparing every run of RUN units; places in the order of the operator.

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -51,9 +52,9 @@ def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = line_dedup.delete_repeated_lines(read_table(spark, sf_dir, "documents"))
+    out = line_dedup.delete_repeated_lines(read_table(spark, sf_dir, "documents"), ("n_units", "n_deleted", "n_runs"))
     digest = F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("kept_sha256")
-    return out.select("doc_id", F.col("_n_units").alias("n_units"), F.col("_n_deleted").alias("n_deleted"), F.col("_n_runs").alias("n_runs"), digest)
+    return out.select("doc_id", "n_units", "n_deleted", "n_runs", digest)
 
 
 def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -65,7 +66,19 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_secret_scan, op2_quality_rules, op3_token_files, op4_near_duplicates, op5_packing, op6_language_id, op7_decontamination, op8_line_dedup, op9_suffix_dedup, op10_license_scan)}
+    operators = (
+        op1_secret_scan,
+        op2_quality_rules,
+        op3_token_files,
+        op4_near_duplicates,
+        op5_packing,
+        op6_language_id,
+        op7_decontamination,
+        op8_line_dedup,
+        op9_suffix_dedup,
+        op10_license_scan,
+    )
+    return {f.__name__: f for f in operators} | {"pipeline": corpus_pipeline.run}
 
 
 def statements() -> dict[str, str]:
