@@ -89,34 +89,65 @@ def _test_field(
     return descend(column, kind)
 
 
+_RANGE = {
+    "gte": lambda c, v: c >= v,
+    "gt": lambda c, v: c > v,
+    "lte": lambda c, v: c <= v,
+    "lt": lambda c, v: c < v,
+}
+
+
+def _all(parts: Sequence[Column]) -> Column:
+    return reduce(Column.__and__, parts, F.lit(True))
+
+
 def bool_predicate(spec: Mapping[str, Any], schema: T.StructType) -> Column:
     """Turn a nested search definition into one column.
 
-    ``bool.must`` is AND, ``bool.should`` is OR, ``match`` and ``term`` test equality (also
-    inside arrays of structs) and ``range`` takes ``gte`` and ``lte``.
+    ``bool`` takes ``must`` and ``filter`` (AND), ``should`` (OR) and ``must_not`` (no clause
+    is true; an unknown value does not exclude). ``match`` and ``term`` test equality, also
+    inside arrays of structs, and ``range`` takes ``gte``, ``gt``, ``lte`` and ``lt``. Several
+    clauses in one definition and several fields in one clause all have to hold. Anything
+    else is refused.
     """
-    kind, body = next(iter(spec.items()))
+    if not spec:
+        raise ValueError("an empty definition")
+    return _all([_clause(kind, body, schema) for kind, body in spec.items()])
+
+
+def _clause(kind: str, body: Mapping[str, Any], schema: T.StructType) -> Column:
     if kind == "bool":
-        parts = []
-        if body.get("must"):
-            parts.append(reduce(Column.__and__, [bool_predicate(s, schema) for s in body["must"]]))
-        if body.get("should"):
-            parts.append(reduce(Column.__or__, [bool_predicate(s, schema) for s in body["should"]]))
-        return reduce(Column.__and__, parts, F.lit(True)) if parts else F.lit(True)
-    field, wanted = next(iter(body.items()))
-    if kind in ("match", "term"):
-        test = (lambda c: c.isNull()) if wanted is None else (lambda c: c == F.lit(wanted))
-    elif kind == "range":
+        if unknown := set(body) - {"must", "filter", "should", "must_not"}:
+            raise ValueError(f"unknown parts of bool: {sorted(unknown)}")
+
+        def inner(name: str) -> list[Column]:
+            given = body.get(name) or []
+            return [bool_predicate(s, schema) for s in ([given] if isinstance(given, Mapping) else given)]
+
+        parts = inner("must") + inner("filter")
+        if should := inner("should"):
+            parts.append(reduce(Column.__or__, should))
+        parts += [~F.coalesce(c, F.lit(False)) for c in inner("must_not")]
+        return _all(parts)
+    if kind not in ("match", "term", "range"):
+        raise ValueError(f"unknown clause {kind!r}")
+    if not body:
+        raise ValueError(f"{kind} without a field")
+    return _all([_field_clause(kind, field, wanted, schema) for field, wanted in body.items()])
+
+
+def _field_clause(kind: str, field: str, wanted: Any, schema: T.StructType) -> Column:
+    if kind == "range":
+        if not wanted or set(wanted) - set(_RANGE):
+            raise ValueError(f"a range takes some of {sorted(_RANGE)}, not {sorted(wanted)}")
+
         def test(c: Column) -> Column:
             number = c.cast("double") if isinstance(_type_of(schema, field), T.NumericType) else c
-            checks = []
-            if "gte" in wanted:
-                checks.append(number >= F.lit(wanted["gte"]))
-            if "lte" in wanted:
-                checks.append(number <= F.lit(wanted["lte"]))
-            return reduce(Column.__and__, checks)
+            return _all([_RANGE[bound](number, F.lit(v)) for bound, v in wanted.items()])
+    elif isinstance(wanted, (Mapping, list)):
+        raise ValueError(f"{kind} compares with one value, not with {wanted!r}")
     else:
-        raise ValueError(f"unknown clause {kind!r}")
+        test = (lambda c: c.isNull()) if wanted is None else (lambda c: c == F.lit(wanted))
     return _test_field(schema, field.split("."), F.col, test)
 
 

@@ -24,7 +24,7 @@ def union_distinct_keys(edges: DataFrame, ends: Sequence[str] = ("from", "to"),
 
 def keep_keys_of(df: DataFrame, c: str, keys: DataFrame, key: str) -> DataFrame:
     """Rows whose ``c`` is among the keys of another table."""
-    return df.join(keys.select(F.col(key).alias(c)), c, "left_semi")
+    return join_split(df, keys.where(F.col(key).isNotNull()).select(F.col(key).alias(c)), [c], "left_semi")
 
 
 def combine_with_codes(df: DataFrame, codes: Sequence[str], out: str) -> DataFrame:
@@ -42,7 +42,7 @@ def join_many_to_many(edges: DataFrame, names: DataFrame, id_col: str = "org_id"
     def side(end: str, n: int) -> DataFrame:
         return names.select(F.col(id_col).alias(end), F.col(label).alias(f"{label}_{n}"), F.col(metric).alias(f"{metric}_{n}"))
 
-    return edges.join(side("from", 1), "from").join(side("to", 2), "to")
+    return join_split(join_split(edges, side("from", 1), ["from"]), side("to", 2), ["to"])
 
 
 def join_composite_id(ids: DataFrame, registry_ids: DataFrame, locations: DataFrame, geo: DataFrame) -> DataFrame:
@@ -52,9 +52,10 @@ def join_composite_id(ids: DataFrame, registry_ids: DataFrame, locations: DataFr
     entries put an organisation in the same place the smaller id stays.
     """
     matched = ids.select("org_id", "type", "value").join(registry_ids.select("id", "type", "value"), ["type", "value"])
-    places = matched.select("org_id", "id").distinct().join(locations.select("id", "geonames_id"), "id")
+    places = matched.select("org_id", "id").distinct()
+    places = join_split(places, locations.select("id", "geonames_id"), ["id"])
     one_per_place = places.groupBy("org_id", "geonames_id").agg(F.min("id").alias("id"))
-    return one_per_place.join(geo, "geonames_id")
+    return join_split(one_per_place, geo.where(F.col("geonames_id").isNotNull()), ["geonames_id"])
 
 
 def join_lookup_code(df: DataFrame, codes: DataFrame, c: str, code: str, label: str, missing: dict[str, str]) -> DataFrame:

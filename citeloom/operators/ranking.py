@@ -54,18 +54,6 @@ def percent_rank_within(df: DataFrame, groups: Sequence[str], c: str, out: str)
     return join_split(df, percent_rank_of_counts(counts, groups, c, "_n", out), keys, "left")
 
 
-def percent_rank_groups(df: DataFrame, c: str, out: str, one_task_rows: int = 100_000) -> DataFrame:
-    """``percent_rank`` of group totals over a whole staged table of groups.
-
-    The table is counted first: up to ``one_task_rows`` groups are ranked by a plain window,
-    which runs in one task; more groups are ranked by many tasks.
-    """
-    if df.limit(one_task_rows + 1).count() > one_task_rows:
-        return percent_rank_within(df, [], c, out)
-    ranked = F.percent_rank().over(W.partitionBy(F.col(c).isNull()).orderBy(c))
-    return df.withColumn(out, F.when(F.col(c).isNotNull(), ranked))
-
-
 def sort_desc(df: DataFrame, cs: Sequence[str], tie: Sequence[str] = ()) -> DataFrame:
     """Largest first, nulls last, ties in the order of ``tie``."""
     return df.orderBy(*[F.col(c).desc_nulls_last() for c in cs], *[F.col(t).asc_nulls_last() for t in tie])

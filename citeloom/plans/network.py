@@ -8,83 +8,61 @@ from citeloom.functions.scalars import n_choose_2, pair_sorted, settled
 from citeloom.operators.grouping import attach_group, sample_keys
 from citeloom.operators.joins import join_split, keep_keys_of, union_distinct_keys
 
-MAX_TEAM_SIZE = 20
-
-
-def small_teams(affiliation: DataFrame, record: str, max_team_size: int) -> DataFrame:
-    """Rows of the records with at most that many distinct contributions.
-
-    The team size is part of the definition of a collaboration. It is counted in two steps
-    (per contribution, then per record), so a record with very many authors is counted by
-    many tasks, and such records leave before anything is paired.
-    """
+def team_sizes(affiliation: DataFrame, record: str = "lens_id") -> DataFrame:
+    """(record, nb_authors) counted from the listed contributions, for data that states no number."""
     known = affiliation.where(F.col(record).isNotNull())
-    sizes = known.groupBy(record).agg(F.count_distinct("contribution_id").alias("_team"))
-    return join_split(known, sizes.where(F.col("_team") <= max_team_size).select(record), [record], "left_semi")
+    return known.groupBy(record).agg(F.count_distinct("contribution_id").alias("nb_authors"))
 
 
-def _teams(affiliation: DataFrame, record: str, unit: str) -> DataFrame:
-    """One row per record: its distinct organisation sets and the authors sharing each.
+def small_teams(affiliation: DataFrame, records: DataFrame, record: str, max_team_size: int | None) -> DataFrame:
+    """Rows of the records with at most that many authors.
 
-    A list has at most as many entries as a small team has authors, and it is gathered in
-    one grouping by record. Authors without a known organisation take part in no pair and
-    are left out here.
+    The team size is part of the definition of a collaboration. It is the record's own number
+    of authors (``nb_authors``), as lists of authors are cut by the source; records without
+    it are left out. ``None`` is no bound, and then only the record has to be known.
     """
-    link = F.struct(F.col("contribution_id").alias("author"), F.col(unit).alias("org"))
-    links = affiliation.where(F.col(unit).isNotNull()).groupBy(record).agg(F.collect_set(link).alias("links"))
-
-    def orgs_of(author: Column) -> Column:
-        return F.sort_array(F.transform(F.filter("links", lambda x: x["author"] == author), lambda x: x["org"]))
+    known = affiliation.where(F.col(record).isNotNull())
+    within = records if max_team_size is None else records.where(F.col("nb_authors") <= max_team_size)
+    return join_split(known, within.select(record).where(F.col(record).isNotNull()).distinct(), [record], "left_semi")
 
-    def shared_set(orgs: Column) -> Column:
-        authors = F.size(F.filter("sets", lambda s: s == orgs)).cast("double")
-        return F.struct(orgs.alias("orgs"), authors.alias("authors"))
 
-    authors = F.array_distinct(F.transform("links", lambda x: x["author"]))
-    sets = links.select(record, F.transform(authors, orgs_of).alias("sets"))
-    return sets.select(record, F.transform(F.array_distinct("sets"), shared_set).alias("team"))
+def left_out(records: DataFrame, max_team_size: int) -> DataFrame:
+    """One row: how many records the bound leaves out, with those of unknown size."""
+    within = F.coalesce(F.col("nb_authors") <= max_team_size, F.lit(False))
+    return records.agg(F.count_if(~within).alias("nb_left_out"), F.count(F.lit(1)).alias("nb_records"))
 
 
-def _author_pairs(team: Column) -> Column:
-    """Author pairs of a team, grouped by the two organisation sets involved.
+def _set_pairs(teams: DataFrame, record: str, unit: str) -> DataFrame:
+    """Pairs of the organisation sets of a record's authors, with the weight of each combination.
 
     Pairing sets instead of authors is exact: all author pairs with the same two sets yield
     the same rows. Of the k x m organisation combinations of two sets with s shared ones,
-    k*m - C(s,2) are distinct as unordered pairs, and each combination weighs that number.
+    k*m - C(s,2) are distinct as unordered pairs, and each combination weighs that number. A
+    set is bounded by the organisations of one author; sets of a large record are rows, which
+    the join splits. Authors without a known organisation take part in no pair.
     """
-    def pair(x: Column, y: Column, shared: Column, author_pairs: Column) -> Column:
-        return F.struct(
-            x["orgs"].alias("left"), y["orgs"].alias("right"), shared.alias("shared"), author_pairs.alias("pairs")
-        )
-
-    def across(x: Column, y: Column) -> Column:
-        return pair(x, y, F.array_intersect(x["orgs"], y["orgs"]), x["authors"] * y["authors"])
-
-    def within(x: Column) -> Column:
-        return pair(x, x, x["orgs"], n_choose_2(x["authors"]))
-
-    def weigh(p: Column) -> Column:
-        combined = F.size(p["left"]).cast("double") * F.size(p["right"]).cast("double")
-        distinct_pairs = combined - n_choose_2(F.size(p["shared"]))
-        external = F.size(p["shared"]) == 0
-        return F.struct(
-            p["left"].alias("left"),
-            p["right"].alias("right"),
-            p["shared"].alias("shared"),
-            external.alias("is_ext"),
-            (p["pairs"] * distinct_pairs).alias("weight"),
-            F.when(external, combined).otherwise(F.size(p["shared"]).cast("double")).alias("rows"),
-        )
-
-    different = F.flatten(
-        F.transform(team, lambda x, i: F.transform(F.slice(team, i + 2, F.size(team)), lambda y: across(x, y)))
+    links = teams.where(F.col(unit).isNotNull())
+    authors = links.groupBy(record, "contribution_id").agg(F.sort_array(F.collect_set(unit)).alias("orgs"))
+    sets = authors.groupBy(record, "orgs").agg(F.count(F.lit(1)).cast("double").alias("authors"))
+    a = sets.select(record, F.col("orgs").alias("left"), F.col("authors").alias("m"))
+    b = sets.select(record, F.col("orgs").alias("right"), F.col("authors").alias("n"))
+    both = join_split(a, b, [record]).where(F.col("left") <= F.col("right"))
+    same = F.col("left") == F.col("right")
+    shared = F.array_intersect("left", "right")
+    combined = F.size("left").cast("double") * F.size("right").cast("double")
+    return (
+        both.withColumn("pairs", F.when(same, n_choose_2(F.col("m"))).otherwise(F.col("m") * F.col("n")))
+        .where(F.col("pairs") > 0)
+        .withColumn("shared", shared)
+        .withColumn("is_ext", F.size("shared") == 0)
+        .withColumn("weight", F.col("pairs") * (combined - n_choose_2(F.size("shared"))))
+        .withColumn("rows", F.when(F.col("is_ext"), combined).otherwise(F.size("shared").cast("double")))
+        .select(record, "left", "right", "shared", "is_ext", "weight", "rows")
     )
-    same = F.transform(F.filter(team, lambda x: x["authors"] > 1), within)
-    return F.transform(F.concat(different, same), weigh)
 
 
 def collaboration_edges(
-    affiliation: DataFrame, record: str = "lens_id", max_team_size: int = MAX_TEAM_SIZE,
+    affiliation: DataFrame, records: DataFrame, max_team_size: int | None, record: str = "lens_id",
     sample: int | None = None, level: str = "org_id", seed: int = 42,
 ) -> DataFrame:
     """Edges (from, to, is_ext, weight) between organisations, or between their countries.
@@ -93,17 +71,12 @@ def collaboration_edges(
     pairs add all combinations of their organisations, other pairs only the organisations
     they share. Rows weigh C(n,2) x distinct pairs, then each record is scaled to 1 in
     total; C(n,2) is the same for all rows of a record and cancels there. The scale is known
-    before any organisation pair is made, so the organisation pairs go straight into the
-    final sum and the work up to there needs one partitioning, by record.
+    before any organisation pair is made.
     """
     base = affiliation if sample is None else sample_keys(affiliation, record, sample, seed)
-    teams = _teams(small_teams(base, record, max_team_size), record, level)
-    pairs = teams.select(_author_pairs(F.col("team")).alias("pairs"))
-    total = F.aggregate("pairs", F.lit(0.0), lambda acc, p: acc + p["weight"] * p["rows"])
-    # The outer form: for the plain one the planner adds a filter that builds all pairs twice.
-    each = pairs.select("pairs", total.alias("_total")).select("_total", F.explode_outer("pairs").alias("p"))
-    scaled = each.where(F.col("p").isNotNull()).select(
-        "p.left", "p.right", "p.shared", "p.is_ext", (F.col("p.weight") / F.col("_total")).alias("row_weight")
+    pairs = _set_pairs(small_teams(base, records, record, max_team_size), record, level)
+    scaled = attach_group(pairs, [record], F.sum(F.col("weight") * F.col("rows")).alias("_total")).select(
+        "left", "right", "shared", "is_ext", (F.col("weight") / F.col("_total")).alias("row_weight")
     )
     one_end = scaled.select(
         "is_ext", "row_weight", "right",
@@ -118,35 +91,35 @@ def collaboration_edges(
 
 
 def collaboration_nodes(
-    affiliation: DataFrame, edges: DataFrame, organisations: DataFrame, record: str = "lens_id",
-    max_team_size: int = MAX_TEAM_SIZE,
+    affiliation: DataFrame, records: DataFrame, edges: DataFrame, organisations: DataFrame,
+    max_team_size: int | None, record: str = "lens_id",
 ) -> DataFrame:
     """Nodes of the network: fractional contributions and number of records per organisation."""
-    teams = small_teams(affiliation, record, max_team_size).where(F.col("org_id").isNotNull())
+    teams = small_teams(affiliation, records, record, max_team_size).where(F.col("org_id").isNotNull())
     cells = teams.groupBy(record, "org_id").agg(F.count(F.lit(1)).alias("_rows"))
     figures = (
         attach_group(cells, [record], F.sum("_rows").alias("_all"))
         .groupBy("org_id")
         .agg(settled(F.sum(F.col("_rows") / F.col("_all"))).alias("nb_contributions"), F.count(F.lit(1)).alias("nb_records"))
     )
-    return union_distinct_keys(edges).join(figures, "org_id").join(organisations, "org_id")
+    return join_split(join_split(union_distinct_keys(edges), figures, ["org_id"]), organisations, ["org_id"])
 
 
 def collaboration_network(
-    affiliation: DataFrame, organisations: DataFrame, record: str = "lens_id",
-    max_team_size: int = MAX_TEAM_SIZE, sample: int | None = None, seed: int = 42,
+    affiliation: DataFrame, records: DataFrame, organisations: DataFrame, max_team_size: int | None,
+    record: str = "lens_id", sample: int | None = None, seed: int = 42,
 ) -> tuple[DataFrame, DataFrame]:
     """(edges, nodes) of the organisation network."""
     base = affiliation if sample is None else sample_keys(affiliation, record, sample, seed)
-    edges = collaboration_edges(base, record, max_team_size)
-    return edges, collaboration_nodes(base, edges, organisations, record, max_team_size)
+    edges = collaboration_edges(base, records, max_team_size, record)
+    return edges, collaboration_nodes(base, records, edges, organisations, max_team_size, record)
 
 
 def top_pairs_unweighted(
-    affiliation: DataFrame, n: int, record: str = "lens_id", max_team_size: int = MAX_TEAM_SIZE
+    affiliation: DataFrame, records: DataFrame, n: int, max_team_size: int | None, record: str = "lens_id"
 ) -> DataFrame:
     """The organisation pairs that appear together on most records."""
-    teams = small_teams(affiliation, record, max_team_size).where(F.col("org_id").isNotNull())
+    teams = small_teams(affiliation, records, record, max_team_size).where(F.col("org_id").isNotNull())
     present = teams.select(record, "org_id").distinct()
     a, b = present.alias("a"), present.alias("b")
     together = a.join(b, (F.col(f"a.{record}") == F.col(f"b.{record}")) & (F.col("a.org_id") < F.col("b.org_id")))

@@ -18,7 +18,7 @@ from citeloom.functions.scalars import (
 )
 from citeloom.operators.grouping import count_distinct_pair, filter_flagged, fractional_count, trend_line, weighted_median
 from citeloom.operators.joins import join_lookup_code, join_many_to_many, keep_keys_of, union_distinct_keys
-from citeloom.operators.ranking import percent_rank_groups, share_of_total, sort_desc, top_n_threshold, top_percentile
+from citeloom.operators.ranking import percent_rank_within, share_of_total, sort_desc, top_n_threshold, top_percentile
 from citeloom.session import stage
 
 Tables = Mapping[str, DataFrame]
@@ -299,8 +299,8 @@ def report_domains_disciplines(tables: Tables, years: Years = None, marker: str
     domains = stage(leaves.groupBy(*DOMAIN).agg(settled(F.sum("nb_1")).alias("nb_0")), "domains")
     disciplines = stage(leaves.groupBy(*DISCIPLINE).agg(settled(F.sum("nb_1")).alias("nb_1_total")), "disciplines")
     ranked = leaves.join(
-        percent_rank_groups(domains, "nb_0", "percentile_0").select("parent_0", "nb_0", "percentile_0"), "parent_0"
-    ).join(percent_rank_groups(disciplines, "nb_1_total", "percentile_1").select("parent_1", "percentile_1"), "parent_1")
+        percent_rank_within(domains, [], "nb_0", "percentile_0").select("parent_0", "nb_0", "percentile_0"), "parent_0"
+    ).join(percent_rank_within(disciplines, [], "nb_1_total", "percentile_1").select("parent_1", "percentile_1"), "parent_1")
     largest = top_percentile(filter_null_any(ranked), {"percentile_1": 0.95, "percentile_0": 0.1})
     per_record = data.groupBy("lens_id").agg(F.bool_or("is_not_linked").alias("_missing"))
     linked_total = F.count(F.when(~F.col("_missing"), F.lit(1)))

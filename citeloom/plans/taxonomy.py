@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window as W, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from citeloom.functions.nested import array_filter_map
 from citeloom.functions.scalars import strip_prefix
-from citeloom.operators.grouping import children_per_parent
+from citeloom.operators.grouping import attach_group, children_per_parent
 from citeloom.operators.joins import join_split, union_all
 
 # The id namespace and the markers of the stored hierarchy.
@@ -110,7 +110,11 @@ def _resolved(nodes: DataFrame, edges: DataFrame, max_level: int) -> DataFrame:
     One row per node and distinct pair of ancestors. Level k looks up the finished rows of
     level k-1 through its parent edges, so a level costs two joins, edges to removed nodes
     find nothing and vanish, and many paths to the same ancestors stay one row.
+
+    A node without a level counts as one of level 0. Nodes above ``max_level``, the number of
+    levels the taxonomy has, stay as rows without ancestors.
     """
+    nodes = nodes.withColumn("level", F.coalesce("level", F.lit(0).cast(nodes.schema["level"].dataType)))
     found = ["parent_1", "parent_0", "display_name_1", "display_name_0"]
 
     def at(level: int) -> DataFrame:
@@ -139,12 +143,16 @@ def _resolved(nodes: DataFrame, edges: DataFrame, max_level: int) -> DataFrame:
                 "display_name_0",
             ).distinct()
         )
-    return union_all(*done)
+    apart = nodes.where((F.col("level") > max_level) | (F.col("level") < 0)).select(
+        "*", F.lit(NOT_APPLICABLE).alias("parent_1"), F.lit(NOT_APPLICABLE).alias("parent_0"),
+        nothing.alias("display_name_1"), nothing.alias("display_name_0"),
+    )
+    return union_all(*done, apart.distinct())
 
 
-def _distinct_parents(parent: str) -> Column:
-    """Number of different ancestors of a category; it has at most one row per pair of them."""
-    return F.size(F.collect_set(parent).over(W.partitionBy("category_id"))).cast("long").alias(f"nb_{parent}")
+def _with_parent_counts(rows: DataFrame, *parents: str) -> DataFrame:
+    """Each row with the numbers of different ancestors of its category."""
+    return attach_group(rows, ["category_id"], *[F.count_distinct(p).cast("long").alias(f"nb_{p}") for p in parents])
 
 
 def resolve_hierarchy(nodes: DataFrame, parent_edges: DataFrame, max_level: int = 5) -> DataFrame:
@@ -155,18 +163,19 @@ def resolve_hierarchy(nodes: DataFrame, parent_edges: DataFrame, max_level: int
     domain is ``'N/A'``; both count as values in nb_parent_1 and nb_parent_0.
     """
     wanted = nodes.select("category_id", "level", "display_name", "raw_display_name")
-    return _resolved(wanted, parent_edges, max_level).select(
+    return _with_parent_counts(_resolved(wanted, parent_edges, max_level), "parent_1", "parent_0").select(
         "category_id", "level", "display_name", "raw_display_name", "parent_1", "parent_0",
-        "display_name_1", "display_name_0", _distinct_parents("parent_1"), _distinct_parents("parent_0"),
+        "display_name_1", "display_name_0", "nb_parent_1", "nb_parent_0",
     )
 
 
 def resolve_topic_hierarchy(nodes: DataFrame, parent_edges: DataFrame) -> DataFrame:
     """Subfield, field and domain of every node of the four-level taxonomy.
 
-    Levels 0 to 2 follow the edges, topics (level 3) carry their ancestors in columns.
+    Levels 0 to 2 follow the edges, topics (level 3) carry their ancestors in columns. Nodes
+    of no or another level stay, as in ``_resolved``.
     """
-    upper = nodes.where(F.col("level") < 3).select("category_id", "level", "display_name")
+    upper = nodes.where(F.col("level").isNull() | (F.col("level") != 3)).select("category_id", "level", "display_name")
     is_subfield = F.col("level") == 2
     resolved = _resolved(upper, parent_edges, 2).select(
         "*",
@@ -181,9 +190,9 @@ def resolve_topic_hierarchy(nodes: DataFrame, parent_edges: DataFrame) -> DataFr
     for parent in parents:
         names = upper.select(F.col("category_id").alias(parent), F.col("display_name").alias(f"display_name_{parent[-1]}"))
         leaves = leaves.join(names, parent, "left")
-    return union_all(resolved, leaves).distinct().select(
+    return _with_parent_counts(union_all(resolved, leaves).distinct(), *parents).select(
         "category_id", "level", "display_name", *parents,
-        *[f"display_name_{p[-1]}" for p in parents], *[_distinct_parents(p) for p in parents],
+        *[f"display_name_{p[-1]}" for p in parents], *[f"nb_{p}" for p in parents],
     )
 
 
@@ -195,8 +204,9 @@ def link_categories(cats: DataFrame, hierarchy: DataFrame, record: str, value: s
     join below runs once.
     """
     known = cats.where(F.col(record).isNotNull()).select(record, F.col(value).alias(label))
+    hierarchy = hierarchy.where(F.col(label).isNotNull())
     labels = hierarchy.where(F.col("category_id").isNotNull()).select(label).distinct().withColumn("_known", F.lit(True))
     flags = (
-        known.join(labels, label, "left").groupBy(record).agg((F.count("_known") == 0).alias("is_not_linked"))
+        join_split(known, labels, [label], "left").groupBy(record).agg((F.count("_known") == 0).alias("is_not_linked"))
     )
-    return join_split(known.join(hierarchy, label, "left"), flags, [record], "left")
+    return join_split(join_split(known, hierarchy, [label], "left"), flags, [record], "left")

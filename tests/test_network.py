@@ -13,6 +13,10 @@ def edge_weights(df):
     return {(r["from"], r["to"], r["is_ext"]): r["weight"] for r in df.collect()}
 
 
+def net(df, cap=20, **more):
+    return network.collaboration_edges(df, network.team_sizes(df), cap, **more)
+
+
 def by_hand(lines, cap=20):
     """The definition, author pair by author pair."""
     records = {}
@@ -41,21 +45,21 @@ def by_hand(lines, cap=20):
 
 def test_worked_example(spark):
     lines = [(1, 1, 10), (1, 2, 20), (1, 3, 30), (2, 1, 10), (2, 1, 20), (2, 2, 10), (3, 1, 10)]
-    got = edge_weights(network.collaboration_edges(spark.createDataFrame(lines, SCHEMA)))
+    got = edge_weights(net(spark.createDataFrame(lines, SCHEMA)))
     third = pytest.approx(1 / 3)
     assert got == {(10, 10, False): 1.0, (10, 20, True): third, (10, 30, True): third, (20, 30, True): third}
 
 
 def test_team_cap_and_lonely_authors(spark):
     lines = [(1, a, a) for a in range(21)] + [(2, a, a) for a in range(20)] + [(3, 1, 5)]
-    got = edge_weights(network.collaboration_edges(spark.createDataFrame(lines, SCHEMA)))
+    got = edge_weights(net(spark.createDataFrame(lines, SCHEMA)))
     assert len(got) == 190 and sum(got.values()) == pytest.approx(1.0)
-    assert edge_weights(network.collaboration_edges(spark.createDataFrame(lines, SCHEMA), max_team_size=19)) == {}
+    assert edge_weights(net(spark.createDataFrame(lines, SCHEMA), 19)) == {}
 
 
 def test_authors_without_organisation(spark):
     lines = [(1, 1, 10), (1, 2, None), (1, 3, 20), (2, 1, None), (2, 2, None)]
-    got = edge_weights(network.collaboration_edges(spark.createDataFrame(lines, SCHEMA)))
+    got = edge_weights(net(spark.createDataFrame(lines, SCHEMA)))
     assert got == {(10, 20, True): 1.0}
 
 
@@ -65,14 +69,14 @@ def test_random_teams_match_the_definition(spark, partitions, seed):
     lines = [(rng.randrange(40), rng.randrange(6), rng.choice([None, *range(7)])) for _ in range(600)]
     df = spark.createDataFrame(lines, SCHEMA)
     want = {k: pytest.approx(v) for k, v in by_hand(lines).items()}
-    for got in partitions(lambda: edge_weights(network.collaboration_edges(df))):
+    for got in partitions(lambda: edge_weights(net(df))):
         assert got == want
 
 
 def test_every_team_weighs_one(spark):
     rng = random.Random(9)
     lines = [(r, a, rng.randrange(9)) for r in range(50) for a in range(rng.randrange(1, 6))]
-    got = edge_weights(network.collaboration_edges(spark.createDataFrame(lines, SCHEMA)))
+    got = edge_weights(net(spark.createDataFrame(lines, SCHEMA)))
     teams = {r for r, a, _ in lines if a > 0}
     assert sum(got.values()) == pytest.approx(len(teams))
 
@@ -83,7 +87,7 @@ def test_one_record_with_a_third_of_all_lines(spark):
     lines = [(0, a, o) for a in range(7) for o in range(300)] * 3
     lines += [(r, a, rng.randrange(300)) for r in range(1, 3000) for a in range(4)]
     df = spark.createDataFrame(lines, SCHEMA)
-    got = edge_weights(network.collaboration_edges(df))
+    got = edge_weights(net(df))
     want = by_hand(lines)
     assert got.keys() == want.keys()
     assert all(got[k] == pytest.approx(v) for k, v in want.items())
@@ -93,7 +97,7 @@ def test_nodes_count_fractions_and_records(spark):
     lines = [(1, 1, 10), (1, 2, 20), (2, 1, 10), (2, 2, 10), (3, 1, 99)]
     df = spark.createDataFrame(lines, SCHEMA)
     orgs = spark.createDataFrame([(10, "A", "N1"), (20, "B", "N2"), (99, "C", "N3")], "org_id long, name string, country_code string")
-    edges, nodes = network.collaboration_network(df, orgs)
+    edges, nodes = network.collaboration_network(df, network.team_sizes(df), orgs, 20)
     assert rows(nodes, "org_id", "nb_contributions", "nb_records") == [(10, 1.5, 2), (20, 0.5, 1)]
     assert rows(network.graph_vertices(nodes, edges)) == [(10, "A", "N1"), (20, "B", "N2")]
 
@@ -101,10 +105,24 @@ def test_nodes_count_fractions_and_records(spark):
 def test_network_between_countries(spark):
     lines = [(1, 1, "N1"), (1, 2, "N2"), (2, 1, "N1"), (2, 2, "N1")]
     df = spark.createDataFrame(lines, "lens_id long, contribution_id long, country_code string")
-    assert edge_weights(network.collaboration_edges(df, level="country_code")) == {("N1", "N2", True): 1.0, ("N1", "N1", False): 1.0}
+    assert edge_weights(net(df, level="country_code")) == {("N1", "N2", True): 1.0, ("N1", "N1", False): 1.0}
 
 
 def test_top_pairs(spark):
     lines = [(1, 1, 10), (1, 2, 20), (2, 1, 20), (2, 2, 10), (3, 1, 10), (3, 2, 30)]
-    top = network.top_pairs_unweighted(spark.createDataFrame(lines, SCHEMA), 1)
+    top = network.top_pairs_unweighted(spark.createDataFrame(lines, SCHEMA), network.team_sizes(spark.createDataFrame(lines, SCHEMA)), 1, 20)
     assert rows(top) == [(10, 20, 2)]
+
+
+def test_the_records_own_number_of_authors_counts(spark):
+    lines = spark.createDataFrame([(r, a, a) for r in (1, 2, 3, 4) for a in (1, 2)], SCHEMA)
+    records = spark.createDataFrame([(1, 500), (2, 2), (3, None)], "lens_id long, nb_authors int")
+    assert edge_weights(network.collaboration_edges(lines, records, 20)) == {(1, 2, True): 1.0}
+    assert edge_weights(network.collaboration_edges(lines, records, None)) == {(1, 2, True): 3.0}
+    assert rows(network.left_out(records, 20)) == [(2, 3)]
+
+
+def test_a_very_large_record_without_a_bound(spark):
+    lines = [(1, a, a % 40) for a in range(5000)]
+    got = edge_weights(net(spark.createDataFrame(lines, SCHEMA), None))
+    assert len(got) == 40 * 39 // 2 + 40 and sum(got.values()) == pytest.approx(1.0)

@@ -48,9 +48,8 @@ def test_percent_rank_equals_the_window_function(spark, partitions, hot):
 
 def test_nulls_are_not_ranked(spark):
     df = spark.createDataFrame([("a", 1.0), ("b", None), ("c", 3.0), ("d", 3.0)], "k string, v double")
-    for one_task_rows in (0, 100):
-        got = rows(ranking.percent_rank_groups(df, "v", "p", one_task_rows), "k", "p")
-        assert got == [("a", 0.0), ("b", None), ("c", 0.5), ("d", 0.5)]
+    got = rows(ranking.percent_rank_within(df, [], "v", "p"), "k", "p")
+    assert got == [("a", 0.0), ("b", None), ("c", 0.5), ("d", 0.5)]
 
 
 def test_shares_add_up_to_100(spark):
@@ -147,6 +146,20 @@ def test_boolean_definition_reaches_into_arrays(spark):
         predicates.bool_predicate({"regexp": {"kind": "b"}}, df.schema)
 
 
+def test_boolean_definition_supports_or_refuses_every_part(spark):
+    df = spark.createDataFrame([("x", 1), ("y", 5), ("z", 9), (None, 7)], "b string, n int")
+    find = lambda spec: sorted(r.n for r in df.where(predicates.bool_predicate(spec, df.schema)).collect())
+    assert find({"bool": {"must_not": [{"match": {"b": "x"}}]}}) == [5, 7, 9]
+    assert find({"range": {"n": {"gte": 2, "lt": 9}}}) == [5, 7]
+    assert find({"range": {"n": {"gt": 5}}}) == [7, 9]
+    assert find({"match": {"b": "y", "n": 5}}) == [5] and find({"match": {"b": "y", "n": 9}}) == []
+    assert find({"match": {"b": "y"}, "range": {"n": {"gt": 5}}}) == []
+    assert find({"bool": {"filter": {"match": {"b": "z"}}, "should": {"match": {"n": 9}}}}) == [9]
+    for wrong in ({}, {"bool": {"mst": []}}, {"range": {"n": {"from": 1}}}, {"range": {"n": {}}}, {"match": {}}, {"match": {"b": {"query": "x"}}}, {"terms": {"b": ["x"]}}):
+        with pytest.raises(ValueError):
+            predicates.bool_predicate(wrong, df.schema)
+
+
 def test_label_corrections(spark):
     df = spark.createDataFrame([("C1", "Metre"), ("C2", "Metre"), ("C3", "Dup")], "id string, name string")
     got = predicates.fix_duplicate_labels(df, "id", "name", ["C3"], {"C1": "Metre (SI)"})

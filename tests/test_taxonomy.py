@@ -34,6 +34,12 @@ def test_labels_and_parent_counts(spark, partitions):
         assert got == [("B", "A", "b", "a", 2, 2), ("B2", "A2", "b2", "a2", 2, 2)]
 
 
+def test_nodes_of_no_or_a_high_level_stay(spark):
+    n = nodes(spark, ("A", 0), ("B", 1), ("H", 6), ("U", None))
+    got = rows(taxonomy.resolve_hierarchy(n, edges(spark, ("B", "A"), ("H", "B"))), "category_id", "level", "parent_1", "parent_0")
+    assert got == [("A", 0, "N/A", "A"), ("B", 1, "B", "A"), ("H", 6, "N/A", "N/A"), ("U", 0, "N/A", "U")]
+
+
 def test_many_paths_stay_one_row(spark):
     middle = [(f"M{i}", 2) for i in range(30)]
     n = nodes(spark, ("A", 0), ("B", 1), *middle, ("Z", 3), ("Y", 4), ("X", 5))

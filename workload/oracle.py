@@ -106,14 +106,14 @@ totals AS (
   SELECT count(DISTINCT lens_id) - count(DISTINCT CASE WHEN is_not_linked THEN lens_id END) AS n FROM recent_links)"""
 
 
-def edges(org: str = "l_suppkey", lines: str = "lineitem") -> str:
+def edges(org: str = "l_suppkey", lines: str = "lineitem", most: int = 20) -> str:
     """Weighted pairs, written pair by pair of contributions as they are defined."""
     return f"""authors AS (
   SELECT l_orderkey AS r, l_linenumber AS c, list_sort(list(DISTINCT {org})) AS orgs FROM {lines} GROUP BY 1, 2),
 team AS (SELECT r, count(*) AS n FROM authors GROUP BY 1),
 author_pairs AS (
   SELECT a.r, a.c AS c1, b.c AS c2, a.orgs AS f, b.orgs AS t, NOT list_has_any(a.orgs, b.orgs) AS is_ext, n
-  FROM authors a JOIN authors b ON a.r = b.r AND a.c < b.c JOIN team ON team.r = a.r WHERE n <= 20),
+  FROM authors a JOIN authors b ON a.r = b.r AND a.c < b.c JOIN team ON team.r = a.r WHERE n <= {most}),
 half AS (SELECT r, c1, c2, is_ext, n, unnest(f) AS x, t FROM author_pairs),
 both_ends AS (SELECT r, c1, c2, is_ext, n, x, unnest(t) AS y FROM half),
 pairs AS (SELECT r, c1, c2, is_ext, n, least(x, y) AS p, greatest(x, y) AS q FROM both_ends),
@@ -368,6 +368,9 @@ FROM net"""
     # --- network -----------------------------------------------------------------------
     out = 'SELECT "from", "to", is_ext, round(weight, 6) AS weight FROM net'
     q["collaboration_edges"] = f"WITH {edges()} {out}"
+    q["collaboration_bounded"] = f"WITH {edges(most=3)} {out}"
+    q["collaboration_left_out"] = f"""WITH {TEAMS}
+SELECT count_if(nb_authors > 3)::BIGINT AS nb_left_out, count(*) AS nb_records FROM teams"""
     q["collaboration_nodes"] = f"""WITH {edges()}, {NET_NODES}
 SELECT org_id, round(nb_contributions, 6) AS nb_contributions, nb_records, name, country_code FROM net_nodes"""
     q["collaboration_by_country"] = f"""WITH {ORGS},
@@ -403,6 +406,17 @@ SELECT n.id AS category_id, n.level::BIGINT AS level, n.label AS display_name, n
        a.label AS display_name_1, b.label AS display_name_0, c.nb_parent_1, c.nb_parent_0
 FROM named n JOIN done d ON d.id = n.id JOIN counts c ON c.id = n.id
 LEFT JOIN named a ON a.id = d.parent_1 LEFT JOIN named b ON b.id = d.parent_0"""
+    q["resolve_hierarchy_any_level"] = f"""WITH {NODES},
+up AS (SELECT s_suppkey, s_nationkey, n_regionkey FROM supplier JOIN nation ON n_nationkey = s_nationkey),
+done AS (
+  SELECT id, 'N/A' AS parent_1, id AS parent_0 FROM nodes WHERE level = 0
+  UNION ALL SELECT 'N' || n_nationkey, 'N' || n_nationkey, 'R' || n_regionkey FROM nation
+  UNION ALL SELECT 'S' || s_suppkey, 'N' || s_nationkey, 'R' || n_regionkey FROM up WHERE s_suppkey NOT IN (3, 5, 8, 13)
+  UNION ALL SELECT id, 'N/A', 'N/A' FROM nodes WHERE level = 3)
+SELECT n.id AS category_id, CASE WHEN n.level = 3 THEN 6 ELSE n.level END::BIGINT AS level, n.label AS display_name,
+       n.raw AS raw_display_name, d.parent_1, d.parent_0, a.label AS display_name_1, b.label AS display_name_0,
+       1::BIGINT AS nb_parent_1, 1::BIGINT AS nb_parent_0
+FROM named n JOIN done d ON d.id = n.id LEFT JOIN named a ON a.id = d.parent_1 LEFT JOIN named b ON b.id = d.parent_0"""
     q["build_taxonomy_nodes"] = f"WITH {TOPICS} SELECT * FROM topic_nodes"
     q["taxonomy_parent_edges"] = f"""WITH {TOPICS}
 SELECT child AS category_id, parent, count(*) OVER (PARTITION BY parent) AS nb_children FROM edges"""
@@ -555,6 +569,10 @@ WHERE st IN ('O', 'P') AND year(o_orderdate) BETWEEN {LO} AND {HI} AND (
   o_orderpriority = '1-URGENT'
   OR (c_nationkey = 3 AND nb_authors > 0)
   OR (st = 'P' AND floor(o_totalprice / 1000) BETWEEN 100 AND 200))"""
+    q["bool_predicate_full"] = f"""WITH {PUBS}, x AS (SELECT *, floor(o_totalprice / 1000) AS citations FROM pubs)
+SELECT lens_id, CAST(year(o_orderdate) AS BIGINT) AS year_published FROM x
+WHERE citations > 20 AND citations < 200 AND citations BETWEEN 30 AND 190 AND o_orderpriority <> '1-URGENT'
+  AND NOT (c_nationkey = 3 AND nb_authors > 0)"""
     q["filter_in_list"] = """SELECT p_partkey AS part_id, p_name AS label, CASE WHEN p_size > 40 THEN 'large' ELSE p_brand END AS brand
 FROM part WHERE p_type NOT IN ('PROMO', 'ECONOMY') AND contains(p_name, 'ring')"""
     q["sample_keys"] = """WITH chosen AS (

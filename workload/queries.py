@@ -242,15 +242,27 @@ def graph_edges(spark, d):
 
 @query
 def collaboration_edges(spark, d):
-    edges = network.collaboration_edges(star.team_lines(spark, d))
+    edges = network.collaboration_edges(star.team_lines(spark, d), star.team_records(spark, d), star.MAX_TEAM_SIZE)
     return edges.select("from", "to", "is_ext", *_r6("weight"))
 
 
+@query
+def collaboration_bounded(spark, d):
+    """The network with a bound on the team size that leaves many records out."""
+    edges = network.collaboration_edges(star.team_lines(spark, d), star.team_records(spark, d), 3)
+    return edges.select("from", "to", "is_ext", *_r6("weight"))
+
+
+@query
+def collaboration_left_out(spark, d):
+    return network.left_out(star.team_records(spark, d), 3)
+
+
 @query
 def collaboration_nodes(spark, d):
-    lines = star.team_lines(spark, d)
-    edges = stage(network.collaboration_edges(lines), "edges")
-    return network.collaboration_nodes(lines, edges, star.organisations(spark, d)).select(
+    lines, records = star.team_lines(spark, d), stage(star.team_records(spark, d), "teams")
+    edges = stage(network.collaboration_edges(lines, records, star.MAX_TEAM_SIZE), "edges")
+    return network.collaboration_nodes(lines, records, edges, star.organisations(spark, d), star.MAX_TEAM_SIZE).select(
         "org_id", *_r6("nb_contributions"), "nb_records", "name", "country_code"
     )
 
@@ -258,19 +270,19 @@ def collaboration_nodes(spark, d):
 @query
 def collaboration_by_country(spark, d):
     lines = star.team_lines(spark, d).join(star.organisations(spark, d).select("org_id", "country_code"), "org_id")
-    return network.collaboration_edges(lines, level="country_code").select("from", "to", "is_ext", *_r6("weight"))
+    return network.collaboration_edges(lines, star.team_records(spark, d), star.MAX_TEAM_SIZE, level="country_code").select("from", "to", "is_ext", *_r6("weight"))
 
 
 @query
 def collaboration_sample(spark, d):
     """The network over a repeatable sample of records."""
-    edges = network.collaboration_edges(star.team_lines(spark, d), sample=1000)
+    edges = network.collaboration_edges(star.team_lines(spark, d), star.team_records(spark, d), star.MAX_TEAM_SIZE, sample=1000)
     return edges.select("from", "to", "is_ext", *_r6("weight"))
 
 
 @query
 def top_pairs_unweighted(spark, d):
-    return network.top_pairs_unweighted(star.team_lines(spark, d), 30)
+    return network.top_pairs_unweighted(star.team_lines(spark, d), star.team_records(spark, d), 30, star.MAX_TEAM_SIZE)
 
 
 # --- taxonomy -------------------------------------------------------------------------
@@ -282,6 +294,15 @@ def resolve_hierarchy(spark, d):
     return star.hierarchy(spark, d, deep=True)
 
 
+@query
+def resolve_hierarchy_any_level(spark, d):
+    """Parts on a level above the taxonomy's last one, and one region without a level."""
+    nodes = star.taxonomy_nodes(spark, d, deep=True)
+    level = F.when(F.col("category_id") == "R1", F.lit(None)).when(F.col("level") == 3, F.lit(6)).otherwise(F.col("level"))
+    nodes = nodes.withColumn("level", level.cast("long"))
+    return taxonomy.resolve_hierarchy(nodes, star.taxonomy_edges(spark, d, deep=True))
+
+
 def _topic_tables(spark, d):
     return taxonomy.build_taxonomy_nodes(star.topics(spark, d))
 
@@ -533,6 +554,23 @@ def bool_predicate(spark, d):
     return pubs.where(found).select("lens_id", F.col("year_published").cast("long").alias("year_published"))
 
 
+FULL_SEARCH = {
+    "bool": {
+        "filter": {"range": {"scholarly_citations_count": {"gt": "20", "lt": "200"}}},
+        "must_not": [{"match": {"publication_type": "1-URGENT"}}, {"term": {"authors.affiliations.country_code": "N3"}}],
+    },
+    "range": {"scholarly_citations_count": {"gte": "30", "lte": "190"}},
+}
+
+
+@query
+def bool_predicate_full(spark, d):
+    """Exclusions, open bounds and several clauses in one definition."""
+    pubs = star.publications(spark, d)
+    found = predicates.bool_predicate(FULL_SEARCH, pubs.schema)
+    return pubs.where(found).select("lens_id", F.col("year_published").cast("long").alias("year_published"))
+
+
 @query
 def filter_in_list(spark, d):
     kept = predicates.filter_in_list(load(spark, d, "part"), "p_type", ["PROMO", "ECONOMY"], negate=True)
@@ -621,7 +659,7 @@ def percent_rank_groups(spark, d):
 @query
 def top_percentile(spark, d):
     totals = stage(load(spark, d, "lineitem").groupBy("l_partkey").agg(F.sum("l_quantity").alias("total")), "totals")
-    ranked = ranking.percent_rank_groups(totals, "total", "percentile")
+    ranked = ranking.percent_rank_within(totals, [], "total", "percentile")
     return ranking.top_percentile(ranked, {"percentile": 0.95}).select("l_partkey", "total")
 
 

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from citeloom.functions.predicates import fix_duplicate_labels
 from citeloom.operators.joins import union_all
-from citeloom.plans.network import collaboration_edges, collaboration_nodes
+from citeloom.plans.network import collaboration_edges, collaboration_nodes, team_sizes
 from citeloom.plans.taxonomy import link_categories, resolve_hierarchy
 from citeloom.session import stage
 from citeloom.sources.codes import type_thesaurus, unify_document_type
@@ -99,6 +99,15 @@ def team_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+#: The bound of the definition: records of more authors are no collaboration.
+MAX_TEAM_SIZE = 20
+
+
+def team_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records with their number of authors."""
+    return team_sizes(team_lines(spark, sf_dir))
+
+
 def organisations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Suppliers; those of nation 0 stand for organisations without a known country."""
     nation = F.col("s_nationkey")
@@ -204,10 +213,11 @@ def typed_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 def network(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """Stored network tables and what the collaboration reports read besides."""
     lines, orgs = team_lines(spark, sf_dir), organisations(spark, sf_dir)
-    edges = stage(collaboration_edges(lines), "edges")
+    records = stage(team_records(spark, sf_dir), "teams")
+    edges = stage(collaboration_edges(lines, records, MAX_TEAM_SIZE), "edges")
     return {
         "net_org_edges": edges,
-        "net_org_nodes": stage(collaboration_nodes(lines, edges, orgs), "nodes"),
+        "net_org_nodes": stage(collaboration_nodes(lines, records, edges, orgs, MAX_TEAM_SIZE), "nodes"),
         "locations": locations(spark, sf_dir),
         "countries": countries(spark, sf_dir),
     }
