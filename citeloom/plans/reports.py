@@ -18,7 +18,7 @@ from citeloom.functions.scalars import (
 )
 from citeloom.operators.grouping import count_distinct_pair, filter_flagged, fractional_count, trend_line, weighted_median
 from citeloom.operators.joins import join_lookup_code, join_many_to_many, keep_keys_of, union_distinct_keys
-from citeloom.operators.ranking import percent_rank_within, share_of_total, sort_desc, top_n_threshold, top_percentile
+from citeloom.operators.ranking import percent_rank_within, share_of_total, sort_desc, top_n, top_n_threshold, top_percentile
 from citeloom.session import stage
 
 Tables = Mapping[str, DataFrame]
@@ -117,7 +117,7 @@ def _classes(df: DataFrame, total: Column, divisors: Mapping[str, float]) -> Dat
     )
 
 
-def report_document_types(tables: Tables, years: Years = None) -> Report:
+def report_document_types(tables: Tables, years: Years = None, top: int = 10) -> Report:
     """Records per document type with their share and team sizes."""
     grouped = (
         filter_year_range(tables["records"], "year_published", years)
@@ -132,12 +132,12 @@ def report_document_types(tables: Tables, years: Years = None) -> Report:
     clean = filter_null_any(shares)
     return {
         "table": sort_desc(clean, ["nb_records"], ["publication_type"]),
-        "top": sort_desc(clean, ["share_records"], ["publication_type"]).limit(10),
+        "top": top_n(clean, [F.col("share_records").desc_nulls_last(), F.col("publication_type").asc_nulls_last()], top),
         "hero": _headline(clean, F.max("nb_records")),
     }
 
 
-def report_sources(tables: Tables, years: Years = None) -> Report:
+def report_sources(tables: Tables, years: Years = None, top: int = 10) -> Report:
     """Records per source title with share, mean year and team sizes."""
     facts = filter_year_range(tables["records"], "year_published", years).select("source_id", "nb_authors", "year_published")
     grouped = (
@@ -154,7 +154,7 @@ def report_sources(tables: Tables, years: Years = None) -> Report:
     clean = filter_null_any(shares).withColumn("share_records", round_after_fetch("share_records", 1))
     return {
         "table": sort_desc(clean, ["nb_records"], ["title"]),
-        "top": sort_desc(clean, ["nb_records"], ["title"]).limit(10),
+        "top": top_n(clean, [F.col("nb_records").desc_nulls_last(), F.col("title").asc_nulls_last()], top),
         "hero": _headline(clean, F.count_distinct("title")),
     }
 
@@ -178,7 +178,7 @@ def report_years(tables: Tables, years: Years = None) -> Report:
     }
 
 
-def report_countries(tables: Tables, years: Years = None) -> Report:
+def report_countries(tables: Tables, years: Years = None, top: int = 10) -> Report:
     """Records per country of the affiliated organisations.
 
     A record counts once in each of its countries. Means and medians are over affiliation
@@ -202,12 +202,12 @@ def report_countries(tables: Tables, years: Years = None) -> Report:
     shares = share_of_total(stage(grouped, "countries"), "nb_records", "share_records")
     named = join_lookup_code(filter_null_any(shares), tables["countries"], "country_code", "country_code", "country", {"??": "unknown"})
     on_map = keep_keys_of(named, "country_code", tables["countries"], "country_code")
-    top = on_map.agg(F.max("nb_records")).scalar()
+    most = on_map.agg(F.max("nb_records")).scalar()
     return {
         "table": sort_desc(named, ["nb_records"], ["country_code"]),
-        "top": sort_desc(named, ["nb_records"], ["country_code"]).limit(10),
+        "top": top_n(named, [F.col("nb_records").desc_nulls_last(), F.col("country_code").asc_nulls_last()], top),
         "hero": _headline(named, F.sum("nb_records")),
-        "map": on_map.withColumn("bin", bin_of("nb_records", bin_edges(top, plus_one=False))),
+        "map": on_map.withColumn("bin", bin_of("nb_records", bin_edges(most, plus_one=False))),
     }
 
 
@@ -333,7 +333,7 @@ def _external(tables: Tables, limit: float | None) -> tuple[DataFrame, DataFrame
     return edges, nodes
 
 
-def report_collaborations(tables: Tables, limit: float | None = 1.0) -> Report:
+def report_collaborations(tables: Tables, limit: float | None = None) -> Report:
     """Pairs of organisations that work together, both named, with their record counts."""
     edges, nodes = _external(tables, limit)
     rounded = edges.select("from", "to", round_after_fetch("weight", 1).alias("weight"))
@@ -346,7 +346,7 @@ def report_collaborations(tables: Tables, limit: float | None = 1.0) -> Report:
     }
 
 
-def report_collaboration_map(tables: Tables, limit: float | None = 1.0, short_labels: bool = False) -> Report:
+def report_collaboration_map(tables: Tables, limit: float | None = None, short_labels: bool = False) -> Report:
     """The collaboration report with organisations per country and the map labels.
 
     ``tables["countries"]`` lists the countries on the map (country_code, admin). The
@@ -374,6 +374,6 @@ def report_collaboration_map(tables: Tables, limit: float | None = 1.0, short_la
     }
 
 
-def report_collaboration_map_simple(tables: Tables, limit: float | None = 1.0) -> Report:
+def report_collaboration_map_simple(tables: Tables, limit: float | None = None) -> Report:
     """The map with short organisation labels."""
     return report_collaboration_map(tables, limit, short_labels=True)

@@ -196,6 +196,19 @@ def resolve_topic_hierarchy(nodes: DataFrame, parent_edges: DataFrame) -> DataFr
     )
 
 
+def discipline_labels(hierarchy: DataFrame) -> DataFrame:
+    """The raw labels of every discipline, one row each, with its number of categories.
+
+    Categories of level 0 and those without a known ancestor are left out.
+    """
+    key = ["parent_1", "display_name_1"]
+    below = hierarchy.where((F.col("level") > 0) & (F.col("parent_1") != NO_ANCESTOR))
+    for c in key:
+        below = below.where(F.col(c).isNotNull())
+    sizes = below.groupBy(*key).agg(F.count_distinct("category_id").alias("nb_id"))
+    return join_split(below.select(*key, "raw_display_name").distinct(), sizes, key).select(*key, "raw_display_name", "nb_id")
+
+
 def link_categories(cats: DataFrame, hierarchy: DataFrame, record: str, value: str, label: str) -> DataFrame:
     """Record categories with their place in the taxonomy.
 

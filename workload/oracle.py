@@ -326,6 +326,9 @@ SELECT parent_0, parent_1, round(nb_1, 6) AS nb_1, round(nb_0, 6) AS nb_0, round
 FROM ranked"""
     q["flow_domain_discipline"] = f"""WITH {FLOWS}
 SELECT display_name_0, display_name_1, round(sum(nb_1), 6) AS weight FROM leaves GROUP BY 1, 2"""
+    q["flow_domain_discipline_shown"] = f"""WITH {FLOWS}
+SELECT display_name_0, display_name_1, round(sum(nb_1), 6) AS weight FROM ranked
+WHERE percentile_1 > 0.95 AND percentile_0 > 0.1 GROUP BY 1, 2"""
     q["domain_match_classes"] = f"""WITH {FLOWS}
 SELECT t AS distance_type, round(n / d, 6) AS nb_orgs
 FROM totals, (VALUES ('Exact', 5.0::DOUBLE), ('Close', 2.5::DOUBLE), ('Related', 5.0::DOUBLE / 3)) v(t, d)"""
@@ -406,6 +409,10 @@ SELECT n.id AS category_id, n.level::BIGINT AS level, n.label AS display_name, n
        a.label AS display_name_1, b.label AS display_name_0, c.nb_parent_1, c.nb_parent_0
 FROM named n JOIN done d ON d.id = n.id JOIN counts c ON c.id = n.id
 LEFT JOIN named a ON a.id = d.parent_1 LEFT JOIN named b ON b.id = d.parent_0"""
+    q["discipline_labels"] = f"""WITH h AS ({q["resolve_hierarchy"]}),
+below AS (SELECT * FROM h WHERE level > 0 AND parent_1 <> '0' AND display_name_1 IS NOT NULL),
+sizes AS (SELECT parent_1, display_name_1, count(DISTINCT category_id) AS nb_id FROM below GROUP BY 1, 2)
+SELECT DISTINCT parent_1, display_name_1, raw_display_name, nb_id FROM below JOIN sizes USING (parent_1, display_name_1)"""
     q["resolve_hierarchy_any_level"] = f"""WITH {NODES},
 up AS (SELECT s_suppkey, s_nationkey, n_regionkey FROM supplier JOIN nation ON n_nationkey = s_nationkey),
 done AS (
@@ -561,6 +568,7 @@ best AS (
   SELECT user_id, event_type, event_id, value,
          row_number() OVER (PARTITION BY user_id ORDER BY value DESC NULLS LAST, event_id) AS n FROM events)
 SELECT s.*, b.event_type, b.event_id, b.value FROM scores s JOIN best b USING (user_id) WHERE n = 1"""
+    q["merge_searches_minimum"] = q["merge_searches"] + " AND value >= 150.0"
     q["dedupe_keep_best"] = """SELECT doc_id, n_chars, lang, sha256(text) AS digest FROM (
   SELECT *, row_number() OVER (PARTITION BY text ORDER BY n_chars DESC NULLS LAST, doc_id) AS n FROM documents) WHERE n = 1"""
     q["bool_predicate"] = f"""WITH {PUBS}
@@ -653,6 +661,7 @@ UNION ALL SELECT c_mktsegment, 'unification', 'thesaurus', 'publication_type', '
        '{"ja":{"label":"J","source_types":["a","b"]}}' FROM customer"""
 
     # --- files -------------------------------------------------------------------------
+    q["roundtrip_manifest"] = "SELECT event_id, user_id, event_type, value, props FROM events"
     q["roundtrip_gzip_json"] = "SELECT event_id, user_id, event_type, value, props FROM events"
     q["scan_paged_append"] = """SELECT event_id, user_id, CASE WHEN event_type = 'view' THEN 1000.0::DOUBLE ELSE value END AS score FROM events"""
     q["roundtrip_table"] = f"WITH {FACTS} SELECT lens_id, citations, year_published FROM facts WHERE year_published >= 1998"

@@ -163,6 +163,12 @@ def domain_discipline_ranks(spark, d):
     )
 
 
+@query
+def flow_domain_discipline_shown(spark, d):
+    """Weights of the flows of the disciplines that the report shows."""
+    return _domains(spark, d)["flows"].select("display_name_0", "display_name_1", *_r6("weight"))
+
+
 @query
 def flow_domain_discipline(spark, d):
     """Weights of all domain to discipline flows."""
@@ -294,6 +300,11 @@ def resolve_hierarchy(spark, d):
     return star.hierarchy(spark, d, deep=True)
 
 
+@query
+def discipline_labels(spark, d):
+    return taxonomy.discipline_labels(star.hierarchy(spark, d, deep=True))
+
+
 @query
 def resolve_hierarchy_any_level(spark, d):
     """Parts on a level above the taxonomy's last one, and one region without a level."""
@@ -528,6 +539,13 @@ def merge_searches(spark, d):
     return searches.merge_stacked(events, "user_id", "event_type", "value", TOPICS, "event_id")
 
 
+@query
+def merge_searches_minimum(spark, d):
+    """Only records whose best score reaches a minimum."""
+    events = load(spark, d, "events").select("user_id", "event_type", "event_id", "value")
+    return searches.merge_stacked(events, "user_id", "event_type", "value", TOPICS, "event_id", minimum=MINIMUM_SCORE)
+
+
 @query
 def dedupe_keep_best(spark, d):
     """One document per text: the longest, ties to the smallest id."""
@@ -535,6 +553,8 @@ def dedupe_keep_best(spark, d):
     return grouping.dedupe_keep_best(documents, ["digest"], "n_chars", ["doc_id"])
 
 
+MINIMUM_SCORE = 150.0
+
 SEARCH = {
     "bool": {
         "should": [
@@ -768,6 +788,19 @@ def roundtrip_gzip_json(spark, d):
     return files.scan_gzip_jsonl(spark, path, events.schema)
 
 
+@query
+def roundtrip_manifest(spark, d):
+    """Events written as gzip parts, listed in a manifest with another prefix and read by it."""
+    events = load(spark, d, "events").select("event_id", "user_id", "event_type", "value", "props")
+    path, manifest = new_path(spark, "parts"), new_path(spark, "manifest")
+    events.write.option("compression", "gzip").json(path)
+    url = F.regexp_replace(F.input_file_name(), "^.*/", "s3://dump/")
+    parts = spark.read.schema("event_id bigint").json(path).select(url.alias("url")).distinct()
+    entries = parts.agg(F.sort_array(F.collect_list(F.struct("url"))).alias("entries"))
+    entries.select(F.to_json(F.struct("entries")).alias("value")).write.text(manifest)
+    return files.scan_manifest(spark, manifest, events.schema, {"s3://dump": path})
+
+
 @query
 def roundtrip_nested_json(spark, d):
     """Publication documents written as JSON lines, read back and flattened."""
