@@ -32,6 +32,7 @@ removes nor loses any; other columns are ignored; no rows give no rows.
 from __future__ import annotations
 
 import hashlib
+from array import array
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -47,7 +48,7 @@ SPAN = 50
 GRAM = 24
 WINDOW = SPAN - GRAM + 1
 #: Text bytes whose anchors one bucket compares, on average.
-BUCKET_BYTES = 24 << 20
+BUCKET_BYTES = 12 << 20
 #: One document in so many gives hints of frequent anchors; the contexts that make one frequent.
 HINT_SHARE = 64
 HINT_CONTEXTS = 8
@@ -123,7 +124,7 @@ def _from_planes(data: memoryview, size: int, count: int) -> np.ndarray:
 def _entries(batches: Iterable[pa.RecordBatch], buckets: int, frequent: np.ndarray) -> Iterator[pa.RecordBatch]:
     """Packed entries of each bucket, and the ranges that folding already settled."""
     zip_ = zstandard.ZstdCompressor(level=1)
-    for chunk in text_chunks(batches):
+    for chunk in text_chunks(batches, limit=6 << 20):
         ids = chunk.column("doc_id").to_numpy(zero_copy_only=False).astype(np.int64)
         parts, sizes = [], []
         for text in chunk.column("text").to_pylist():
@@ -145,7 +146,7 @@ def _entries(batches: Iterable[pa.RecordBatch], buckets: int, frequent: np.ndarr
             gone = np.flatnonzero(settled[cut]) + bounds[b]
             used, own = np.unique(row[keep], return_inverse=True)
             packed = _planes(h[keep], 5) + _planes(c[keep], 6) + _planes(own, 4) + _planes(place[keep], 4) + _planes(left[keep], 1) + _planes(count[keep], 1)
-            out[0].append(b), out[1].append(len(keep)), out[2].append(zip_.compress(packed)), out[3].append(ids[used].tobytes())
+            out[0].append(b), out[1].append(len(keep)), out[2].append(zip_.compress(packed)), out[3].append(zip_.compress(ids[used].tobytes()))
             out[4].append(zip_.compress(np.stack((ids[row[gone]], _item(False, place[gone], left[gone], count[gone]))).tobytes()))
         yield pa.RecordBatch.from_arrays(
             [pa.array(out[0], pa.int32()), pa.array(out[1], pa.int64()), *[pa.array(x, pa.binary()) for x in out[2:]]], names=["bucket", "n", "packed", "docs", "settled"]
@@ -163,7 +164,7 @@ def _compare(key: tuple, table: pa.Table) -> pa.Table:
         for size in (5, 6, 4, 4, 1, 1):
             fields.append(_from_planes(data[at : at + size * n], size, n))
             at += size * n
-        fields[2] = np.frombuffer(ids, np.int64)[fields[2].astype(np.int64)] if n else np.zeros(0, np.int64)
+        fields[2] = np.frombuffer(unzip.decompress(ids), np.int64)[fields[2].astype(np.int64)] if n else np.zeros(0, np.int64)
         parts.append(fields)
     h, c, doc, place, left, count = (np.concatenate(x) for x in zip(*parts))
     order = np.argsort(h, kind="stable")
@@ -296,24 +297,32 @@ def _merge(key: tuple, table: pa.Table) -> pa.Table:
         docs.append(iter(both[0].tolist())), places.append(iter(both[1].tolist()))
         ends = np.cumsum(np.frombuffer(sizes, np.uint8).astype(np.int64)).tolist()
         lefts.append(iter([left[e - s : e] for e, s in zip(ends, sizes)]))
-    out_docs, out_items = [], []
+    out_docs, out_items = array("q"), array("q")
 
     def settle(group: list[tuple[bytes, bytes, int, int]]) -> None:
         if len(group) < 2:
             return
-        smallest: dict[bytes, int] = {}
+        # Equal contexts are compared once, for the smallest of their documents.
+        contexts: dict[tuple[bytes, bytes], int] = {}
         for suffix, left, doc, _ in group:
-            whole = left + suffix
-            for k in range(len(whole) - SPAN + 1):
-                # Anchored at the same place, so the string and where its anchor is must agree.
-                string = (len(left) - k, whole[k : k + SPAN])
+            if contexts.get((left, suffix), doc) >= doc:
+                contexts[left, suffix] = doc
+        # Anchored at the same place, so the string and where its anchor is must agree.
+        strings = lambda left, suffix: [(len(left) - k, (left + suffix)[k : k + SPAN]) for k in range(len(left) + len(suffix) - SPAN + 1)]
+        smallest: dict[tuple[int, bytes], int] = {}
+        for (left, suffix), doc in contexts.items():
+            for string in strings(left, suffix):
                 if smallest.get(string, doc) >= doc:
                     smallest[string] = doc
+        least = {c: [smallest[string] for string in strings(*c)] for c in contexts}
         for suffix, left, doc, place in group:
-            whole = left + suffix
-            for k in range(len(whole) - SPAN + 1):
-                if smallest[(len(left) - k, whole[k : k + SPAN])] < doc:
-                    out_docs.append(doc), out_items.append(((place - len(left) + k) << 16) | 1)
+            begin, run = place - len(left), 0
+            for k, other in enumerate([*least[left, suffix], doc]):
+                if other < doc:
+                    run += 1
+                elif run:
+                    out_docs.append(doc), out_items.append(((begin + k - run) << 16) | run)
+                    run = 0
 
     group: list[tuple[bytes, bytes, int, int]] = []
     for suffix, shared, run in merge_runs(runs):
@@ -322,7 +331,7 @@ def _merge(key: tuple, table: pa.Table) -> pa.Table:
             group = []
         group.append((suffix, next(lefts[run]), next(docs[run]), next(places[run])))
     settle(group)
-    return pa.table({"doc_id": pa.array(out_docs, pa.int64()), "item": pa.array(out_items, pa.int64())})
+    return pa.table({"doc_id": pa.array(np.frombuffer(out_docs, np.int64)), "item": pa.array(np.frombuffer(out_items, np.int64))})
 
 
 def _cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
