@@ -28,6 +28,11 @@ _REST = rb"[^" + _SPACE + rb"]+"
 _SPACED_PARTS = re.compile(rb"(?:(?<![" + _SPACE + rb"]) |^|\n)" + _LETTERS + _STOP + rb"|[" + _SPACE + rb"]*" + _REST + rb"|[" + _SPACE + rb"]+")
 _PARTS = re.compile(rb"(?<![^" + _SPACE + rb"])" + _LETTERS + _STOP + rb"|" + _REST)
 _PLAIN_WORD = re.compile(rb" ?" + _LETTERS)
+_MARKS = re.compile(rb"[!-/:-@\[-`{-~]+")
+# Texts of ASCII and Latin-1 letters with single spaces are cut by replacing, which is faster.
+_NOT_SIMPLE = re.compile(rb"[\x1c-\x1f\xc2\xc4-\xff]|\xc3[\x97\xb7]")
+_RUN_OF_SPACE = re.compile(rb"[\t\r\x0b\x0c]|[ \n][ \n]")
+_CUT = b"\xff"  # in no UTF-8 text
 # White space outside ASCII and separators on whose class programs differ; such a text is encoded as a whole.
 _OTHER_SPACE = re.compile(rb"[\x1c-\x1f]|\xc2[\x85\xa0]|\xe1\x9a\x80|\xe1\xa0\x8e|\xe2\x80[\x80-\x8b\xa8\xa9\xaf]|\xe2\x81[\x9f\xa0]|\xe3\x80\x80|\xef\xbb\xbf")
 
@@ -50,9 +55,14 @@ class PartEncoder:
         self.older: dict[bytes, bytes] = {}
 
     def _cut(self, text: bytes) -> list[bytes]:
+        simple = not _NOT_SIMPLE.search(text)
         if self.lower_case:
-            # A special token is one in its own case only.
-            return _PARTS.findall(text if b"<|" in text else text.lower())
+            if b"<|" in text:  # a special token is one in its own case only
+                return _PARTS.findall(text)
+            return _MARKS.sub(rb" \g<0>", text.lower()).split() if simple else _PARTS.findall(text.lower())
+        if simple and b"<|" not in text and not _RUN_OF_SPACE.search(text):
+            cut = _MARKS.sub(_CUT + rb"\g<0>", text).replace(b" " + _CUT, b" ")
+            return cut.replace(b" ", _CUT + b" ").replace(b"\n", _CUT + b"\n").split(_CUT)
         return [text] if _OTHER_SPACE.search(text) else _SPACED_PARTS.findall(text)
 
     def _encode(self, parts: list[bytes]) -> list[bytes]:
