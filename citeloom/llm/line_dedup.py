@@ -13,6 +13,10 @@ both ways: each run of ``RUN`` units around it is compared, by the hashes of its
 the earliest run like it. Runs that follow each other make up longer ones, and all of those
 units are deleted.
 
+With ``passage_words``, one or two units that hold as many words together are runs as well,
+whatever the number of units around them, so that passages written as one or two long lines
+are found too. Every such run is a fingerprint of its own.
+
 Hot lines: places of a hash are counted and their earliest is found by grouping, which combines
 before the shuffle, and joined back; pairs of places are never made.
 
@@ -30,6 +34,8 @@ from citeloom.session import stage
 
 RUN = 3
 GRAM = 2
+#: Words that make one or two units a passage.
+PASSAGE_WORDS = 50
 _BLANK = " \t\n\r\f\x0b"
 _KEY = ["doc_id", "text_hash"]
 
@@ -54,14 +60,22 @@ def _selected(grams: Column, window: int) -> Column:
     return F.when(last < 0, F.array().cast("array<int>")).otherwise(F.transform(F.sequence(F.lit(0), F.greatest(last, F.lit(0))), lambda i: best(i)["at"]))
 
 
-def repeated_units(docs: DataFrame, run: int = RUN, gram: int = GRAM) -> DataFrame:
+def repeated_units(docs: DataFrame, run: int = RUN, gram: int = GRAM, passage_words: int | None = None) -> DataFrame:
     """(doc_id, text_hash, deleted) of the documents that lose units; ``deleted`` lists their places."""
-    hashes = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), F.transform(units(F.col("text")), lambda u: F.xxhash64(F.btrim(u, F.lit(_BLANK)))).alias("lines"))
-    hashes = hashes.filter(F.size("lines") >= run).select(*_KEY, "lines", _runs(F.col("lines"), gram).alias("grams"))
-    chosen = hashes.select(*_KEY, "lines", "grams", _selected(F.col("grams"), run - gram + 1).alias("at"))
+    bare = lambda u: F.btrim(u, F.lit(_BLANK))
+    own = units(F.col("text"))
+    hashes = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), F.transform(own, lambda u: F.xxhash64(bare(u))).alias("lines"), F.transform(own, lambda u: F.size(F.split(bare(u), r"[ \t\n\r\f\x0B]+"))).alias("words"))
+    hashes = hashes.filter(F.size("lines") >= (run if passage_words is None else 1)).select(*_KEY, "lines", "words", _runs(F.col("lines"), gram).alias("grams"))
+    chosen = hashes.select(*_KEY, "lines", "words", "grams", _selected(F.col("grams"), run - gram + 1).alias("at"))
+    run_hash = lambda i, size: F.xxhash64(F.lit(size), *[F.get("lines", i + k) for k in range(size)])
+    kind = lambda fingerprint, inside, i, size: F.struct(fingerprint.alias("fingerprint"), inside.alias("inside"), i.alias("begin"), F.lit(size).alias("size"), run_hash(i, size).alias("run_hash"))
     # Every run of RUN units with the fingerprint selected in it.
-    run_hash = lambda i: F.xxhash64(F.lit(run), *[F.get("lines", i + k) for k in range(run)])
-    every = chosen.select(*_KEY, F.inline(F.transform("at", lambda at, i: F.struct(F.get("grams", at).alias("fingerprint"), (at - i).alias("inside"), i.alias("begin"), run_hash(i).alias("run_hash")))))
+    found = [F.transform("at", lambda at, i: kind(F.get("grams", at), at - i, i, run))]
+    enough = lambda size: lambda i: (i <= F.size("lines") - size) & (sum(F.coalesce(F.get("words", i + k), F.lit(0)) for k in range(size)) >= passage_words)
+    alone = lambda size: lambda i: kind(run_hash(i, size), F.lit(0), i, size)
+    for size in () if passage_words is None else range(1, run):
+        found.append(F.transform(F.filter(F.sequence(F.lit(0), F.size("lines") - 1), enough(size)), alone(size)))
+    every = chosen.select(*_KEY, F.inline(F.concat(*found)))
     every = stage(every.distinct(), "runs")
 
     place = F.struct("doc_id", "text_hash", (F.col("begin") + F.col("inside")).alias("at"))
@@ -69,18 +83,18 @@ def repeated_units(docs: DataFrame, run: int = RUN, gram: int = GRAM) -> DataFra
     near = every.join(shared, "fingerprint", "left_semi")
     first = near.groupBy("run_hash", "fingerprint").agg(F.min(F.struct("doc_id", "text_hash", "begin")).alias("first"))
     same_doc = F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("text_hash") == F.col("first.text_hash"))
-    later = near.join(first, ["run_hash", "fingerprint"]).filter(~same_doc | (F.col("begin") >= F.col("first.begin") + run)).select(*_KEY, "begin")
-    covered = later.select(*_KEY, "begin", F.explode(F.sequence("begin", F.col("begin") + run - 1)).alias("unit"))
+    later = near.join(first, ["run_hash", "fingerprint"]).filter(~same_doc | (F.col("begin") >= F.col("first.begin") + F.col("size"))).select(*_KEY, "begin", "size")
+    covered = later.select(*_KEY, "begin", F.explode(F.sequence("begin", F.col("begin") + F.col("size") - 1)).alias("unit"))
     return covered.groupBy(*_KEY).agg(F.array_sort(F.collect_set("unit")).alias("deleted"))
 
 
-def delete_repeated_lines(docs: DataFrame, counts: tuple[str, str, str], run: int = RUN, gram: int = GRAM) -> DataFrame:
+def delete_repeated_lines(docs: DataFrame, counts: tuple[str, str, str], run: int = RUN, gram: int = GRAM, passage_words: int | None = None) -> DataFrame:
     """``docs`` with the repeated units taken out of ``text``, all columns kept.
 
     Adds under the names in ``counts`` the number of units, of deleted ones and of maximal
     deleted runs.
     """
-    gone = stage(repeated_units(docs, run, gram), "deleted")
+    gone = stage(repeated_units(docs, run, gram, passage_words), "deleted")
     own_id, own_text, places = (fresh(docs, n) for n in ("gone_id", "gone_text", "deleted"))
     gone = gone.select(F.col("doc_id").alias(own_id), F.col("text_hash").alias(own_text), F.col("deleted").alias(places))
     # Texts are shuffled whatever the number of repeats, so that the job is alike at every size.
@@ -146,3 +160,51 @@ SELECT d.doc_id, coalesce(k.n_units, 0)::BIGINT AS n_units, coalesce(k.n_deleted
        CASE WHEN coalesce(k.n_deleted, 0) = 0 THEN sha256(coalesce(d.text, '')) ELSE sha256(k.left_text) END AS kept_sha256
 FROM documents d LEFT JOIN kept k ON k.doc_id = d.doc_id
 """
+
+#: The same with runs of one and two units that hold PASSAGE_WORDS words.
+PASSAGE_SQL = """
+WITH lines AS (
+  SELECT doc_id, u.pos AS pos, u.line AS line, trim(u.line, ' ' || chr(9) || chr(10) || chr(13) || chr(12) || chr(11)) AS body
+  FROM (SELECT doc_id, string_split(text, chr(10)) AS ls FROM documents WHERE text IS NOT NULL) d,
+       LATERAL (SELECT unnest(d.ls) AS line, generate_subscripts(d.ls, 1) AS pos) u
+),
+numbered AS (
+  SELECT *, greatest(sum(CASE WHEN body <> '' THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY pos), 1) - 1 AS unit,
+         sum(CASE WHEN body <> '' THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id) AS n_units
+  FROM lines
+),
+units AS (
+  SELECT doc_id, unit, string_agg(line, chr(10) ORDER BY pos) AS whole, max(body) AS body
+  FROM numbered WHERE n_units > 0 GROUP BY doc_id, unit
+),
+counted AS (
+  SELECT doc_id, unit, body, len(regexp_extract_all(body, '[^ \\t\\n\\r\\f\\x0B]+')) AS n FROM units
+),
+followed AS (
+  SELECT doc_id, unit, body AS b0, lead(body, 1) OVER w AS b1, lead(body, 2) OVER w AS b2, n AS n0, lead(n, 1) OVER w AS n1
+  FROM counted WINDOW w AS (PARTITION BY doc_id ORDER BY unit)
+),
+runs AS (
+  SELECT doc_id, unit, 3 AS size, b0, b1, b2 FROM followed WHERE b2 IS NOT NULL
+  UNION ALL SELECT doc_id, unit, 2, b0, b1, '' FROM followed WHERE b1 IS NOT NULL AND n0 + n1 >= 50
+  UNION ALL SELECT doc_id, unit, 1, b0, '', '' FROM followed WHERE n0 >= 50
+),
+firsts AS (SELECT size, b0, b1, b2, min((doc_id, unit)) AS f FROM runs GROUP BY size, b0, b1, b2),
+later AS (
+  SELECT r.doc_id, r.unit, r.size FROM runs r JOIN firsts f USING (size, b0, b1, b2)
+  WHERE r.doc_id <> struct_extract_at(f.f, 1) OR r.unit >= struct_extract_at(f.f, 2) + r.size
+),
+deleted AS (SELECT DISTINCT doc_id, unit + k AS unit FROM later, (VALUES (0), (1), (2)) v(k) WHERE k < size),
+kept AS (
+  SELECT u.doc_id, count(*) AS n_units, count(d.unit) AS n_deleted,
+         count(CASE WHEN d.unit IS NOT NULL AND p.unit IS NULL THEN 1 END) AS n_runs,
+         coalesce(string_agg(CASE WHEN d.unit IS NULL THEN u.whole END, chr(10) ORDER BY u.unit), '') AS left_text
+  FROM units u LEFT JOIN deleted d ON d.doc_id = u.doc_id AND d.unit = u.unit
+       LEFT JOIN deleted p ON p.doc_id = u.doc_id AND p.unit = u.unit - 1
+  GROUP BY u.doc_id
+)
+SELECT d.doc_id, coalesce(k.n_units, 0)::BIGINT AS n_units, coalesce(k.n_deleted, 0)::BIGINT AS n_deleted,
+       coalesce(k.n_runs, 0)::BIGINT AS n_runs,
+       CASE WHEN coalesce(k.n_deleted, 0) = 0 THEN sha256(coalesce(d.text, '')) ELSE sha256(k.left_text) END AS kept_sha256
+FROM documents d LEFT JOIN kept k ON k.doc_id = d.doc_id
+"""

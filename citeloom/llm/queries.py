@@ -51,12 +51,17 @@ def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark")).drop("text_hash")
 
 
-def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = line_dedup.delete_repeated_lines(read_table(spark, sf_dir, "documents"), ("n_units", "n_deleted", "n_runs"))
+def op8_line_dedup(spark: SparkSession, sf_dir: str, passage_words: int | None = None) -> DataFrame:
+    out = line_dedup.delete_repeated_lines(read_table(spark, sf_dir, "documents"), ("n_units", "n_deleted", "n_runs"), passage_words=passage_words)
     digest = F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("kept_sha256")
     return out.select("doc_id", "n_units", "n_deleted", "n_runs", digest)
 
 
+def op8_passage_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line dedup with passages of one or two long lines."""
+    return op8_line_dedup(spark, sf_dir, line_dedup.PASSAGE_WORDS)
+
+
 def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.remove_repeated_strings(read_table(spark, sf_dir, "documents")).drop("kept", "spans")
 
@@ -75,6 +80,7 @@ def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op6_language_id,
         op7_decontamination,
         op8_line_dedup,
+        op8_passage_dedup,
         op9_suffix_dedup,
         op10_license_scan,
     )
@@ -82,4 +88,4 @@ def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def statements() -> dict[str, str]:
-    return {"op8_line_dedup": line_dedup.QUERY_SQL}
+    return {"op8_line_dedup": line_dedup.QUERY_SQL, "op8_passage_dedup": line_dedup.PASSAGE_SQL}

@@ -126,6 +126,25 @@ def line_dedup(rows, run=3):
     return out
 
 
+def passage_dedup(rows, words=50):
+    """As line_dedup, with runs of one and two units that hold ``words`` words."""
+    first, out = {}, {}
+    for doc, text in sorted(rows):
+        units = line_units(text)
+        bodies = [u.strip(" \t\n\r\f\v") for u in units]
+        gone = set()
+        for size in (1, 2, 3):
+            for k in range(len(units) - size + 1):
+                own = tuple(bodies[k : k + size])
+                if size < 3 and sum(len(SPACE_WORD.findall(b)) for b in own) < words:
+                    continue
+                at = first.setdefault(own, (doc, k))
+                if at[0] != doc or k >= at[1] + size:
+                    gone |= set(range(k, k + size))
+        out[doc] = (len(units), sorted(gone), "\n".join(u for k, u in enumerate(units) if k not in gone) if gone else text)
+    return out
+
+
 def repeated_strings(rows, span=50):
     texts = [(d, (t or "").encode()) for d, t in rows]
     first = {}

@@ -241,6 +241,20 @@ def test_line_dedup_of_repeated_rows(repeated):
     assert len(set(by_row[0])) == 1 and len(by_row[0]) == 3
 
 
+def test_passage_dedup(tricky, none, small):
+    for docs in (tricky, none, small):
+        expected = brute.passage_dedup(pairs(docs))
+        out = line_dedup.delete_repeated_lines(docs, ("u", "g", "r"), passage_words=line_dedup.PASSAGE_WORDS)
+        assert got(out, "doc_id", "text", "u", "g") == want((d, t, n, len(gone)) for d, (n, gone, t) in expected.items())
+
+
+def test_passage_dedup_finds_one_and_two_long_lines(spark):
+    a, b, short = (" ".join(f"{x}{k}" for k in range(n)) for x, n in (("a", 60), ("b", 30), ("c", 25)))
+    rows = [(1, f"{a}\nx"), (2, f"y\n{a}"), (3, f"{b}\n{short}"), (4, f"z\n{b}\n\n{short}\nw"), (5, f"{b}\nv"), (6, a)]
+    out = line_dedup.delete_repeated_lines(spark.createDataFrame(rows, "doc_id bigint, text string"), ("u", "g", "r"), passage_words=50)
+    assert dict(pairs(out)) == {1: f"{a}\nx", 2: "y", 3: f"{b}\n{short}", 4: "z\nw", 5: f"{b}\nv", 6: ""}
+
+
 def test_line_dedup_runs_no_python(tricky):
     plan = line_dedup.delete_repeated_lines(tricky, ("u", "g", "r"))._jdf.queryExecution().toString()
     assert not any(word in plan for word in ("Python", "Arrow", "Pandas"))
