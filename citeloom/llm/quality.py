@@ -8,6 +8,10 @@ of both histograms and the nearest reference counts, so a wrong language tag doe
 
 A document is rejected if it fails the base rules, or if it is long enough for the histogram
 and its distance from all references is over the limit. Short documents are not judged by it.
+The limit for words is a share of the distance that a text without a single common word has
+from the same reference. A reference judges by words only where common words are to be expected:
+they make up ``MIN_COMMON_SHARE`` of its words and ``MIN_EXPECTED`` of the document's. A document
+whose characters fit a reference that cannot judge it is not judged by words at all.
 
 Cases: null and empty texts have no words and fail the base rule; documents without a language
 do not enter a reference but are judged; without any reference only the base rules count;
@@ -40,7 +44,10 @@ MAX_LANGUAGES = 200
 MIN_CHARACTERS = 200
 MIN_COMMON = 60
 MAX_CHARACTER_DISTANCE = 0.18
-MAX_WORD_DISTANCE = 0.60
+#: Of the distance without common words, what a document may reach.
+MAX_WORD_SHARE = 0.95
+MIN_COMMON_SHARE = 0.15
+MIN_EXPECTED = 20
 #: Entries of a task's word counts that are held before they are handed on.
 HELD_WORDS = 300_000
 
@@ -186,13 +193,17 @@ class References:
                 self.words[row, self.place[word]] = n / of["words"]
                 self.own[row, self.place[word]] = True
             self.words[row, -1] = max(0.0, 1.0 - self.words[row, :-1].sum())
+        without = np.zeros(len(self.place) + 1)
+        without[-1] = 1.0
+        self.without = distance(without, self.words)
+        self.common = 1.0 - self.words[:, -1]
 
-    def distances(self, text: bytes | None) -> tuple[float | None, float | None]:
-        """The distances from the nearest reference; None where the text is too short or there is none."""
+    def distances(self, text: bytes | None) -> tuple[float | None, float | None, bool]:
+        """The distances from the nearest reference, None where the text is too short or there is none, and whether its words are strange."""
         if not len(self.classes):
-            return None, None
+            return None, None, False
         counts = character_counts(text)
-        characters = words = None
+        characters, words, strange = None, None, False
         if counts.sum() >= MIN_CHARACTERS:
             characters = float(distance(counts / counts.sum(), self.classes).min())
         found = [self.place.get(w, -1) for w in plain_words(text) if w]
@@ -200,8 +211,13 @@ class References:
             seen = np.bincount(np.array(found) + 1, minlength=len(self.place) + 1)[1:] / len(found)
             own = np.where(self.own, seen, 0.0)
             shares = np.concatenate([own, 1.0 - own.sum(axis=1, keepdims=True)], axis=1)
-            words = float(distance(shares, self.words).min())
-        return characters, words
+            far = distance(shares, self.words)
+            words = float(far.min())
+            judges = (self.common >= MIN_COMMON_SHARE) & (self.common * len(found) >= MIN_EXPECTED)
+            strange = bool(judges.any()) and bool((far[judges] > MAX_WORD_SHARE * self.without[judges]).all())
+            if strange and not judges.all():
+                strange = float(distance(counts / counts.sum(), self.classes[~judges]).min()) > MAX_CHARACTER_DISTANCE
+        return characters, words, strange
 
 
 def judge(docs: DataFrame, keep: list[str] | None = None) -> DataFrame:
@@ -217,10 +233,10 @@ def judge(docs: DataFrame, keep: list[str] | None = None) -> DataFrame:
             far = [against.distances(t) for t in texts]
             failed = [b[0] < MIN_WORDS or 100 * b[4] > MAX_REPEAT_PERCENT * b[0] for b in base]
             kept = [
-                not f and (c is None or c <= MAX_CHARACTER_DISTANCE) and (w is None or w <= MAX_WORD_DISTANCE) for f, (c, w) in zip(failed, far)
+                not f and (c is None or c <= MAX_CHARACTER_DISTANCE) and not strange for f, (c, _, strange) in zip(failed, far)
             ]
             new = [pa.array(list(column), pa.int64()) for column in zip(*base)]
-            new += [pa.array(failed, pa.bool_()), pa.array(kept, pa.bool_()), pa.array([c for c, _ in far], pa.float64()), pa.array([w for _, w in far], pa.float64())]
+            new += [pa.array(failed, pa.bool_()), pa.array(kept, pa.bool_()), pa.array([c for c, _, _ in far], pa.float64()), pa.array([w for _, w, _ in far], pa.float64())]
             yield pa.RecordBatch.from_arrays(
                 [chunk.column(f"_in_{i}") for i in range(len(keep))] + new,
                 names=[f"_in_{i}" for i in range(len(keep))] + ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "character_distance", "word_distance"],

@@ -63,6 +63,33 @@ def test_quality_keeps_clean_documents(spark, small):
     assert kept.columns == docs.columns
 
 
+def test_quality_rejects_long_documents_without_common_words(spark):
+    columns = ("doc_id", "text", "lang")
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select(*columns)
+    references = quality.References(quality.language_references(docs).collect())
+    rng = random.Random(4)
+
+    def salad(words):
+        made = ["".join(rng.choice("etaoinsrhldcu") for _ in range(rng.randint(3, 9))) for _ in range(words)]
+        made = [w for w in made if w.encode() not in references.place]
+        return ". ".join(" ".join(made[k : k + 12]).capitalize() for k in range(0, len(made), 12)) + "."
+
+    odd = spark.createDataFrame([(-1, salad(400), None), (-2, salad(40), None)], "doc_id bigint, text string, lang string")
+    out = {r[0]: r[1:] for r in quality.judge(docs.unionByName(odd)).filter("doc_id < 0").select("doc_id", "base_failed", "kept", "character_distance").collect()}
+    assert not out[-1][0] and out[-1][2] <= quality.MAX_CHARACTER_DISTANCE and not out[-1][1]
+    assert out[-2][1]  # too short to be judged by words
+
+
+def test_quality_does_not_judge_by_words_where_a_language_has_no_common_ones(spark):
+    rng = random.Random(6)
+    letters = [chr(c) for c in range(0x4E00, 0x4F00)]
+    far = [" ".join("".join(rng.choice(letters) for _ in range(8)) for _ in range(90)) for _ in range(40)]
+    near = [" ".join(rng.choice(["the", "of", "and", "house", "cat"]) for _ in range(90)) for _ in range(40)]
+    rows = [(k, t, lang) for lang, texts in (("zh", far), ("en", near)) for k, t in enumerate(texts, 100 * (lang == "en"))]
+    out = quality.judge(spark.createDataFrame(rows, "doc_id bigint, text string, lang string"))
+    assert out.filter("NOT base_failed AND doc_id < 100 AND NOT kept").count() == 0
+
+
 @pytest.mark.parametrize(("path", "lower_case"), [(WORD, True), (BYTE, False)])
 def test_parts_give_the_ids_of_whole_texts(path, lower_case):
     rng = random.Random(3)
