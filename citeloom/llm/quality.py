@@ -38,8 +38,8 @@ WINDOW = 8
 #: Words of a reference, and the bytes such a word has at most.
 COMMON_WORDS = 64
 COMMON_WORD_BYTES = 8
-#: Languages with a reference: those of most documents. Bounds what each task holds.
-MAX_LANGUAGES = 200
+#: References a document is compared with at once.
+BLOCK = 1024
 #: Characters and words a document needs to be judged by each histogram.
 MIN_CHARACTERS = 200
 MIN_COMMON = 60
@@ -154,7 +154,7 @@ def language_references(docs: DataFrame) -> DataFrame:
                 classes[lang] = classes.get(lang, 0) + character_counts(text)
                 totals[lang] += len(words)
                 documents[lang] += 1
-            if sum(map(len, held.values())) > HELD_WORDS:
+            if sum(map(len, held.values())) + N_CLASSES * len(classes) > HELD_WORDS:
                 yield from flush()
         yield from flush()
 
@@ -162,12 +162,11 @@ def language_references(docs: DataFrame) -> DataFrame:
     summed = stage(counted.groupBy("lang", "kind", "name").agg(F.sum("count").alias("count")), "references")
     best = F.row_number().over(W.partitionBy("lang").orderBy(F.desc("count"), "name"))
     common = summed.filter("kind = 'word'").withColumn("_place", best).filter(F.col("_place") <= COMMON_WORDS).drop("_place")
-    large = summed.filter("kind = 'documents'").orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES).select("lang")
-    return common.unionByName(summed.filter("kind <> 'word'")).join(large, "lang", "left_semi")
+    return common.unionByName(summed.filter("kind NOT IN ('word', 'documents')"))
 
 
 class References:
-    """The references as arrays: at most MAX_LANGUAGES rows of COMMON_WORDS + 1 and N_CLASSES shares."""
+    """The references as arrays: per language COMMON_WORDS + 1 shares of words, as many places, and N_CLASSES shares."""
 
     def __init__(self, rows: Iterable[tuple[str, str, str, int]]):
         by_lang: dict[str, dict] = {}
@@ -185,19 +184,29 @@ class References:
                 self.place.setdefault(word, len(self.place))
         usable = [of for of in by_lang.values() if of["words"] and of["class"].sum()]
         self.classes = np.array([of["class"] / of["class"].sum() for of in usable]).reshape(len(usable), N_CLASSES)
-        # Shares of the language's own common words; the last column is everything else.
-        self.words = np.zeros((len(usable), len(self.place) + 1))
-        self.own = np.zeros((len(usable), len(self.place)), dtype=bool)
+        # Shares of the language's own common words, and their places; the last column is everything else.
+        self.words = np.zeros((len(usable), COMMON_WORDS + 1))
+        # Where a language has fewer words, the place after the last one, which no text has.
+        self.own = np.full((len(usable), COMMON_WORDS), len(self.place), dtype=np.int32)
         for row, of in enumerate(usable):
-            for word, n in of["word"].items():
-                self.words[row, self.place[word]] = n / of["words"]
-                self.own[row, self.place[word]] = True
+            for k, (word, n) in enumerate(of["word"].items()):
+                self.words[row, k] = n / of["words"]
+                self.own[row, k] = self.place[word]
             self.words[row, -1] = max(0.0, 1.0 - self.words[row, :-1].sum())
-        without = np.zeros(len(self.place) + 1)
+        without = np.zeros(COMMON_WORDS + 1)
         without[-1] = 1.0
         self.without = distance(without, self.words)
         self.common = 1.0 - self.words[:, -1]
 
+    def _far(self, seen: np.ndarray) -> np.ndarray:
+        """The distance of a text with shares ``seen`` of all places from the words of every reference."""
+        far = []
+        for begin in range(0, len(self.words), BLOCK):
+            own = seen[self.own[begin : begin + BLOCK]]
+            shares = np.concatenate([own, np.maximum(0.0, 1.0 - own.sum(axis=1, keepdims=True))], axis=1)
+            far.append(distance(shares, self.words[begin : begin + BLOCK]))
+        return np.concatenate(far)
+
     def distances(self, text: bytes | None) -> tuple[float | None, float | None, bool]:
         """The distances from the nearest reference, None where the text is too short or there is none, and whether its words are strange."""
         if not len(self.classes):
@@ -208,10 +217,7 @@ class References:
             characters = float(distance(counts / counts.sum(), self.classes).min())
         found = [self.place.get(w, -1) for w in plain_words(text) if w]
         if len(found) >= MIN_COMMON:
-            seen = np.bincount(np.array(found) + 1, minlength=len(self.place) + 1)[1:] / len(found)
-            own = np.where(self.own, seen, 0.0)
-            shares = np.concatenate([own, 1.0 - own.sum(axis=1, keepdims=True)], axis=1)
-            far = distance(shares, self.words)
+            far = self._far(np.bincount(np.array(found) + 1, minlength=len(self.place) + 2)[1:] / len(found))
             words = float(far.min())
             judges = (self.common >= MIN_COMMON_SHARE) & (self.common * len(found) >= MIN_EXPECTED)
             strange = bool(judges.any()) and bool((far[judges] > MAX_WORD_SHARE * self.without[judges]).all())

@@ -216,6 +216,47 @@ def test_language_mixture_and_nothing_learned(spark, none):
     assert nothing.predict([b"abc"]) == [("und", 0.0, "")]
 
 
+def many_languages(n):
+    """Texts of ``n`` languages, each with words of its own; the first languages have most documents."""
+    rng = random.Random(12)
+    rows = []
+    for k in range(n):
+        own = ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rng.randint(3, 7))) for _ in range(12)]
+        rows += [(len(rows) + j, " ".join(rng.choice(own) for _ in range(70)), f"l{k:03}") for j in range(3 if k < n - 20 else 2)]
+    return rows
+
+
+def test_language_counts_all_of_many_languages(spark):
+    rows = many_languages(230)
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    model = language.learn(docs)
+    assert len(model.languages) == 230
+    found = {r[0]: (r[1], r[2], r[3]) for r in language.predict_languages(docs, model).collect()}
+    assert all(found[d][0] == lang == found[d][2] for d, _, lang in rows)
+    a, b = rows[0], rows[-1]
+    (lang, score, both), = model.predict([(a[1] + " " + b[1] + " " + b[1]).encode()])
+    assert (lang, both) == (b[2], f"{b[2]},{a[2]}") and 0.6 < score < 0.75
+
+
+def test_language_in_blocks_finds_what_one_block_finds(spark, small, monkeypatch):
+    rows = many_languages(30)
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    whole = language.learn(docs)
+    monkeypatch.setattr(language, "BLOCK", 6)
+    monkeypatch.setattr(language, "LEADERS", 3)
+    texts = [t.encode() for _, t, _ in rows] + [(rows[k][1] + " " + rows[-1 - k][1]).encode() for k in range(20)] + [None, b"..."]
+    blocks = language.learn(docs)
+    assert isinstance(blocks, language.Blocks) and len(blocks.models) == 5
+    assert [(r[0], r[2]) for r in blocks.predict(texts)] == [(r[0], r[2]) for r in whole.predict(texts)]
+
+
+def test_quality_has_a_reference_of_every_language(spark):
+    docs = spark.createDataFrame(many_languages(230), "doc_id bigint, text string, lang string")
+    references = quality.References(quality.language_references(docs).collect())
+    assert len(references.words) == 230
+    assert quality.judge(docs).filter("word_distance > 0.5").count() == 0
+
+
 @pytest.mark.parametrize("sf", ["sf0.01"])
 def test_language_on_held_out_documents(spark, small, sf):
     from citeloom.llm import queries
