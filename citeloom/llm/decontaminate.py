@@ -14,7 +14,8 @@ A bit map of fixed size made from the items' hashes spares most documents' hashe
 full map would only let more of them through.
 
 Cases: null and empty texts have no words; items without words match nothing; an item id may
-repeat with different texts, and any of them may match; rows that repeat a document id and its
+repeat with different texts, and any of them may match; items without an id mark words like any
+other, so they count in n_hit and contaminated, but not in n_items and items_sha256, which name ids; rows that repeat a document id and its
 text get the same result each; other columns are ignored; empty tables give no hits or no rows.
 """
 
@@ -107,7 +108,7 @@ def _matched(words: np.ndarray, item: np.ndarray, offset: int) -> np.ndarray:
 def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """(doc_id, n_words, n_hit, n_items, items_sha256, contaminated) of every row of ``docs``."""
     items = stage(
-        benchmark.select(F.col("item_id").cast("string").alias("item_id"), utf8()).filter("item_id IS NOT NULL").mapInArrow(_hash_items, "item_id string, hash bigint, place bigint, n_words bigint, words binary"),
+        benchmark.select(F.col("item_id").cast("string").alias("item_id"), utf8()).mapInArrow(_hash_items, "item_id string, hash bigint, place bigint, n_words bigint, words binary"),
         "items",
     )
     # At most 2 ** MAP_BITS numbers reach the driver, and at most WINDOW - 1 lengths.
@@ -168,7 +169,8 @@ def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
             for offset in offsets:
                 starts = _matched(words, own, offset)
                 if len(starts):
-                    marked[item_id] = None
+                    if item_id is not None:
+                        marked[item_id] = None
                     np.add.at(cover, starts, 1)
                     np.add.at(cover, starts + min(WINDOW, len(own)), -1)
         n_hit = int((np.cumsum(cover[:-1]) > 0).sum())

@@ -280,6 +280,16 @@ def test_contamination(spark, docs):
     assert decontaminate.drop_contaminated(docs, benchmark).columns == docs.columns
 
 
+def test_contamination_by_items_without_an_id(spark):
+    words = [f"w{k}" for k in range(14)]
+    items = spark.createDataFrame([(None, " ".join(words)), (None, "lone"), ("named", "other text")], "item_id string, text string")
+    rows = [(1, "x " + " ".join(words[2:13]) + " y"), (2, "a lone word"), (3, "lone other text"), (4, " ".join(words[:9]))]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    expected = [(1, 11, 0, brute.sha(""), True), (2, 1, 0, brute.sha(""), True), (3, 3, 1, brute.sha("named"), True), (4, 0, 0, brute.sha(""), False)]
+    assert got(decontaminate.contamination(docs, items), "doc_id", "n_hit", "n_items", "items_sha256", "contaminated") == want(expected)
+    assert {r[0] for r in decontaminate.drop_contaminated(docs, items).select("doc_id").collect()} == {4}
+
+
 def test_contamination_of_given_tables(spark, small, none):
     benchmark = spark.read.parquet("/root/testdata/sf0.001/benchmark.parquet")
     items = [(str(r[0]), r[1]) for r in benchmark.select("item_id", "text").collect()]
