@@ -1,4 +1,4 @@
-"""Repeated runs of lines by winnowing over line hashes, from DataFrame operations only.
+"""Repeated runs of lines by grouping hashes of runs, from DataFrame operations only.
 
 A unit is a line with a character other than white space together with the blank lines after
 it (the first unit also has those before it); units are equal if their trimmed texts are. A run
@@ -8,10 +8,10 @@ the same one. Units of repeating runs are deleted; the first run of its kind sta
 
 Every ``GRAM`` consecutive units have a hash. Of every ``RUN - GRAM + 1`` consecutive ones the
 smallest is selected, the last of equal ones, so equal runs select equal hashes at equal
-places. Selected hashes that occur once are left. A selected hash that occurs again is extended
-both ways: each run of ``RUN`` units around it is compared, by the hashes of its units, with
-the earliest run like it. Runs that follow each other make up longer ones, and all of those
-units are deleted.
+places. Every run of ``RUN`` units of every document is staged with the hash selected in it; runs
+whose selected hash occurs once are left out, and each other run is compared, by the hashes of
+its units, with the earliest run like it. The selection only spares rows: grouping all runs would
+give the same. Runs that follow each other make up longer ones, and all of those units are deleted.
 
 With ``passage_words``, one or two units that hold as many words together are runs as well,
 whatever the number of units around them, so that passages written as one or two long lines
