@@ -8,7 +8,7 @@ import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from citeloom.llm import decontaminate, language, licenses, line_dedup, near_dup, packing, quality, secrets, suffix_dedup, token_files
+from citeloom.llm import decontaminate, language, licenses, line_dedup, near_dup, packing, quality, runs, secrets, sharding, suffix_dedup, token_files, whitening
 from citeloom.llm.common import read_table
 from citeloom.session import new_path
 
@@ -70,6 +70,45 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan_licenses(read_table(spark, sf_dir, "documents"))
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = runs.find_runs(_planted(read_table(spark, sf_dir, "documents")))
+    longest = F.array_max(F.transform("runs", lambda r: F.struct(r.length.alias("length"), (-r.start).alias("start"), (-r.period).alias("period"))))
+    each = F.array_join(F.transform("runs", lambda r: F.concat(F.concat_ws(",", r.start, r.length, r.period), F.lit("\n"))), "")
+    rows = found.withColumn("longest", longest)
+    return rows.select(
+        "doc_id",
+        F.size("runs").cast("bigint").alias("n_runs"),
+        (-F.col("longest.start")).alias("start"),
+        F.col("longest.length").alias("length"),
+        (-F.col("longest.period")).alias("period"),
+        F.floor(F.expr("1000 * longest.length DIV -longest.period")).alias("exponent_milli"),
+        F.sha2(each.cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"),
+    )
+
+
+def _planted(docs: DataFrame) -> DataFrame:
+    """The documents; in those whose hashed id ends in 0, a stretch of words is repeated to the end."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    chosen = F.coalesce(h % 10 == 0, F.lit(False))
+    words = F.filter(F.split(F.col("text"), "[\\x20\\x09-\\x0D]+"), lambda w: w != "")
+    places = docs.select("doc_id", "text", F.floor(h / 10).cast("bigint").alias("g"), F.when(chosen, words).alias("w"))
+    n = F.size("w").cast("bigint")
+    sized = places.withColumn("n", n).withColumn("a", F.expr("CASE WHEN n > 0 THEN CAST(g % n AS INT) END"))
+    sized = sized.withColumn("p", F.expr("CAST(1 + (n - a) DIV (3 + g % 8) AS INT)"))
+    again = F.expr("concat(slice(w, 1, a), transform(sequence(0, CAST(n - a - 1 AS INT)), i -> w[a + i % p]))")
+    return sized.select("doc_id", F.when(F.col("n") > 0, F.array_join(again, " ")).otherwise(F.col("text")).alias("text"))
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(read_table(spark, sf_dir, "embeddings"))
+
+
+def op13_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = sharding.assign_shards(read_table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     operators = (
         op1_secret_scan,
@@ -83,6 +122,9 @@ def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op8_passage_dedup,
         op9_suffix_dedup,
         op10_license_scan,
+        op11_periodic_runs,
+        op12_whitening,
+        op13_sharding,
     )
     return {f.__name__: f for f in operators} | {"pipeline": corpus_pipeline.run}
 

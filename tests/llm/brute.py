@@ -174,3 +174,80 @@ def licenses(text):
                 at.append(k)
                 labels.add(label)
     return len(words), len(at), min(at, default=None), max(at, default=None), ",".join(sorted(labels))
+
+
+def runs(words, exponent=4, least=6):
+    """(start, length, period) of the maximal periodic stretches, by start and period."""
+    n, out = len(words), set()
+    for q in range(1, n // exponent + 1):
+        k = 0
+        while k + q < n:
+            if words[k] != words[k + q]:
+                k += 1
+                continue
+            begin = k
+            while k + q < n and words[k] == words[k + q]:
+                k += 1
+            length = k + q - begin
+            own = words[begin : begin + length]
+            if length >= max(least, exponent * q) and not any(own[p:] == own[:-p] for p in range(1, q)):
+                out.add((begin, length, q))
+    return sorted(out)
+
+
+def collapsed(words, found):
+    gone = {k for start, length, q in found for k in range(start + q, start + length)}
+    return " ".join(w for k, w in enumerate(words) if k not in gone)
+
+
+def planted_words(doc, text):
+    words = SPACE_WORD.findall(text or "")
+    h = zlib.crc32(str(doc).encode())
+    if doc is None or h % 10 or not words:
+        return words
+    g, n = h // 10, len(words)
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    return [words[i] if i < a else words[a + (i - a) % p] for i in range(n)]
+
+
+def periodic_runs(doc, text):
+    words = planted_words(doc, text)
+    found = runs(words)
+    start, length, q = max(found, key=lambda r: (r[1], -r[0], -r[2])) if found else (None, None, None)
+    listed = "".join(f"{a},{b},{c}\n" for a, b, c in found)
+    return doc, len(found), start, length, q, None if q is None else 1000 * length // q, sha(listed), sha(collapsed(words, found))
+
+
+def whitening(rows, components=8):
+    """(vec_id, n, deviation) of the vectors that count, and the whitened ones up to their signs."""
+    kept = [(i, v) for i, v in rows if v and all(c is not None and np.isfinite(c) for c in v)]
+    lengths = collections.Counter(len(v) for _, v in kept)
+    if not kept:
+        return [], None, None
+    length = max(lengths, key=lambda k: (lengths[k], k))
+    kept = [(i, [int(np.floor(1024 * float(c))) + 100000 for c in v]) for i, v in kept if len(v) == length]
+    n = len(kept)
+    sums = [sum(v[k] for _, v in kept) for k in range(length)]
+    x = np.array([v for _, v in kept], float) - np.array([s / n for s in sums])
+    values, vectors = np.linalg.eigh(x.T @ x / n)
+    values, vectors = values[::-1][:components], vectors[:, ::-1][:, :components]
+    exact = [(i, n, sum((n * c - s) ** 2 for c, s in zip(v, sums))) for i, v in kept]
+    return exact, (x @ vectors) / np.sqrt(values), values / np.trace(x.T @ x / n)
+
+
+def smallest_capacity(sizes, shards):
+    """The least bytes a contiguous partition of groups needs in its largest shard."""
+    def fits(capacity):
+        used, at = 1, 0
+        for size in sizes:
+            if at + size > capacity:
+                used, at = used + 1, 0
+            at += size
+        return used <= shards
+
+    low, high = max(sizes), sum(sizes)
+    while low < high:
+        middle = (low + high) // 2
+        low, high = (low, middle) if fits(middle) else (middle + 1, high)
+    return low
