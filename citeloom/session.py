@@ -4,21 +4,33 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
-RUNTIME_SETTINGS = {
-    "spark.sql.session.timeZone": "UTC",
+#: Hot join keys are split at run time, also where the split costs one more exchange.
+SPLIT_SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
-    "spark.sql.adaptive.coalescePartitions.enabled": "true",
-    # Hot join keys are split at run time, also where the split costs one more exchange.
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
 }
+RUNTIME_SETTINGS = {
+    "spark.sql.session.timeZone": "UTC",
+    "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    **SPLIT_SETTINGS,
+}
+
+
+def split_hot_keys(spark: SparkSession) -> SparkSession:
+    """Let joins split hot keys; the session's other settings stay."""
+    for key, value in SPLIT_SETTINGS.items():
+        spark.conf.set(key, value)
+    return spark
 
 
 def tune(spark: SparkSession) -> SparkSession:
-    """Apply the run-time settings above to an existing session."""
+    """Apply all run-time settings above to an existing session."""
     for key, value in RUNTIME_SETTINGS.items():
         spark.conf.set(key, value)
     return spark
@@ -59,9 +71,31 @@ def shared_dir(spark: SparkSession) -> str:
     return context.getCheckpointDir().rstrip("/")
 
 
+#: Paths handed out inside the open ``staging`` blocks, the innermost last.
+_owned: list[list[str]] = []
+
+
 def new_path(spark: SparkSession, label: str) -> str:
     """A path in the shared folder that no earlier run has used."""
-    return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    if _owned:
+        _owned[-1].append(path)
+    return path
+
+
+@contextmanager
+def staging(spark: SparkSession) -> Iterator[None]:
+    """Owns the tables staged inside the block and deletes them at its end.
+
+    Data frames made inside read those tables, so write their results before the block ends.
+    """
+    _owned.append([])
+    try:
+        yield
+    finally:
+        for path in _owned.pop():
+            place = spark._jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(place, True)
 
 
 def stage(df: DataFrame, label: str = "stage") -> DataFrame:
