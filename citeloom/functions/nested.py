@@ -7,9 +7,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 
-def explode_list(df: DataFrame, keys: Sequence[str], path: str, out: str) -> DataFrame:
-    """One row per element; a parent with an empty or missing list keeps one null row."""
-    return df.select(*keys, F.explode_outer(path).alias(out))
+def explode_list(df: DataFrame, keys: Sequence[str], path: str, out: str, outer: bool = True) -> DataFrame:
+    """One row per element; with ``outer`` a parent with an empty or missing list keeps one null row."""
+    unnest = F.explode_outer if outer else F.explode
+    return df.select(*keys, unnest(path).alias(out))
 
 
 def struct_to_columns(df: DataFrame, keys: Sequence[str], struct: str) -> DataFrame:
@@ -19,8 +20,7 @@ def struct_to_columns(df: DataFrame, keys: Sequence[str], struct: str) -> DataFr
 
 def flatten_nested(df: DataFrame, keys: Sequence[str], path: str, outer: bool = False) -> DataFrame:
     """Child table of an array of structs; without ``outer`` empty parents give no row."""
-    unnest = F.explode_outer if outer else F.explode
-    return df.select(*keys, unnest(path).alias("_e")).select(*keys, "_e.*")
+    return struct_to_columns(explode_list(df, keys, path, "_e", outer), keys, "_e")
 
 
 def posexplode_list(

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from citeloom.functions.scalars import settled
 from citeloom.operators.joins import join_split, union_all
+from citeloom.session import stage
 
 
 def attach_group(df: DataFrame, keys: Sequence[str], *stats: Column) -> DataFrame:
@@ -44,7 +45,7 @@ def filter_flagged(records: DataFrame, lines: DataFrame, key: str, c: str) -> Da
     """
     n, filled = F.col("_n"), F.col("_filled")
     counts = lines.groupBy(key).agg(F.count(F.lit(1)).alias("_n"), F.count(c).alias("_filled"))
-    counted = records.join(counts, key, "left")
+    counted = stage(records.join(counts, key, "left"), "counted")
     listed = join_split(lines, counted.where((n == 1) | (filled > 0)), [key]).where((n == 1) | F.col(c).isNotNull())
     unlisted = counted.where(n.isNull())
     return (
@@ -54,12 +55,40 @@ def filter_flagged(records: DataFrame, lines: DataFrame, key: str, c: str) -> Da
     )
 
 
+#: Hexadecimal digits of a digest that tell cells apart, so a count per cell is at most 65,536 rows.
+CELL_DIGITS = 4
+#: Keys of one cell that are put in order at once.
+CELL_KEYS = 65_536
+
+
 def sample_keys(df: DataFrame, key: str, n: int, seed: int = 42) -> DataFrame:
-    """All rows of ``n`` distinct keys picked by a seeded digest, the same on every run."""
-    digest = F.md5(F.concat_ws(":", F.col(key).cast("string"), F.lit(str(seed))).cast("binary"))
-    keys = df.select(key).where(F.col(key).isNotNull()).distinct()
-    chosen = keys.orderBy(digest, key).limit(n)
-    return df.join(chosen, key, "left_semi")
+    """All rows of ``n`` distinct keys picked by a seeded digest, the same on every run.
+
+    The keys of the n smallest digests are those up to one boundary. It is found by counting keys
+    per leading digits, then inside the cell in which the n-th key lies, until that cell is
+    small; only its keys are put in order. The rows are then picked by a filter on their own digest.
+    """
+    def digest() -> Column:
+        return F.md5(F.concat_ws(":", F.col(key).cast("string"), F.lit(str(seed))).cast("binary"))
+
+    keys = stage(df.select(key).where(F.col(key).isNotNull()).distinct().select(F.col(key).alias("_key"), digest().alias("_digest")), "keys")
+    known = df.where(F.col(key).isNotNull())
+    prefix, rest = "", n
+    while True:
+        cell = F.substring("_digest", 1, len(prefix) + CELL_DIGITS).alias("_cell")
+        inside = keys.where(F.col("_digest").startswith(prefix)) if prefix else keys
+        counts = inside.groupBy(cell).agg(F.count(F.lit(1)).alias("_n"))
+        placed = counts.withColumn("_upto", F.sum("_n").over(W.orderBy("_cell")))
+        hit = placed.where(F.col("_upto") >= rest).orderBy("_cell").first() if rest > 0 else None
+        if hit is None:
+            # Fewer keys than asked for, or none asked for.
+            return known if n > 0 else known.limit(0)
+        prefix, rest = hit["_cell"], rest - (hit["_upto"] - hit["_n"])
+        if hit["_n"] <= CELL_KEYS or len(prefix) >= 32:
+            break
+    ordered = keys.where(F.col("_digest").startswith(prefix)).orderBy("_digest", "_key").limit(rest)
+    last = ordered.agg(F.max(F.struct("_digest", "_key")).alias("last")).first()["last"]
+    return known.where((digest() < last["_digest"]) | ((digest() == last["_digest"]) & (F.col(key) <= F.lit(last["_key"]))))
 
 
 def fractional_count(

@@ -59,6 +59,18 @@ def sort_desc(df: DataFrame, cs: Sequence[str], tie: Sequence[str] = ()) -> Data
     return df.orderBy(*[F.col(c).desc_nulls_last() for c in cs], *[F.col(t).asc_nulls_last() for t in tie])
 
 
+def with_position(df: DataFrame, cs: Sequence[str], tie: Sequence[str] = (), out: str = "position") -> DataFrame:
+    """The 1-based place of each row in the order of ``sort_desc``, for numeric columns.
+
+    The order has to tell all rows apart. Places are running totals over ranges, so the table is not
+    sorted by one task.
+    """
+    falling = [f"_falling_{c}" for c in cs]
+    keyed = df.withColumns({f: -F.col(c) for f, c in zip(falling, cs)} | {"_one": F.lit(1)})
+    placed = running_total(keyed, [*falling, *tie], "_one", "_before")
+    return placed.withColumn(out, (F.col("_before") + 1).cast("long")).drop(*falling, "_one", "_before")
+
+
 def top_n(df: DataFrame, order: Sequence[Column], n: int) -> DataFrame:
     return df.orderBy(*order).limit(n)
 

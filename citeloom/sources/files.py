@@ -7,6 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from citeloom.functions.scalars import replace_in_string
+from citeloom.operators.joins import join_split
 from citeloom.sources.schemas import COUNTRY_FEATURES
 
 CORRUPT = "_corrupt_record"
@@ -60,18 +61,36 @@ def scan_json_dump(spark: SparkSession, path: str, schema: Schema, multi_line: b
     return spark.read.schema(schema).option("multiLine", multi_line).json(path).hint("rebalance")
 
 
-def scan_paged_append(spark: SparkSession, path: str, schema: Schema, score: str | None = None) -> DataFrame:
+def scan_paged_append(
+    spark: SparkSession, path: str, schema: Schema, score: str | None = None, first_page: bool = False
+) -> DataFrame:
     """Landed result pages as one table, with the page each row came from.
 
-    A page is one JSON object with ``data`` (rows) and ``max_score``. Rows without a score
-    of their own take the one of their page.
+    A page is one JSON object with ``data`` (rows) and ``max_score``, and optionally the ``search`` it
+    answers and its number ``page_number`` there. Without ``first_page`` rows that have no score of their own take the
+    one of their page. With it the pages of a search follow their first page: its rows keep their own
+    scores, and all rows of later pages get its ``max_score`` in place of theirs. A page that names no search
+    belongs to that of its folder; without numbers the names of files tell the order.
     """
     page = T.StructType(
-        [T.StructField("max_score", T.DoubleType()), T.StructField("data", T.ArrayType(_fields(schema)))]
+        [
+            T.StructField("search", T.StringType()),
+            T.StructField("page_number", T.LongType()),
+            T.StructField("max_score", T.DoubleType()),
+            T.StructField("data", T.ArrayType(_fields(schema))),
+        ]
     )
+    file = F.input_file_name()
     pages = spark.read.schema(page).option("recursiveFileLookup", True).json(path)
-    rows = pages.select(F.input_file_name().alias("page"), "max_score", F.explode("data").alias("_d"))
-    rows = rows.select("page", "max_score", "_d.*")
+    pages = pages.withColumn("page", file).withColumn("search", F.coalesce("search", F.regexp_replace("page", "/[^/]*$", "")))
+    if score and first_page:
+        order = F.struct(F.col("page_number").alias("number"), F.col("page").alias("name"))
+        first = pages.groupBy("search").agg(F.min(order).alias("_first"), F.min_by("max_score", order).alias("_stamp"))
+        pages = join_split(pages.withColumn("_order", order), first, ["search"])
+        rows = pages.select("page", (F.col("_order") == F.col("_first")).alias("_is_first"), "_stamp", F.explode("data").alias("_d"))
+        rows = rows.select("page", "_is_first", "_stamp", "_d.*")
+        return rows.withColumn(score, F.when(F.col("_is_first"), F.col(score)).otherwise(F.col("_stamp"))).drop("_is_first", "_stamp")
+    rows = pages.select("page", "max_score", F.explode("data").alias("_d")).select("page", "max_score", "_d.*")
     if score:
         rows = rows.withColumn(score, F.coalesce(score, "max_score"))
     return rows.drop("max_score")

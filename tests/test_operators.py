@@ -1,3 +1,4 @@
+import hashlib
 import random
 
 import pytest
@@ -271,3 +272,43 @@ def test_baseline_counts_a_record_once_per_discipline(spark):
     impact = rows(baseline.normalised_impact(records, cats), "lens_id", "parent_1", "cnci", "percentile", "is_top10")
     assert impact == [(1, "C1", 0.5, 0.0, False), (1, "C2", 1.0, 0.0, False), (2, "C1", 1.5, 1.0, True)]
     assert rows(baseline.citation_distribution(records, cats).where("parent_1 = 'C1'"), "citations", "nb_records") == [(10, 1), (30, 1)]
+
+
+# --- sampling and positions at scale --------------------------------------------------------
+
+
+@pytest.mark.parametrize(("digits", "cell"), [(4, 65_536), (1, 3), (1, 40)])
+@pytest.mark.parametrize("share", [0.0, 0.001, 1 / 3, 1.0, 2.0])
+def test_sample_is_the_keys_of_smallest_digests(spark, monkeypatch, digits, cell, share):
+    monkeypatch.setattr(grouping, "CELL_DIGITS", digits)
+    monkeypatch.setattr(grouping, "CELL_KEYS", cell)
+    n = int(3000 * share)
+    df = spark.range(6000).select((F.col("id") % 3000).alias("k"), F.lit(1).alias("v")).unionByName(spark.sql("SELECT NULL AS k, 1 AS v"))
+    got = sorted(r.k for r in grouping.sample_keys(df, "k", n, seed=5).collect())
+    order = sorted(range(3000), key=lambda k: (hashlib.md5(f"{k}:5".encode()).hexdigest(), k))
+    assert got == sorted(order[:n] * 2)
+
+
+def test_sampling_many_keys_sorts_nothing_in_one_task(spark):
+    df = spark.range(300_000).select(F.col("id").alias("k"))
+    picked = grouping.sample_keys(df, "k", 100_000)
+    plan = picked._jdf.queryExecution().executedPlan().toString()
+    assert picked.count() == 100_000
+    assert not any(step in plan for step in ("Exchange", "Sort", "TakeOrdered", "Join"))
+
+
+def test_positions_follow_the_sorted_order(spark, partitions):
+    data = [("a", 5.0), ("b", 7.0), ("c", 5.0), ("d", None), ("e", -1.0)]
+    df = spark.createDataFrame(data, "k string, v double").repartition(3)
+    for got in partitions(lambda: rows(ranking.with_position(df, ["v"], ["k"]), "position", "k", "v")):
+        assert got == [(1, "b", 7.0), (2, "a", 5.0), (3, "c", 5.0), (4, "e", -1.0), (5, "d", None)]
+    assert ranking.with_position(df, ["v"], ["k"]).columns == ["k", "v", "position"]
+
+
+def test_an_unknown_country_does_not_exclude_a_record(spark):
+    schema = "lens_id string, authors array<struct<affiliations:array<struct<country_code:string>>>>"
+    affiliation = lambda *codes: {"affiliations": [{"country_code": c} for c in codes]}
+    data = [("1", [affiliation(None)]), ("2", [affiliation(None), affiliation("N3")]), ("3", [affiliation("N4")]), ("4", []), ("5", None)]
+    df = spark.createDataFrame(data, schema)
+    search = {"bool": {"must_not": [{"term": {"authors.affiliations.country_code": "N3"}}]}}
+    assert rows(df.where(predicates.bool_predicate(search, df.schema)), "lens_id") == [("1",), ("3",), ("4",), ("5",)]
