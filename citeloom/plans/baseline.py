@@ -49,7 +49,10 @@ def citation_distribution(
     records: DataFrame, categories: DataFrame, years: tuple[int, int] | None = None, record: str = "lens_id"
 ) -> DataFrame:
     """Number of records per cell and citation count."""
-    rows = discipline_records(records, categories, years, record)
+    return _distribution(discipline_records(records, categories, years, record))
+
+
+def _distribution(rows: DataFrame) -> DataFrame:
     return rows.groupBy(*CELL, "citations").agg(F.count(F.lit(1)).alias("nb_records"))
 
 
@@ -60,9 +63,9 @@ def normalised_impact(
 
     An extension: the original names these figures but does not compute them.
     """
-    rows = discipline_records(records, categories, years, record)
-    # Mean and ranks both follow from the distribution, so the rows are joined once.
-    counts = stage(citation_distribution(records, categories, years, record), "distribution")
+    # Mean and ranks both follow from the distribution, and that from the rows, which are joined once.
+    rows = stage(discipline_records(records, categories, years, record), "members")
+    counts = stage(_distribution(rows), "distribution")
     means = counts.groupBy(*CELL).agg(
         (F.sum(F.col("citations") * F.col("nb_records")) / F.sum(F.when(F.col("citations").isNotNull(), F.col("nb_records")))).alias("_mean")
     )

@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+import math
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame, Row, Window as W, functions as F
 
 from citeloom.functions.scalars import n_choose_2, pair_sorted, settled
-from citeloom.operators.grouping import attach_group, sample_keys
+from citeloom.operators.grouping import attach_group, distinct_on_key, sample_keys
 from citeloom.operators.joins import join_split, keep_keys_of, union_distinct_keys
+from citeloom.session import stage
+
 
 def team_sizes(affiliation: DataFrame, record: str = "lens_id") -> DataFrame:
     """(record, nb_authors) counted from the listed contributions, for data that states no number."""
@@ -32,7 +37,7 @@ def left_out(records: DataFrame, max_team_size: int) -> DataFrame:
     return records.agg(F.count_if(~within).alias("nb_left_out"), F.count(F.lit(1)).alias("nb_records"))
 
 
-def _set_pairs(teams: DataFrame, record: str, unit: str) -> DataFrame:
+def _set_pairs(teams: DataFrame, keys: Sequence[str], unit: str) -> DataFrame:
     """Pairs of the organisation sets of a record's authors, with the weight of each combination.
 
     Pairing sets instead of authors is exact: all author pairs with the same two sets yield
@@ -42,11 +47,11 @@ def _set_pairs(teams: DataFrame, record: str, unit: str) -> DataFrame:
     the join splits. Authors without a known organisation take part in no pair.
     """
     links = teams.where(F.col(unit).isNotNull())
-    authors = links.groupBy(record, "contribution_id").agg(F.sort_array(F.collect_set(unit)).alias("orgs"))
-    sets = authors.groupBy(record, "orgs").agg(F.count(F.lit(1)).cast("double").alias("authors"))
-    a = sets.select(record, F.col("orgs").alias("left"), F.col("authors").alias("m"))
-    b = sets.select(record, F.col("orgs").alias("right"), F.col("authors").alias("n"))
-    both = join_split(a, b, [record]).where(F.col("left") <= F.col("right"))
+    authors = links.groupBy(*keys, "contribution_id").agg(F.sort_array(F.collect_set(unit)).alias("orgs"))
+    sets = authors.groupBy(*keys, "orgs").agg(F.count(F.lit(1)).cast("double").alias("authors"))
+    a = sets.select(*keys, F.col("orgs").alias("left"), F.col("authors").alias("m"))
+    b = sets.select(*keys, F.col("orgs").alias("right"), F.col("authors").alias("n"))
+    both = join_split(a, b, keys).where(F.col("left") <= F.col("right"))
     same = F.col("left") == F.col("right")
     shared = F.array_intersect("left", "right")
     combined = F.size("left").cast("double") * F.size("right").cast("double")
@@ -57,76 +62,170 @@ def _set_pairs(teams: DataFrame, record: str, unit: str) -> DataFrame:
         .withColumn("is_ext", F.size("shared") == 0)
         .withColumn("weight", F.col("pairs") * (combined - n_choose_2(F.size("shared"))))
         .withColumn("rows", F.when(F.col("is_ext"), combined).otherwise(F.size("shared").cast("double")))
-        .select(record, "left", "right", "shared", "is_ext", "weight", "rows")
+        .select(*keys, "left", "right", "shared", "is_ext", "weight", "rows")
     )
 
 
-def collaboration_edges(
-    affiliation: DataFrame, records: DataFrame, max_team_size: int | None, record: str = "lens_id",
-    sample: int | None = None, level: str = "org_id", seed: int = 42,
-) -> DataFrame:
-    """Edges (from, to, is_ext, weight) between organisations, or between their countries.
+def edges_of_teams(teams: DataFrame, record: str = "lens_id", level: str = "org_id", by: Sequence[str] = ()) -> DataFrame:
+    """Edges (from, to, is_ext, weight) between the organisations of teams, or between their countries.
 
     Every pair of authors of a record is external when they share no organisation. External
     pairs add all combinations of their organisations, other pairs only the organisations
     they share. Rows weigh C(n,2) x distinct pairs, then each record is scaled to 1 in
     total; C(n,2) is the same for all rows of a record and cancels there. The scale is known
-    before any organisation pair is made.
+    before any organisation pair is made. With ``by`` every value of these columns has a network of its own.
     """
-    base = affiliation if sample is None else sample_keys(affiliation, record, sample, seed)
-    pairs = _set_pairs(small_teams(base, records, record, max_team_size), record, level)
-    scaled = attach_group(pairs, [record], F.sum(F.col("weight") * F.col("rows")).alias("_total")).select(
-        "left", "right", "shared", "is_ext", (F.col("weight") / F.col("_total")).alias("row_weight")
+    keys = [*by, record]
+    pairs = _set_pairs(teams, keys, level)
+    scaled = attach_group(pairs, keys, F.sum(F.col("weight") * F.col("rows")).alias("_total")).select(
+        *by, "left", "right", "shared", "is_ext", (F.col("weight") / F.col("_total")).alias("row_weight")
     )
     one_end = scaled.select(
-        "is_ext", "row_weight", "right",
+        *by, "is_ext", "row_weight", "right",
         F.explode(F.when(F.col("is_ext"), F.col("left")).otherwise(F.col("shared"))).alias("_l"),
     )
     both_ends = one_end.select(
-        "is_ext", "row_weight", "_l",
+        *by, "is_ext", "row_weight", "_l",
         F.explode(F.when(F.col("is_ext"), F.col("right")).otherwise(F.array("_l"))).alias("_r"),
     )
     low, high = pair_sorted("_l", "_r")
-    return both_ends.groupBy(low.alias("from"), high.alias("to"), "is_ext").agg(settled(F.sum("row_weight")).alias("weight"))
+    return both_ends.groupBy(*by, low.alias("from"), high.alias("to"), "is_ext").agg(settled(F.sum("row_weight")).alias("weight"))
+
+
+def collaboration_edges(
+    affiliation: DataFrame, records: DataFrame, max_team_size: int | None, record: str = "lens_id",
+    sample: int | None = None, level: str = "org_id", seed: int = 42,
+) -> DataFrame:
+    """Edges of the network of all records up to a team size, or of a sample of records."""
+    base = affiliation if sample is None else sample_keys(affiliation, record, sample, seed)
+    return edges_of_teams(small_teams(base, records, record, max_team_size), record, level)
+
+
+def figures_of_teams(teams: DataFrame, record: str = "lens_id", by: Sequence[str] = ()) -> DataFrame:
+    """Fractional contributions and number of records per organisation."""
+    keys = [*by, record]
+    cells = teams.where(F.col("org_id").isNotNull()).groupBy(*keys, "org_id").agg(F.count(F.lit(1)).alias("_rows"))
+    return (
+        attach_group(cells, keys, F.sum("_rows").alias("_all"))
+        .groupBy(*by, "org_id")
+        .agg(settled(F.sum(F.col("_rows") / F.col("_all"))).alias("nb_contributions"), F.count(F.lit(1)).alias("nb_records"))
+    )
+
+
+def nodes_of_teams(teams: DataFrame, edges: DataFrame, organisations: DataFrame, record: str = "lens_id") -> DataFrame:
+    """Nodes of the network: the organisations at the ends of edges, with their figures."""
+    seen = join_split(union_distinct_keys(edges), figures_of_teams(teams, record), ["org_id"])
+    return join_split(seen, organisations, ["org_id"])
 
 
 def collaboration_nodes(
     affiliation: DataFrame, records: DataFrame, edges: DataFrame, organisations: DataFrame,
     max_team_size: int | None, record: str = "lens_id",
 ) -> DataFrame:
-    """Nodes of the network: fractional contributions and number of records per organisation."""
-    teams = small_teams(affiliation, records, record, max_team_size).where(F.col("org_id").isNotNull())
-    cells = teams.groupBy(record, "org_id").agg(F.count(F.lit(1)).alias("_rows"))
-    figures = (
-        attach_group(cells, [record], F.sum("_rows").alias("_all"))
-        .groupBy("org_id")
-        .agg(settled(F.sum(F.col("_rows") / F.col("_all"))).alias("nb_contributions"), F.count(F.lit(1)).alias("nb_records"))
-    )
-    return join_split(join_split(union_distinct_keys(edges), figures, ["org_id"]), organisations, ["org_id"])
+    return nodes_of_teams(small_teams(affiliation, records, record, max_team_size), edges, organisations, record)
 
 
 def collaboration_network(
     affiliation: DataFrame, records: DataFrame, organisations: DataFrame, max_team_size: int | None,
     record: str = "lens_id", sample: int | None = None, seed: int = 42,
 ) -> tuple[DataFrame, DataFrame]:
-    """(edges, nodes) of the organisation network."""
+    """(edges, nodes) of the organisation network; the lines of small teams are sought out once."""
     base = affiliation if sample is None else sample_keys(affiliation, record, sample, seed)
-    edges = collaboration_edges(base, records, max_team_size, record)
-    return edges, collaboration_nodes(base, records, edges, organisations, max_team_size, record)
+    teams = stage(small_teams(base, records, record, max_team_size).select(record, "contribution_id", "org_id"), "teams")
+    edges = stage(edges_of_teams(teams, record), "edges")
+    return edges, nodes_of_teams(teams, edges, organisations, record)
+
+
+def collaboration_intervals(
+    affiliation: DataFrame, records: DataFrame, organisations: DataFrame, spans: Sequence[tuple[int, int]], n: int,
+    max_team_size: int | None, record: str = "lens_id",
+) -> tuple[DataFrame, DataFrame]:
+    """(edges, nodes) per span of years: the n largest organisations and the edges among them.
+
+    Spans include both their years, are told apart by ``first_year`` and ``last_year`` and may overlap. Largest
+    means most fractional contributions in the span, ties to the smaller id; only organisations with an edge count.
+    An extension: the original declares interval and number of nodes without using them.
+    """
+    by = ["first_year", "last_year"]
+    listed = F.array(*[F.struct(F.lit(a).alias("first_year"), F.lit(b).alias("last_year")) for a, b in spans])
+    within = F.filter(listed, lambda s: F.col("year_published").between(s["first_year"], s["last_year"]))
+    dated = records.where(F.col("year_published").isNotNull()).select(record, F.inline(within))
+    teams = small_teams(affiliation, records, record, max_team_size).select(record, "contribution_id", "org_id")
+    teams = stage(join_split(teams, dated, [record]), "teams")
+    edges = stage(edges_of_teams(teams, record, by=by), "edges")
+    ends = edges.select(*by, F.col("from").alias("org_id")).unionByName(edges.select(*by, F.col("to").alias("org_id"))).distinct()
+    figures = join_split(ends, figures_of_teams(teams, record, by), [*by, "org_id"])
+    order = W.partitionBy(*by).orderBy(F.col("nb_contributions").desc(), "org_id")
+    largest = stage(figures.withColumn("position", F.row_number().over(order)).where(F.col("position") <= n), "largest")
+    for end in ("from", "to"):
+        edges = join_split(edges, largest.select(*by, F.col("org_id").alias(end)), [*by, end], "left_semi")
+    return edges, join_split(largest, organisations, ["org_id"])
+
+
+def edge_lines(edges: DataFrame, locations: DataFrame) -> DataFrame:
+    """Edges with the coordinates of both ends.
+
+    An organisation with several places is drawn at the one of the smallest ``geonames_id``. Edges with
+    an end that has no place are left out.
+    """
+    known = locations.where(F.col("lat").isNotNull() & F.col("lng").isNotNull())
+    places = distinct_on_key(known.select("org_id", "geonames_id", "lat", "lng"), ["org_id"], ["geonames_id", "lat", "lng"])
+
+    def end(c: str, k: int) -> DataFrame:
+        return places.select(F.col("org_id").alias(c), F.col("lat").alias(f"lat_{k}"), F.col("lng").alias(f"lng_{k}"))
+
+    return join_split(join_split(edges, end("from", 1), ["from"]), end("to", 2), ["to"])
+
+
+#: Organisations that are paired first to learn how many records the n best pairs have.
+SEEDS = 256
+
+
+def joint_records(present: DataFrame, sizes: DataFrame, worst: Row | None, least: int, record: str) -> DataFrame:
+    """Joint records of all pairs that can still be among the best, out of organisations with ``least`` records.
+
+    A pair has at most as many joint records as its smaller organisation has records. ``worst`` is
+    the last of the best pairs so far: a pair whose bound equals its count has to stand before it.
+    """
+    wanted = sizes.where(F.col("n") >= least).select("org_id", "n")
+    rows = join_split(present, wanted, ["org_id"])
+    first, second = rows.select(record, F.col("org_id").alias("from"), F.col("n").alias("n_from")), rows.select(record, F.col("org_id").alias("to"), F.col("n").alias("n_to"))
+    before = F.col("from") < F.col("to")
+    if worst is not None:
+        first = first.where((F.col("n_from") > worst.nb_records) | (F.col("from") <= worst["from"]))
+        above = F.least("n_from", "n_to") > worst.nb_records
+        before &= above | (F.col("from") < worst["from"]) | ((F.col("from") == worst["from"]) & (F.col("to") <= worst["to"]))
+    together = join_split(first, second, [record]).where(before)
+    return together.groupBy("from", "to").agg(F.count(F.lit(1)).alias("nb_records"))
 
 
 def top_pairs_unweighted(
     affiliation: DataFrame, records: DataFrame, n: int, max_team_size: int | None, record: str = "lens_id"
 ) -> DataFrame:
-    """The organisation pairs that appear together on most records."""
+    """The n organisation pairs that appear together on most records, ties to the smaller ids.
+
+    Exact, and without pairing all organisations of a record: organisations with fewer records than the
+    n-th best pair found so far cannot be in a better pair. The ``SEEDS`` largest are paired first, then
+    those above a falling number of records, until no smaller organisation can matter.
+    """
     teams = small_teams(affiliation, records, record, max_team_size).where(F.col("org_id").isNotNull())
-    present = teams.select(record, "org_id").distinct()
-    a, b = present.alias("a"), present.alias("b")
-    together = a.join(b, (F.col(f"a.{record}") == F.col(f"b.{record}")) & (F.col("a.org_id") < F.col("b.org_id")))
-    counts = together.groupBy(F.col("a.org_id").alias("from"), F.col("b.org_id").alias("to")).agg(
-        F.count(F.lit(1)).alias("nb_records")
-    )
-    return counts.orderBy(F.col("nb_records").desc(), "from", "to").limit(n)
+    present = stage(teams.select(record, "org_id").distinct(), "present")
+    sizes = stage(present.groupBy("org_id").agg(F.count(F.lit(1)).alias("n")), "sizes")
+    order = [F.col("nb_records").desc(), "from", "to"]
+
+    def best(counts: DataFrame) -> tuple[DataFrame, Row | None]:
+        top = stage(counts.orderBy(*order).limit(n), "pairs")
+        rows = top.orderBy(*order).collect()  # n rows, as many as the caller asks for
+        return top, rows[-1] if len(rows) == n else None
+
+    seeds = stage(sizes.orderBy(F.col("n").desc(), "org_id").limit(max(SEEDS, 2 * math.isqrt(n) + 2)), "seeds")
+    top, worst = best(joint_records(present, seeds, None, 1, record))
+    least = seeds.agg(F.min("n")).first()[0] or 1
+    while True:
+        least = max(1, least // 4, worst.nb_records if worst else 1)
+        top, worst = best(joint_records(present, sizes, worst, least, record))
+        if least <= (worst.nb_records if worst else 1):
+            return top
 
 
 def graph_vertices(nodes: DataFrame, edges: DataFrame, group: str = "country_code") -> DataFrame:

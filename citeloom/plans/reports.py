@@ -16,7 +16,7 @@ from citeloom.functions.predicates import filter_null_any, filter_null_subset, f
 from citeloom.functions.scalars import (
     bin_edges, bin_of, format_thousands, if_null_then, label_text, round_after_fetch, round_in_query, scaled_estimates, settled,
 )
-from citeloom.operators.grouping import count_distinct_pair, filter_flagged, fractional_count, trend_line, weighted_median
+from citeloom.operators.grouping import filter_flagged, trend_line, weighted_median
 from citeloom.operators.joins import join_lookup_code, join_many_to_many, keep_keys_of, union_distinct_keys
 from citeloom.operators.ranking import percent_rank_within, share_of_total, sort_desc, top_n, top_n_threshold, top_percentile
 from citeloom.session import stage
@@ -30,6 +30,14 @@ CARD_DIVISORS = {"researchers": 5, "inventors": 20, "projects": 10, "location":
 # Names and divisors of the placeholder distance classes.
 MATCH_CLASSES = {"Exact": 5.0, "Close": 5.0 / 2.0, "Related": 5.0 / 3.0}
 DISTANCE_CLASSES = {"local": 5.0, "national": 5.0 / 2.0, "international": 5.0 / 3.0}
+# Texts of the map's labels; a click shows the hover label and one line more.
+COUNTRY_LABEL = "<strong>%s</strong><br/>%s organisations"
+SHORT_LABEL = "<strong>%s</strong><br/>%s records"
+CARD_LABEL = (
+    "<strong>%s</strong><br/>%s records<br/>%d researchers<br/>%d inventors<br/>%d projects<br/><hr/>"
+    "Location: %d<br/>Topic: %d<br/>R&D strength: %d"
+)
+CLICK_LINE = "<br/>Review Profile"
 # Headings of the report tables.
 HEADINGS = {
     "document_types": {
@@ -201,10 +209,12 @@ def report_countries(tables: Tables, years: Years = None, top: int = 10) -> Repo
     )
     shares = share_of_total(stage(grouped, "countries"), "nb_records", "share_records")
     named = join_lookup_code(filter_null_any(shares), tables["countries"], "country_code", "country_code", "country", {"??": "unknown"})
-    on_map = keep_keys_of(named, "country_code", tables["countries"], "country_code")
+    # The table shows the countries of the map under their names there.
+    on_map = named.drop("country").join(tables["countries"].select("country_code", F.col("admin").alias("country")), "country_code")
     most = on_map.agg(F.max("nb_records")).scalar()
     return {
-        "table": sort_desc(named, ["nb_records"], ["country_code"]),
+        "table": sort_desc(on_map, ["nb_records"], ["country"]),
+        "all": sort_desc(named, ["nb_records"], ["country_code"]),
         "top": top_n(named, [F.col("nb_records").desc_nulls_last(), F.col("country_code").asc_nulls_last()], top),
         "hero": _headline(named, F.sum("nb_records")),
         "map": on_map.withColumn("bin", bin_of("nb_records", bin_edges(most, plus_one=False))),
@@ -223,23 +233,33 @@ def report_funders(tables: Tables, years: Years = None, minimum: float = 10, n:
         .select("lens_id", "org", if_null_then("funding_id", "org", "Unknown").alias("funding_id"), "country")
         .distinct()
     )
-    kept = filter_flagged(records, lines, "lens_id", "org")
-    # One pass counts the rows per project and per measure; both counts are combined on the
-    # map side, and the distinct projects, shares, means and the median follow from them.
+    kept = filter_flagged(records, stage(lines, "lines"), "lens_id", "org")
+    # One pass counts the rows per project, per measure, and per pair of project and organisation; all
+    # counts are combined on the map side, and every figure of the report follows from them. The
+    # different pairs are counted in a row of their own.
     funder, measures = ["org", "country"], ["nb_authors", "year_published"]
-    cells = kept.groupingSets([[*funder, "funding_id"], [*funder, *measures]], *funder, "funding_id", *measures).agg(
+    sets = [[*funder, "funding_id"], [*funder, *measures], ["funding_id", "org"]]
+    is_pair = (F.grouping("country") == 1).alias("is_pair")
+    cells = kept.groupingSets(sets, *funder, "funding_id", *measures).agg(
         F.sum(F.lit(1.0) / F.col("nb_rows")).alias("part"),
         F.count(F.lit(1)).alias("n"),
         (F.grouping("funding_id") == 0).alias("is_project"),
+        is_pair,
     )
-    grouped = cells.groupBy(*funder).agg(
-        settled(F.sum(F.when(~F.col("is_project"), F.col("part")))).alias("nb_records"),
-        F.count(F.when(F.col("is_project"), F.col("funding_id"))).alias("nb_projects"),
-        _row_mean("nb_authors").alias("avg_nb_authors"),
-        _row_median("nb_authors").alias("median_nb_authors"),
-        _row_mean("year_published").alias("avg_year"),
+    cells = cells.withColumns({c: F.when(~F.col("is_pair"), F.col(c)) for c in funder})
+    figures = stage(
+        cells.groupBy(*funder, "is_pair").agg(
+            settled(F.sum(F.when(~F.col("is_project"), F.col("part")))).alias("nb_records"),
+            F.count(F.when(F.col("is_project"), F.col("funding_id"))).alias("nb_projects"),
+            _row_mean("nb_authors").alias("avg_nb_authors"),
+            _row_median("nb_authors").alias("median_nb_authors"),
+            _row_mean("year_published").alias("avg_year"),
+            F.count(F.lit(1)).alias("_pairs"),
+        ),
+        "funders",
     )
-    shares = share_of_total(stage(grouped, "funders"), "nb_records", "share_records")
+    grouped = figures.where(~F.col("is_pair")).drop("is_pair", "_pairs")
+    shares = share_of_total(grouped, "nb_records", "share_records")
     shares = share_of_total(shares, "nb_projects", "share_projects")
     clean = filter_null_subset(shares, ["org"])
     tie = ["org", "country"]
@@ -250,12 +270,11 @@ def report_funders(tables: Tables, years: Years = None, minimum: float = 10, n:
         "avg_nb_authors", "median_nb_authors", "avg_year",
     )
     funded = shares.agg(F.sum(F.when(F.col("org").isNotNull(), F.col("nb_records"))).alias("subtotal"))
-    pairs = count_distinct_pair(kept, "funding_id", "org", "_pairs")
     return {
         "data": clean,
         "table": sort_desc(finished, ["nb_projects"], tie),
         "top": top_n_threshold(clean, "nb_projects", minimum, n, tie).withColumn("country", F.coalesce("country", F.lit("Other"))),
-        "hero": pairs.select(format_thousands("_pairs").alias("hero")),
+        "hero": _headline(figures.where("is_pair"), F.max("_pairs")),
         "funded": funded,
     }
 
@@ -275,6 +294,24 @@ DOMAIN = ["parent_0", "display_name_0"]
 DISCIPLINE = ["parent_1", "display_name_1"]
 
 
+def _discipline_cells(linked: DataFrame, marker: str) -> DataFrame:
+    """Per domain and discipline: fractional records (nb_1) and linked records that are first counted there.
+
+    One pass over the rows gathers the different (domain, discipline) pairs of a record; there are at most as
+    many as the taxonomy has. Records without any stand in a row of their own (``is_cell`` false).
+    """
+    known = F.col("category_id").isNotNull() & F.col("parent_1").contains(marker)
+    pair = F.struct(*DOMAIN, *DISCIPLINE)
+    records = linked.where(F.col("lens_id").isNotNull()).groupBy("lens_id").agg(
+        F.collect_set(F.when(known, pair)).alias("pairs"), F.bool_or("is_not_linked").alias("missing")
+    )
+    rows = records.select("missing", F.size("pairs").alias("k"), F.posexplode_outer("pairs").alias("place", "pair"))
+    first = F.coalesce("place", F.lit(0)) == 0
+    return rows.groupBy(F.col("pair").isNotNull().alias("is_cell"), *[F.col(f"pair.{c}").alias(c) for c in [*DOMAIN, *DISCIPLINE]]).agg(
+        settled(F.sum(F.lit(1.0) / F.greatest("k", F.lit(1)))).alias("nb_1"), F.count_if(first & ~F.col("missing")).alias("nb_linked")
+    )
+
+
 def discipline_counts(linked: DataFrame, marker: str) -> DataFrame:
     """Fractional records (nb_1) per domain and discipline.
 
@@ -282,8 +319,7 @@ def discipline_counts(linked: DataFrame, marker: str) -> DataFrame:
     categories. ``marker`` is the letter that ids of real categories hold. A known category
     makes its record a linked one, so ``is_not_linked`` need not be looked at.
     """
-    known = linked.where(F.col("category_id").isNotNull() & F.col("parent_1").contains(marker))
-    return fractional_count(known, "lens_id", [*DOMAIN, *DISCIPLINE], "nb_1", distinct=True)
+    return _discipline_cells(linked, marker).where("is_cell").drop("is_cell", "nb_linked")
 
 
 def flow_domain_discipline(flows: DataFrame) -> DataFrame:
@@ -295,15 +331,15 @@ def report_domains_disciplines(tables: Tables, years: Years = None, marker: str
     """Domains and disciplines with fractional counts and percentile ranks at both levels."""
     records = filter_year_range(tables["records"], "year_published", years).select("lens_id")
     data = tables["categories"].join(records, "lens_id", "left_semi")
-    leaves = stage(discipline_counts(data, marker), "flows")
+    cells = stage(_discipline_cells(data, marker), "flows")
+    leaves = cells.where("is_cell").drop("is_cell", "nb_linked")
     domains = stage(leaves.groupBy(*DOMAIN).agg(settled(F.sum("nb_1")).alias("nb_0")), "domains")
     disciplines = stage(leaves.groupBy(*DISCIPLINE).agg(settled(F.sum("nb_1")).alias("nb_1_total")), "disciplines")
     ranked = leaves.join(
         percent_rank_within(domains, [], "nb_0", "percentile_0").select("parent_0", "nb_0", "percentile_0"), "parent_0"
     ).join(percent_rank_within(disciplines, [], "nb_1_total", "percentile_1").select("parent_1", "percentile_1"), "parent_1")
     largest = top_percentile(filter_null_any(ranked), {"percentile_1": 0.95, "percentile_0": 0.1})
-    per_record = data.groupBy("lens_id").agg(F.bool_or("is_not_linked").alias("_missing"))
-    linked_total = F.count(F.when(~F.col("_missing"), F.lit(1)))
+    linked_total = F.coalesce(F.sum("nb_linked"), F.lit(0))
     table = ranked.select(
         "display_name_0", "display_name_1", round_after_fetch("nb_1").alias("nb_1"), round_after_fetch("nb_0").alias("nb_0"),
         round_after_fetch(F.col("percentile_1") * 100, 1).alias("percentile_1"),
@@ -316,8 +352,8 @@ def report_domains_disciplines(tables: Tables, years: Years = None, marker: str
         "flows": flow_domain_discipline(largest),
         "hero": _headline(largest, F.count_distinct("parent_1")),
         "shown": largest.agg(format_thousands(F.ceil(F.coalesce(F.sum("nb_1"), F.lit(0.0)))).alias("shown")),
-        "total": per_record.agg(format_thousands(linked_total).alias("total")),
-        "stats": _classes(per_record, linked_total, MATCH_CLASSES),
+        "total": cells.agg(format_thousands(linked_total).alias("total")),
+        "stats": _classes(cells, linked_total, MATCH_CLASSES),
     }
 
 
@@ -350,26 +386,23 @@ def report_collaboration_map(tables: Tables, limit: float | None = None, short_l
     """The collaboration report with organisations per country and the map labels.
 
     ``tables["countries"]`` lists the countries on the map (country_code, admin). The
-    figures on the organisation card are placeholders: record counts over fixed divisors.
+    figures on the organisation card are placeholders: record counts over fixed divisors. A marker is
+    told apart by its ``org_id``; ``label`` shows on hovering, ``popup`` on a click.
     """
     report = report_collaborations(tables, limit)
     nodes = stage(report["nodes"], "mapnodes")
     counts = nodes.groupBy("country_code").agg(F.count(F.lit(1)).alias("nb_org"))
     countries = stage(counts.join(tables["countries"].select("country_code", "admin"), "country_code"), "mapcountries")
     top = countries.agg(F.max("nb_org")).scalar()
-    country_label = label_text("<strong>%s</strong><br/>%s organisations", "admin", format_thousands("nb_org"))
+    country_label = label_text(COUNTRY_LABEL, "admin", format_thousands("nb_org"))
     shaded = countries.withColumn("bin", bin_of("nb_org", bin_edges(top))).withColumn("label", country_label)
-    short = label_text("<strong>%s</strong><br/>%s records", "name", format_thousands("nb_records"))
-    card = label_text(
-        "<strong>%s</strong><br/>%s records<br/>%d researchers<br/>%d inventors<br/>%d projects<br/><hr/>"
-        "Location: %d<br/>Topic: %d<br/>R&D strength: %d",
-        "name", format_thousands("nb_records"), *CARD_DIVISORS,
-    )
+    short = label_text(SHORT_LABEL, "name", format_thousands("nb_records"))
+    card = label_text(CARD_LABEL, "name", format_thousands("nb_records"), *CARD_DIVISORS)
     figured = nodes.select("*", *scaled_estimates("nb_records", CARD_DIVISORS))
     return {
         **report,
         "countries": shaded,
-        "markers": figured.withColumn("label", short if short_labels else card),
+        "markers": figured.withColumn("label", short if short_labels else card).withColumn("popup", F.concat("label", F.lit(CLICK_LINE))),
         "stats": _classes(countries, F.max("nb_org"), DISTANCE_CLASSES),
     }
 

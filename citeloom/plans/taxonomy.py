@@ -223,3 +223,18 @@ def link_categories(cats: DataFrame, hierarchy: DataFrame, record: str, value: s
         join_split(known, labels, [label], "left").groupBy(record).agg((F.count("_known") == 0).alias("is_not_linked"))
     )
     return join_split(join_split(known, hierarchy, [label], "left"), flags, [record], "left")
+
+
+def fields_of_study(categories: DataFrame, record: str) -> DataFrame:
+    """(record, value) of the labels that the taxonomies know, out of all kinds of categories."""
+    return categories.where(F.col("type") == "fields_of_study").select(record, "value")
+
+
+def link_topics(cats: DataFrame, topics: DataFrame, record: str, value: str = "value") -> DataFrame:
+    """Record labels with every node of the four-level taxonomy that bears the label.
+
+    ``topics`` is the resolved topic hierarchy. A label may stand on several levels at once; the record then
+    has a row for each, with the ancestors of that node at the three upper levels.
+    ``is_not_linked`` is as in ``link_categories``.
+    """
+    return link_categories(cats, topics, record, value, "display_name")

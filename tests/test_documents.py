@@ -5,7 +5,9 @@ import json
 
 import pytest
 
-from citeloom.plans import publications, registry
+from pyspark.sql import functions as F
+
+from citeloom.plans import publications, registry, taxonomy
 from citeloom.sources import definitions, files, schemas
 from tests.conftest import rows
 
@@ -151,3 +153,77 @@ def test_tables_and_tsv(spark, tmp_path):
     files.write_tsv(files.label_counts(df, 1), str(tmp_path / "tsv"))
     text = "".join(p.read_text() for p in (tmp_path / "tsv").glob("*.csv"))
     assert text.splitlines()[0] == "category_id\tdisplay_name\tnb" and "C1\ta\t1" in text
+
+
+def parses(df):
+    """How often a plan reads the JSON documents."""
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return sum("FileScan json" in line and "lens_id" in line for line in plan.splitlines())
+
+
+def test_documents_are_parsed_once_for_all_tables(spark, tables, tmp_path, monkeypatch):
+    path = tmp_path / "pubs.json"
+    path.write_text("\n".join(json.dumps(d) for d in AUTHOR_CASES))
+    documents = files.scan_nested_json(spark, str(path), schemas.PUBLICATION)
+    landed = []
+
+    def noting(df, label="stage"):
+        landed.append((label, parses(df)))
+        return stage(df, label)
+
+    stage = publications.stage
+    monkeypatch.setattr(publications, "stage", noting)
+    nodes = spark.createDataFrame([("C1", 0, "a", "a")], "category_id string, level int, display_name string, raw_display_name string")
+    edges = spark.createDataFrame([], "category_id string, parent string")
+    concepts = taxonomy.resolve_hierarchy(nodes, edges)
+    topic = {c: None for c in ("subfield_id", "field_id", "domain_id")}
+    topics = taxonomy.resolve_topic_hierarchy(nodes.drop("raw_display_name").select("*", *[F.lit(v).cast("string").alias(c) for c, v in topic.items()]), edges)
+    made = publications.build_publication_tables(documents, tables, concepts=concepts, topics=topics, max_team_size=20)
+    assert landed == []
+    assert rows(made["funding"], "lens_id", "org") == [("1", "F"), ("2", None), ("3", None)]
+    assert landed == [("documents", 1)]
+    assert {name: parses(made[name]) for name in made} == dict.fromkeys(made, 0)
+    labels = [label for label, _ in landed]
+    assert all(labels.count(label) == 1 for label in labels) and sum(n for _, n in landed) == 1
+    assert len(made) == 16 and set(made) >= {"categories_topics", "categories_concepts", "net_org_edges", "locations"}
+    assert rows(made["categories_topics"], "lens_id", "display_name", "category_id", "is_not_linked") == [("1", "a", "C1", False), ("1", "b", None, False)]
+    assert rows(made["categories_concepts"], "lens_id", "category_id", "parent_0") == [("1", None, None), ("1", "C1", "C1")]
+    assert rows(made["net_org_edges"], "from", "to", "is_ext") == []
+
+
+def test_network_of_publication_tables(spark, tmp_path):
+    def author(*names):
+        return {"affiliations": [{"name": n, "country_code": "FR", "grid_id": n} for n in names]}
+
+    cases = [
+        {"lens_id": "1", "author_count": 2, "authors": [author("A"), author("B", "C")]},
+        {"lens_id": "2", "author_count": 40, "authors": [author("A"), author("C")]},
+        {"lens_id": "3", "author_count": 2, "authors": [author("A"), {"affiliations": None}]},
+    ]
+    path = tmp_path / "pubs.json"
+    path.write_text("\n".join(json.dumps(d) for d in cases))
+    made = publications.build_publication_tables(files.scan_nested_json(spark, str(path), schemas.PUBLICATION), max_team_size=20)
+    assert rows(made["net_org_edges"], "from", "to", "is_ext", "weight") == [(0, 1, True, 0.5), (0, 2, True, 0.5)]
+    assert rows(made["net_org_nodes"], "name", "nb_records") == [("A", 2), ("B", 1), ("C", 1)]
+
+
+def test_later_pages_take_the_first_pages_score(spark, tmp_path):
+    pages = {
+        "2015/page_1.json": (9.0, [{"id": 1, "score": 4.0}, {"id": 2}]),
+        "2015/page_2.json": (3.0, [{"id": 3, "score": 1.0}]),
+        "2016/page_1.json": (5.0, [{"id": 4, "score": 5.0}]),
+        "2016/page_2.json": (7.0, []),
+        "2016/page_3.json": (6.0, [{"id": 5}, {"id": 6, "score": 2.0}]),
+    }
+    for name, (score, data) in pages.items():
+        (tmp_path / name).parent.mkdir(exist_ok=True)
+        (tmp_path / name).write_text(json.dumps({"max_score": score, "data": data}))
+    got = files.scan_paged_append(spark, str(tmp_path), "id long, score double", "score", first_page=True)
+    assert rows(got, "id", "score") == [(1, 4.0), (2, None), (3, 9.0), (4, 5.0), (5, 5.0), (6, 5.0)]
+
+
+def test_pages_of_one_file_are_ordered_by_their_number(spark, tmp_path):
+    lines = [{"search": s, "page_number": n, "max_score": m, "data": [{"id": i, "score": 0.5}]} for s, n, m, i in (("b", 10, 2.0, 1), ("b", 9, 8.0, 2), ("c", 1, 3.0, 3), ("b", 11, 1.0, 4))]
+    (tmp_path / "pages.json").write_text("\n".join(map(json.dumps, lines)))
+    got = files.scan_paged_append(spark, str(tmp_path), "id long, score double", "score", first_page=True)
+    assert rows(got, "id", "score") == [(1, 8.0), (2, 0.5), (3, 0.5), (4, 8.0)]

@@ -2,6 +2,7 @@ import random
 from itertools import combinations
 
 import pytest
+from pyspark.sql import functions as F
 
 from citeloom.plans import network
 from tests.conftest import rows
@@ -126,3 +127,77 @@ def test_a_very_large_record_without_a_bound(spark):
     lines = [(1, a, a % 40) for a in range(5000)]
     got = edge_weights(net(spark.createDataFrame(lines, SCHEMA), None))
     assert len(got) == 40 * 39 // 2 + 40 and sum(got.values()) == pytest.approx(1.0)
+
+
+def pairs_by_hand(lines, n):
+    records = {}
+    for record, _, org in lines:
+        records.setdefault(record, set()).add(org)
+    counts = {}
+    for orgs in records.values():
+        for pair in combinations(sorted(orgs), 2):
+            counts[pair] = counts.get(pair, 0) + 1
+    return sorted(((a, b, c) for (a, b), c in counts.items()), key=lambda r: (-r[2], r[0], r[1]))[:n]
+
+
+@pytest.mark.parametrize(("n", "seeds"), [(1, 2), (7, 3), (30, 4), (400, 2)])
+def test_top_pairs_of_random_records(spark, monkeypatch, n, seeds):
+    monkeypatch.setattr(network, "SEEDS", seeds)
+    rng = random.Random(n)
+    lines = [(r, a, min(int(rng.expovariate(0.15)), 39)) for r in range(150) for a in range(rng.randrange(1, 5))]
+    df = spark.createDataFrame(lines, SCHEMA)
+    top = network.top_pairs_unweighted(df, network.team_sizes(df), n, None)
+    assert [tuple(r) for r in top.orderBy(F.col("nb_records").desc(), "from", "to").collect()] == pairs_by_hand(lines, n)
+
+
+@pytest.mark.parametrize("others", [True, False])
+def test_top_pairs_do_not_pair_all_organisations_of_a_record(spark, monkeypatch, others):
+    joined = []
+
+    def counting(left, right, keys, how="inner"):
+        out = join_split(left, right, keys, how)
+        if keys == ["lens_id"] and how == "inner":
+            joined.append(out.count())
+        return out
+
+    join_split = network.join_split
+    monkeypatch.setattr(network, "join_split", counting)
+    large = [(0, a, 1000 + a) for a in range(5000)]
+    lines = large + ([(r, a, (r + a) % 9) for r in range(1, 60) for a in range(3)] if others else [])
+    df = spark.createDataFrame(lines, SCHEMA)
+    top = network.top_pairs_unweighted(df, network.team_sizes(df), 5, None)
+    assert rows(top) == sorted(pairs_by_hand(lines[5000:] if others else [(0, a, 1000 + a) for a in range(9)], 5))
+    assert sum(joined) < 200_000  # all pairs would be 25 million
+
+
+def test_top_pairs_of_nothing(spark):
+    df = spark.createDataFrame([], SCHEMA)
+    assert network.top_pairs_unweighted(df, network.team_sizes(df), 3, 20).count() == 0
+
+
+def test_intervals_hold_the_network_of_each_span(spark):
+    rng = random.Random(2)
+    lines = [(r, a, rng.randrange(12)) for r in range(80) for a in range(rng.randrange(1, 4))]
+    df = spark.createDataFrame(lines, SCHEMA)
+    years = {r: 2000 + r % 7 for r in range(79)}  # the last record has no year
+    records = spark.createDataFrame([(r, 3, years.get(r)) for r in range(80)], "lens_id long, nb_authors int, year_published int")
+    orgs = spark.createDataFrame([(o, f"O{o}", "N1") for o in range(12)], "org_id long, name string, country_code string")
+    spans = [(2000, 2002), (2002, 2006)]
+    edges, nodes = network.collaboration_intervals(df, records, orgs, spans, 5, 20)
+    for a, b in spans:
+        own = df.join(records.where(F.col("year_published").between(a, b)), "lens_id").select(*df.columns)
+        all_edges, all_nodes = network.collaboration_network(own, records, orgs, 20)
+        largest = sorted(all_nodes.collect(), key=lambda r: (-r.nb_contributions, r.org_id))[:5]
+        got = nodes.where((F.col("first_year") == a) & (F.col("last_year") == b)).orderBy("position").collect()
+        assert [(r.org_id, r.nb_contributions, r.nb_records, r.name) for r in got] == [(r.org_id, r.nb_contributions, r.nb_records, r.name) for r in largest]
+        ids = [r.org_id for r in largest]
+        kept = all_edges.where(F.col("from").isin(ids) & F.col("to").isin(ids))
+        assert edge_weights(edges.where(F.col("first_year") == a)) == edge_weights(kept)
+
+
+def test_edges_are_drawn_between_one_place_each(spark):
+    edges = spark.createDataFrame([(1, 2, True, 1.0), (1, 3, True, 2.0), (2, 4, True, 3.0)], "`from` long, `to` long, is_ext boolean, weight double")
+    places = [(1, 9, 1.0, 1.5), (1, 4, 2.0, 2.5), (1, 3, None, 0.0), (2, 4, 2.0, 2.5), (3, 7, 3.0, 3.5), (4, 8, 4.0, None)]
+    locations = spark.createDataFrame(places, "org_id long, geonames_id long, lat double, lng double")
+    got = rows(network.edge_lines(edges, locations), "from", "to", "lat_1", "lng_1", "lat_2", "lng_2")
+    assert got == [(1, 2, 2.0, 2.5, 2.0, 2.5), (1, 3, 2.0, 2.5, 3.0, 3.5)]

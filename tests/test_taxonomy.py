@@ -75,3 +75,18 @@ def test_unlinked_records_are_flagged(spark):
     hierarchy = spark.createDataFrame([("B", "b", "B", "A"), ("B", "b", "B", "A2")], "category_id string, raw_display_name string, parent_1 string, parent_0 string")
     got = rows(taxonomy.link_categories(cats, hierarchy, "lens_id", "value", "raw_display_name"), "lens_id", "raw_display_name", "parent_0", "is_not_linked")
     assert got == [(1, "?", None, False), (1, "b", "A", False), (1, "b", "A2", False), (2, None, None, True), (2, "?", None, True), (3, "B", None, True)]
+
+
+def test_topics_link_every_level_that_bears_the_label(spark):
+    topics = spark.createDataFrame(
+        [("D1", 0, "Health", None, None, None), ("F1", 1, "Health", None, None, None), ("S1", 2, "Care", None, None, None), ("T1", 3, "Health", "S1", "F1", "D1")],
+        "category_id string, level int, display_name string, subfield_id string, field_id string, domain_id string",
+    )
+    resolved = taxonomy.resolve_topic_hierarchy(topics, edges(spark, ("F1", "D1"), ("S1", "F1")))
+    cats = spark.createDataFrame([(1, "Health"), (1, "None such"), (2, "health"), (3, None), (3, "Care")], "lens_id long, value string")
+    got = rows(taxonomy.link_topics(cats, resolved, "lens_id"), "lens_id", "display_name", "category_id", "parent_2", "parent_1", "parent_0", "is_not_linked")
+    assert got == [
+        (1, "Health", "D1", "N/A", "N/A", "D1", False), (1, "Health", "F1", "N/A", "F1", "D1", False), (1, "Health", "T1", "S1", "F1", "D1", False),
+        (1, "None such", None, None, None, None, False), (2, "health", None, None, None, None, True),
+        (3, None, None, None, None, None, False), (3, "Care", "S1", "S1", "F1", "D1", False),
+    ]
