@@ -125,6 +125,24 @@ scaled AS (SELECT *, w / sum(w) OVER (PARTITION BY r) AS s FROM per_record),
 net AS (SELECT p AS "from", q AS "to", is_ext, round(sum(s), 9) AS weight FROM scaled GROUP BY 1, 2, 3)"""
 
 
+SPANS = [(1995, 1997), (1997, 2000)]
+
+
+def interval(first: int, last: int) -> str:
+    """The network of one span of years and its 25 largest organisations."""
+    return f"""WITH dated AS (
+  SELECT * FROM lineitem WHERE l_orderkey IN (SELECT o_orderkey FROM orders WHERE year(o_orderdate) BETWEEN {first} AND {last})),
+{edges("l_suppkey", "dated")},
+small AS (SELECT l.l_orderkey AS r, l.l_suppkey AS org_id FROM dated l JOIN team ON team.r = l.l_orderkey WHERE n <= 20),
+spread AS (SELECT r, org_id, count(*) OVER (PARTITION BY r) AS k FROM small),
+sums AS (
+  SELECT org_id, round(sum(1.0::DOUBLE / k), 9) AS nb_contributions, count(DISTINCT r) AS nb_records FROM spread
+  WHERE org_id IN (SELECT "from" FROM net UNION SELECT "to" FROM net) GROUP BY 1),
+largest AS (
+  SELECT *, row_number() OVER (ORDER BY nb_contributions DESC, org_id) AS position FROM sums
+  QUALIFY row_number() OVER (ORDER BY nb_contributions DESC, org_id) <= 25)"""
+
+
 NET_NODES = f"""{ORGS},
 small AS (SELECT l.l_orderkey AS r, l.l_suppkey AS org_id FROM lineitem l JOIN team ON team.r = l.l_orderkey WHERE n <= 20),
 spread AS (SELECT r, org_id, count(*) OVER (PARTITION BY r) AS k FROM small),
@@ -217,6 +235,20 @@ topic_nodes AS (
   UNION ALL SELECT DISTINCT fld, 1, fld_name, 'Q' || n_nationkey, 'wiki/' || fld_name, NULL, fld, NULL FROM topics WHERE n_nationkey <> 0
   UNION ALL SELECT DISTINCT sub, 2, sub_name, 'Q' || n_nationkey || c_mktsegment, 'wiki/' || c_mktsegment, NULL, NULL, sub FROM topics)"""
 
+# The first topics bear the label of their nation, two levels above.
+SHARED_TOPICS = TOPICS.replace("c_custkey AS id, c_name,", "c_custkey AS id, CASE WHEN c_custkey <= 40 THEN n_name ELSE c_name END AS c_name,")
+
+# Nodes of the four-level taxonomy with their ancestors.
+RESOLVED_TOPICS = """names AS (SELECT category_id, display_name FROM topic_nodes WHERE level < 3),
+up AS (SELECT child, parent FROM edges WHERE parent IN (SELECT category_id FROM names)),
+resolved AS (
+  SELECT category_id, level, display_name, 'N/A' AS parent_2, 'N/A' AS parent_1, category_id AS parent_0 FROM topic_nodes WHERE level = 0
+  UNION SELECT category_id, level, display_name, 'N/A', category_id, coalesce(parent, '0')
+        FROM topic_nodes LEFT JOIN up ON child = category_id WHERE level = 1
+  UNION SELECT category_id, level, display_name, category_id, coalesce(a.parent, '0'), coalesce(b.parent, '0')
+        FROM topic_nodes LEFT JOIN up a ON a.child = category_id LEFT JOIN up b ON b.child = a.parent WHERE level = 2
+  UNION SELECT category_id, level, display_name, subfield_id, field_id, domain_id FROM topic_nodes WHERE level = 3)"""
+
 REGISTRY = "reg AS (SELECT customer.*, n_name, 'r' || c_custkey AS id FROM customer JOIN nation ON c_nationkey = n_nationkey)"
 
 
@@ -233,6 +265,34 @@ binned AS (
   FROM {table} t, cut)"""
 
 
+#: Columns of every project table that its digest is made of.
+PUBLICATION_DIGESTS = {
+    "records_id": ["lens_id", "type", "value"],
+    "source": ["source_id", "title", "publisher_name", "type", "country"],
+    "source_issn": ["source_id", "type", "value"],
+    "records": ["lens_id", "year_published", "is_open_access", "publication_type", "nb_authors", "scholarly_citations_count", "source_id"],
+    "categories": ["lens_id", "value", "category_id", "qualifier", "qualifier_id", "type"],
+    "contribution": ["contribution_id", "lens_id", "author_position", "first_name", "last_name", "nb_ids", "nb_affiliations"],
+    "contributors_id": ["contribution_id", "type", "value"],
+    "affiliation": ["affiliation_id", "contribution_id", "org_id"],
+    "organisations": ["org_id", "name", "country_code", "nb_ids"],
+    "organisations_id": ["org_id", "type", "value"],
+    "funding": ["lens_id", "org", "funding_id", "country"],
+    "locations": ["org_id", "id", "geonames_id", "name", "country_code", "country_name"],
+    "categories_concepts": ["lens_id", "category_id", "parent_1", "parent_0", "is_not_linked"],
+    "categories_topics": ["lens_id", "display_name", "category_id", "level", "parent_2", "parent_1", "parent_0", "is_not_linked"],
+    "net_org_edges": ["from", "to", "is_ext"],
+    "net_org_nodes": ["org_id", "nb_records", "name", "country_code"],
+}
+
+
+def _digest(name: str, sql: str, columns: list[str]) -> str:
+    """Number of rows of a statement and the sum of 32-bit digests of its rows."""
+    text = ", ".join(f"""coalesce(CAST("{c}" AS VARCHAR), '~')""" for c in columns)
+    return f"""SELECT '{name}' AS name, count(*) AS nb_rows, CAST(sum(('0x' || substr(md5(concat_ws('|', {text})), 1, 8))::BIGINT) AS BIGINT) AS digest
+FROM ({sql})"""
+
+
 COUNTRY_REPORT = f"""{WINDOWED}, {ORGS}, {COUNTRIES},
 chain AS (
   SELECT r.lens_id, r.nb_authors, r.year_published, o.country_code
@@ -295,6 +355,10 @@ SELECT title, nb_records FROM titles ORDER BY nb_records DESC, title LIMIT 10"""
 SELECT round(regr_slope(nb_records, year_published), 4) AS slope, round(regr_intercept(nb_records, year_published), 2) AS intercept
 FROM yearly"""
     q["report_countries"] = f"""WITH {COUNTRY_REPORT}
+SELECT c.country_code, k.admin AS country, nb_records, avg_nb_authors, median_nb_authors, avg_year,
+       round(share_records, 6) AS share_records
+FROM clean c JOIN countries k USING (country_code)"""
+    q["report_countries_all"] = f"""WITH {COUNTRY_REPORT}
 SELECT c.country_code, CASE WHEN c.country_code = '??' THEN 'unknown' ELSE k.country END AS country, nb_records, avg_nb_authors,
        median_nb_authors, avg_year, round(share_records, 6) AS share_records
 FROM clean c LEFT JOIN countries k USING (country_code)"""
@@ -302,6 +366,10 @@ FROM clean c LEFT JOIN countries k USING (country_code)"""
 mapped AS (SELECT c.country_code, nb_records FROM clean c JOIN countries k USING (country_code)),
 {_bins('mapped', 'nb_records', 0)}
 SELECT country_code, nb_records, bin FROM binned"""
+    q["report_sources_position"] = f"""WITH {SOURCE_REPORT}
+SELECT title, nb_records, row_number() OVER (ORDER BY nb_records DESC, title) AS position FROM titles"""
+    q["report_countries_position"] = f"""SELECT country, nb_records, row_number() OVER (ORDER BY nb_records DESC, country, country_code) AS position
+FROM ({q["report_countries"]})"""
     q["report_funders"] = f"""WITH {FUNDED}
 SELECT org, country, nb_projects, {_even('nb_records', 0)} AS nb_records, {_even('share_projects', 1)} AS share_projects,
        {_even('share_records', 1)} AS share_records, avg_nb_authors, median_nb_authors, avg_year
@@ -316,6 +384,9 @@ SELECT round(sum(nb_records) FILTER (WHERE org IS NOT NULL), 6) AS subtotal FROM
 SELECT org, country, nb_projects, round(nb_records, 6) AS nb_records, round(share_projects, 6) AS share_projects,
        round(share_records, 6) AS share_records, avg_nb_authors, median_nb_authors, avg_year
 FROM shares WHERE org IS NOT NULL"""
+    q["report_fund_recipients_top"] = f"""WITH {FUNDED}
+SELECT org, country, nb_projects FROM shares WHERE org IS NOT NULL AND nb_projects >= 10
+ORDER BY nb_projects DESC, org NULLS LAST, country NULLS LAST LIMIT 20"""
     q["report_domains_disciplines"] = f"""WITH {FLOWS}
 SELECT display_name_0, display_name_1, {_even('nb_1', 0)} AS nb_1, {_even('nb_0', 0)} AS nb_0,
        {_even('percentile_1 * 100', 1)} AS percentile_1, {_even('percentile_0 * 100', 1)} AS percentile_0
@@ -356,6 +427,29 @@ FROM binned"""
 card AS (SELECT *, {up.format(5)} AS r, {up.format(20)} AS i, {up.format(10)} AS p, {up.format(30)} AS l, {up.format(40)} AS t,
   {up.format(50)} AS s FROM map_nodes)
 SELECT org_id, r AS researchers, i AS inventors, p AS projects, {card} AS label FROM card"""
+    q["collaboration_map_popups"] = f"""SELECT org_id, label || '<br/>Review Profile' AS popup FROM ({q["collaboration_map_markers"]})"""
+    q["report_heroes_more"] = f"""SELECT 'fund_recipients' AS report, (WITH {FUNDED} SELECT format('{{:,}}', count(DISTINCT (funding_id, org))) FROM kept) AS hero
+UNION ALL SELECT 'collaborations', (WITH {MAP} SELECT format('{{:,}}', count(*)) FROM map_edges)
+UNION ALL SELECT 'collaboration_map', (WITH {MAP} SELECT format('{{:,}}', count(*)) FROM map_edges)
+UNION ALL SELECT 'domains_shown', (WITH {FLOWS} SELECT format('{{:,}}', CAST(ceil(coalesce(sum(nb_1), 0)) AS BIGINT)) FROM ranked
+  WHERE percentile_1 > 0.95 AND percentile_0 > 0.1)
+UNION ALL SELECT 'domains_total', (WITH {FLOWS} SELECT format('{{:,}}', n) FROM totals)"""
+    contributors = '"Average number of contributors by document"', '"Median number of contributors by document"'
+    q["report_sources_headings"] = f"""SELECT title AS "Journal", share_records AS "Share of records (%)", nb_records AS "Count of records",
+       avg_year AS "Average year of publication", avg_nb_authors AS {contributors[0]}, median_nb_authors AS {contributors[1]}
+FROM ({q["report_sources"]})"""
+    q["report_years_headings"] = f"""SELECT year_published AS "Year of publication", nb_records AS "Count of records", avg_nb_authors AS {contributors[0]},
+       median_nb_authors AS {contributors[1]} FROM ({q["report_years"]})"""
+    q["report_countries_headings"] = f"""SELECT country AS "Country", nb_records AS "Count of records" FROM ({q["report_countries"]})"""
+    q["report_funders_headings"] = f"""SELECT org AS "Funding organisation/institute", nb_projects AS "Count of projects", nb_records AS "Count of records",
+       share_projects AS "Share of projects (%)", share_records AS "Share of records (%)", avg_nb_authors AS "Average number of contributors",
+       median_nb_authors AS {contributors[1]}, avg_year AS "Average year of publication" FROM ({q["report_funders"]})"""
+    q["report_domains_disciplines_headings"] = f"""SELECT display_name_0 AS "Domain", display_name_1 AS "Discipline",
+       nb_1 AS "Count of records by discipline", nb_0 AS "Count of records by domain", percentile_1 AS "Percentile of discipline",
+       percentile_0 AS "Percentile of domain" FROM ({q["report_domains_disciplines"]})"""
+    q["report_collaborations_headings"] = f"""SELECT name_1 AS "Organisation 1", name_2 AS "Organisation 2", weight AS "Number of collaborations",
+       nb_records_1 AS "Total count of records by organisation 1", nb_records_2 AS "Total count of records by organisation 2"
+FROM ({q["report_collaborations"]})"""
     q["report_collaboration_map_simple"] = f"""WITH {MAP}
 SELECT org_id, '<strong>' || name || '</strong><br/>' || format('{{:,}}', nb_records) || ' records' AS label FROM map_nodes"""
     q["map_distance_classes"] = f"""WITH {MAP}
@@ -383,6 +477,22 @@ placed AS (SELECT l.*, o.country_code FROM lineitem l JOIN orgs o ON o.org_id =
   SELECT l_orderkey FROM (SELECT DISTINCT l_orderkey FROM lineitem) ORDER BY md5(l_orderkey || ':42'), l_orderkey LIMIT 1000),
 picked AS (SELECT * FROM lineitem WHERE l_orderkey IN (SELECT l_orderkey FROM chosen)),
 {edges('l_suppkey', 'picked')} {out}"""
+    q["collaboration_intervals"] = " UNION ALL ".join(
+        f"""SELECT {a}::BIGINT AS first_year, {b}::BIGINT AS last_year, * FROM ({interval(a, b)}
+SELECT "from", "to", is_ext, round(weight, 6) AS weight FROM net
+WHERE "from" IN (SELECT org_id FROM largest) AND "to" IN (SELECT org_id FROM largest))""" for a, b in SPANS)
+    q["collaboration_interval_nodes"] = " UNION ALL ".join(
+        f"""SELECT {a}::BIGINT AS first_year, {b}::BIGINT AS last_year, * FROM ({interval(a, b)}, {ORGS}
+SELECT position, org_id, round(nb_contributions, 6) AS nb_contributions, nb_records, name, country_code
+FROM largest JOIN orgs USING (org_id))""" for a, b in SPANS)
+    q["collaboration_lines"] = f"""WITH {edges()},
+listed AS (
+  SELECT s_suppkey AS org_id, s_nationkey AS g FROM supplier WHERE s_acctbal >= 0
+  UNION ALL SELECT s_suppkey, (s_nationkey + 7) % 25 FROM supplier WHERE s_acctbal >= 5000),
+placed AS (SELECT org_id, min(g) AS g FROM listed WHERE g > 0 GROUP BY 1)
+SELECT "from", "to", round(weight, 6) AS weight, a.g * 1.5::DOUBLE AS lat_1, a.g * -2.0::DOUBLE AS lng_1,
+       b.g * 1.5::DOUBLE AS lat_2, b.g * -2.0::DOUBLE AS lng_2
+FROM net JOIN placed a ON a.org_id = "from" JOIN placed b ON b.org_id = "to" WHERE is_ext"""
     q["top_pairs_unweighted"] = """WITH team AS (
   SELECT l_orderkey AS r FROM lineitem GROUP BY 1 HAVING count(DISTINCT l_linenumber) <= 20),
 present AS (SELECT DISTINCT l_orderkey AS r, l_suppkey AS o FROM lineitem WHERE l_orderkey IN (SELECT r FROM team))
@@ -429,16 +539,7 @@ FROM named n JOIN done d ON d.id = n.id LEFT JOIN named a ON a.id = d.parent_1 L
 SELECT child AS category_id, parent, count(*) OVER (PARTITION BY parent) AS nb_children FROM edges"""
     q["taxonomy_sibling_edges"] = """SELECT 'C' || c_custkey AS category_id, 'C' || (c_custkey + 1) AS sibling, 2::BIGINT AS nb_siblings
 FROM customer"""
-    q["resolve_topic_hierarchy"] = f"""WITH {TOPICS},
-names AS (SELECT category_id, display_name FROM topic_nodes WHERE level < 3),
-up AS (SELECT child, parent FROM edges WHERE parent IN (SELECT category_id FROM names)),
-resolved AS (
-  SELECT category_id, level, display_name, 'N/A' AS parent_2, 'N/A' AS parent_1, category_id AS parent_0 FROM topic_nodes WHERE level = 0
-  UNION SELECT category_id, level, display_name, 'N/A', category_id, coalesce(parent, '0')
-        FROM topic_nodes LEFT JOIN up ON child = category_id WHERE level = 1
-  UNION SELECT category_id, level, display_name, category_id, coalesce(a.parent, '0'), coalesce(b.parent, '0')
-        FROM topic_nodes LEFT JOIN up a ON a.child = category_id LEFT JOIN up b ON b.child = a.parent WHERE level = 2
-  UNION SELECT category_id, level, display_name, subfield_id, field_id, domain_id FROM topic_nodes WHERE level = 3),
+    q["resolve_topic_hierarchy"] = f"""WITH {TOPICS}, {RESOLVED_TOPICS},
 counts AS (
   SELECT category_id, count(DISTINCT parent_2) AS nb_parent_2, count(DISTINCT parent_1) AS nb_parent_1,
          count(DISTINCT parent_0) AS nb_parent_0 FROM resolved GROUP BY 1)
@@ -450,6 +551,13 @@ LEFT JOIN names n1 ON n1.category_id = parent_1 LEFT JOIN names n0 ON n0.categor
 UNION ALL SELECT 'S' || s_suppkey, 'S' || (s_suppkey + 1), 'sibling', 1 FROM supplier"""
     q["link_categories"] = f"""WITH {LINKED}
 SELECT lens_id, raw_display_name, category_id, parent_1, parent_0, is_not_linked FROM linked"""
+    q["link_topics"] = f"""WITH {SHARED_TOPICS}, {RESOLVED_TOPICS}, {PUBS},
+cats AS (
+  SELECT lens_id, n_name AS value FROM pubs WHERE st = 'F' UNION ALL SELECT lens_id, c_mktsegment FROM pubs WHERE st = 'F'
+  UNION ALL SELECT lens_id, NULL FROM pubs WHERE st = 'O')
+SELECT lens_id, value AS display_name, category_id, level, parent_2, parent_1, parent_0,
+       bool_and(category_id IS NULL) OVER (PARTITION BY lens_id) AS is_not_linked
+FROM cats LEFT JOIN resolved ON display_name = value"""
     q["join_taxonomy_crosswalk"] = """SELECT 'S' || s_suppkey AS id, 'C' || c_custkey AS id_m, 'wikipedia' AS matched_by
 FROM supplier JOIN customer ON replace(s_name, 'Supplier#', '') = replace(c_name, 'Customer#', '') WHERE s_acctbal >= 0
 UNION ALL SELECT 'S' || s_suppkey, 'C' || c_custkey, 'wikidata' FROM supplier JOIN customer ON s_suppkey = c_custkey WHERE c_acctbal >= 0"""
@@ -531,6 +639,30 @@ SELECT o.org_id, min(i.id) AS id, c_nationkey::BIGINT AS geonames_id, 'City ' ||
        n_name AS country_name, c_nationkey * 1.5::DOUBLE AS lat, c_nationkey * -2.0::DOUBLE AS lng
 FROM org_ids o JOIN ids i USING (type, value) GROUP BY o.org_id, c_nationkey, n_name"""
 
+    concepts = f"""WITH {PUBS},
+cats AS (
+  SELECT lens_id, n_name AS value FROM pubs WHERE st = 'F' UNION ALL SELECT lens_id, c_mktsegment FROM pubs WHERE st = 'F'
+  UNION ALL SELECT lens_id, NULL FROM pubs WHERE st = 'O')
+SELECT lens_id, 'N' || n_nationkey AS category_id, 'N' || n_nationkey AS parent_1, 'R' || n_regionkey AS parent_0,
+       bool_and(n_nationkey IS NULL) OVER (PARTITION BY lens_id) AS is_not_linked
+FROM cats LEFT JOIN nation ON n_name = value"""
+    # Authors of the documents in the place of lines, organisations in that of suppliers.
+    written = f"""document_lines AS (
+  SELECT split_part(contribution_id, '#', 1) AS l_orderkey, contribution_id AS l_linenumber, org_id FROM ({q["build_affiliation"]})),
+{edges("org_id", "document_lines")}"""
+    net_edges = f'WITH {written} SELECT "from", "to", is_ext FROM net'
+    net_nodes = f"""WITH {written}
+SELECT org_id, count(DISTINCT l_orderkey) AS nb_records, name, country_code FROM document_lines JOIN ({q["build_organisations"]}) USING (org_id)
+WHERE org_id IN (SELECT "from" FROM net UNION SELECT "to" FROM net) GROUP BY org_id, name, country_code"""
+    statements_of = {
+        "records_id": q["records_id"], "source": q["source_dimension"], "source_issn": q["source_issn"], "records": q["build_records"],
+        "categories": q["build_categories"], "contribution": q["explode_contributions"], "contributors_id": q["contributors_id"],
+        "affiliation": q["build_affiliation"], "organisations": q["build_organisations"], "organisations_id": q["organisations_id"],
+        "funding": q["build_funding"], "locations": q["registry_match"], "categories_concepts": concepts,
+        "categories_topics": q["link_topics"], "net_org_edges": net_edges, "net_org_nodes": net_nodes,
+    }
+    q["build_publication_tables"] = " UNION ALL ".join(_digest(name, sql, PUBLICATION_DIGESTS[name]) for name, sql in statements_of.items())
+
     # --- registry ----------------------------------------------------------------------
     q["registry_main"] = f"""WITH {REGISTRY}
 SELECT id, c_name AS ror_display, 'C' || c_custkey AS acronym,
@@ -580,7 +712,7 @@ WHERE st IN ('O', 'P') AND year(o_orderdate) BETWEEN {LO} AND {HI} AND (
     q["bool_predicate_full"] = f"""WITH {PUBS}, x AS (SELECT *, floor(o_totalprice / 1000) AS citations FROM pubs)
 SELECT lens_id, CAST(year(o_orderdate) AS BIGINT) AS year_published FROM x
 WHERE citations > 20 AND citations < 200 AND citations BETWEEN 30 AND 190 AND o_orderpriority <> '1-URGENT'
-  AND NOT (c_nationkey = 3 AND nb_authors > 0)"""
+  AND NOT (c_nationkey = 3 AND (nb_authors > 1 OR (nb_authors = 1 AND st <> 'F')))"""
     q["filter_in_list"] = """SELECT p_partkey AS part_id, p_name AS label, CASE WHEN p_size > 40 THEN 'large' ELSE p_brand END AS brand
 FROM part WHERE p_type NOT IN ('PROMO', 'ECONOMY') AND contains(p_name, 'ring')"""
     q["sample_keys"] = """WITH chosen AS (
@@ -655,6 +787,15 @@ WHERE json_extract(props, '$.k') IS NOT NULL"""
   UNION ALL SELECT * FROM (VALUES (1, 0, 'Other'), (2, 0, 'Other'), (3, 0, 'Other'))),
 u AS (SELECT CASE WHEN c_acctbal >= 0 THEN c_nationkey + 1 ELSE 0 END AS id, count(*) AS n FROM customer GROUP BY 1)
 SELECT t.*, CASE WHEN t.level = 1 THEN coalesce(n, 0) ELSE 0 END AS nb_records FROM t LEFT JOIN u USING (id)"""
+    q["document_codes"] = f"""WITH {FACTS},
+coded AS (
+  SELECT CASE WHEN is_retracted THEN 'RP' WHEN publication_type = '1-URGENT' THEN 'AA' WHEN publication_type = '2-HIGH' THEN 'RR' ELSE 'OO' END AS c
+  FROM facts)
+SELECT k AS doctype_code, v AS doctype, (SELECT count(*) FROM coded WHERE c = k) AS nb_records
+FROM (VALUES ('AA', 'Article'), ('PP', 'Proceedings paper'), ('RR', 'Review'), ('RP', 'Retracted paper'), ('PX', 'Preprint'),
+  ('DD', 'Data'), ('OO', 'Other')) t(k, v)"""
+    q["config_document_types"] = """SELECT lower(substr(o_orderpriority, 3, 2)) AS pubtype_id, o_orderpriority AS publication_type, count(*) AS nb_records
+FROM orders GROUP BY 1, 2"""
     q["flatten_config"] = """SELECT c_mktsegment AS source, 'main' AS category, 'topic' AS type, 'topic_' || c_custkey AS id, c_name AS name,
        '{"term":{"org":' || c_custkey || '}}' AS value FROM customer
 UNION ALL SELECT c_mktsegment, 'unification', 'thesaurus', 'publication_type', 'types',
@@ -663,6 +804,14 @@ UNION ALL SELECT c_mktsegment, 'unification', 'thesaurus', 'publication_type', '
     # --- files -------------------------------------------------------------------------
     q["roundtrip_manifest"] = "SELECT event_id, user_id, event_type, value, props FROM events"
     q["roundtrip_gzip_json"] = "SELECT event_id, user_id, event_type, value, props FROM events"
+    q["roundtrip_json_array"] = f"""WITH {REGISTRY}
+SELECT id, CASE WHEN c_acctbal < 0 THEN 'inactive' ELSE 'active' END AS status, (1900 + c_nationkey)::BIGINT AS established,
+       CASE c_mktsegment WHEN 'MACHINERY' THEN 'company' WHEN 'BUILDING' THEN 'education' ELSE 'other' END AS type FROM reg"""
+    q["scan_paged_first_score"] = """WITH x AS (SELECT *, event_id // 40 AS page FROM events),
+first AS (SELECT event_type, min(page) AS first_page FROM x GROUP BY 1),
+stamp AS (SELECT event_type, first_page, max(value) AS stamp FROM x JOIN first USING (event_type) WHERE page = first_page GROUP BY 1, 2)
+SELECT event_id, user_id, CASE WHEN page > first_page THEN stamp WHEN user_id % 3 <> 0 THEN value END AS score
+FROM x JOIN stamp USING (event_type)"""
     q["scan_paged_append"] = """SELECT event_id, user_id, CASE WHEN event_type = 'view' THEN 1000.0::DOUBLE ELSE value END AS score FROM events"""
     q["roundtrip_table"] = f"WITH {FACTS} SELECT lens_id, citations, year_published FROM facts WHERE year_published >= 1998"
     q["roundtrip_tsv"] = f"""WITH {NODES} SELECT id AS category_id, label AS display_name, count(*) AS nb FROM named WHERE level = 2 GROUP BY 1, 2"""

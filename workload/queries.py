@@ -11,7 +11,7 @@ from citeloom.operators import grouping, joins, keys, ranking
 from citeloom.plans import baseline, network, publications, registry, reports, searches, taxonomy
 from citeloom.session import new_path, stage, tune
 from citeloom.sources import codes, definitions, files
-from workload import star
+from workload import oracle, star
 from workload.star import YEARS, load
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -105,6 +105,56 @@ def report_countries(spark, d):
     )
 
 
+@query
+def report_countries_all(spark, d):
+    """All countries, also those that are not on the map, and the unknown one."""
+    return _countries(spark, d)["all"].select(
+        "country_code", "country", "nb_records", "avg_nb_authors", "median_nb_authors", "avg_year", *_r6("share_records")
+    )
+
+
+@query
+def report_sources_position(spark, d):
+    """The place of every source in the order of the report."""
+    return ranking.with_position(_sources(spark, d)["table"].select("title", "nb_records"), ["nb_records"], ["title"])
+
+
+@query
+def report_countries_position(spark, d):
+    table = _countries(spark, d)["table"].select("country", "country_code", "nb_records")
+    return ranking.with_position(table, ["nb_records"], ["country", "country_code"]).select("country", "nb_records", "position")
+
+
+@query
+def report_sources_headings(spark, d):
+    return reports.with_headings(_sources(spark, d)["table"], "sources")
+
+
+@query
+def report_years_headings(spark, d):
+    return reports.with_headings(_years(spark, d)["table"], "years")
+
+
+@query
+def report_countries_headings(spark, d):
+    return reports.with_headings(_countries(spark, d)["table"], "countries")
+
+
+@query
+def report_funders_headings(spark, d):
+    return reports.with_headings(_funders(spark, d)[0]["table"], "funders")
+
+
+@query
+def report_domains_disciplines_headings(spark, d):
+    return reports.with_headings(_domains(spark, d)["table"], "domains_disciplines")
+
+
+@query
+def report_collaborations_headings(spark, d):
+    return reports.with_headings(reports.report_collaborations(star.network(spark, d), limit=1.0)["table"], "collaborations")
+
+
 @query
 def bin_values(spark, d):
     """Legend bins of the country map."""
@@ -143,6 +193,13 @@ def report_fund_recipients(spark, d):
     )
 
 
+@query
+def report_fund_recipients_top(spark, d):
+    """The older form's largest funders, with their countries as they are."""
+    tables = {"records": star.records(spark, d), "funding": star.funding(spark, d)}
+    return reports.report_fund_recipients(tables)["top"].select("org", "country", "nb_projects")
+
+
 def _domains(spark, d):
     tables = {
         "records": star.record_facts(spark, d),
@@ -198,6 +255,21 @@ def report_heroes(spark, d):
     return joins.union_all(*[df.select(F.lit(name).alias("report"), "hero") for name, df in heroes.items()])
 
 
+@query
+def report_heroes_more(spark, d):
+    """Headline figures of the remaining reports, and the totals that the domain report shows beside its own."""
+    funding = {"records": star.records(spark, d), "funding": star.funding(spark, d)}
+    net, domains = star.network(spark, d), _domains(spark, d)
+    heroes = {
+        "fund_recipients": reports.report_fund_recipients(funding)["hero"],
+        "collaborations": reports.report_collaborations(net, limit=1.0)["hero"],
+        "collaboration_map": reports.report_collaboration_map(net, limit=1.0)["hero"],
+        "domains_shown": domains["shown"],
+        "domains_total": domains["total"],
+    }
+    return joins.union_all(*[df.toDF("hero").select(F.lit(name).alias("report"), "hero") for name, df in heroes.items()])
+
+
 @query
 def report_collaborations(spark, d):
     return reports.report_collaborations(star.network(spark, d), limit=1.0)["table"].select(
@@ -220,6 +292,12 @@ def collaboration_map_markers(spark, d):
     )
 
 
+@query
+def collaboration_map_popups(spark, d):
+    """What a click on an organisation shows."""
+    return reports.report_collaboration_map(star.network(spark, d), limit=1.0)["markers"].select("org_id", "popup")
+
+
 @query
 def report_collaboration_map_simple(spark, d):
     return reports.report_collaboration_map_simple(star.network(spark, d), limit=1.0)["markers"].select("org_id", "label")
@@ -266,10 +344,42 @@ def collaboration_left_out(spark, d):
 
 @query
 def collaboration_nodes(spark, d):
-    lines, records = star.team_lines(spark, d), stage(star.team_records(spark, d), "teams")
-    edges = stage(network.collaboration_edges(lines, records, star.MAX_TEAM_SIZE), "edges")
-    return network.collaboration_nodes(lines, records, edges, star.organisations(spark, d), star.MAX_TEAM_SIZE).select(
-        "org_id", *_r6("nb_contributions"), "nb_records", "name", "country_code"
+    lines, records = star.team_lines(spark, d), star.team_records(spark, d)
+    _, nodes = network.collaboration_network(lines, records, star.organisations(spark, d), star.MAX_TEAM_SIZE)
+    return nodes.select("org_id", *_r6("nb_contributions"), "nb_records", "name", "country_code")
+
+
+SPANS = [(1995, 1997), (1997, 2000)]
+
+
+def _intervals(spark, d):
+    lines, records = star.team_lines(spark, d), star.records(spark, d)
+    return network.collaboration_intervals(lines, records, star.organisations(spark, d), SPANS, 25, star.MAX_TEAM_SIZE)
+
+
+@query
+def collaboration_intervals(spark, d):
+    """Edges among the 25 largest organisations of each of two spans of years that share a year."""
+    return _intervals(spark, d)[0].select(
+        F.col("first_year").cast("long").alias("first_year"), F.col("last_year").cast("long").alias("last_year"),
+        "from", "to", "is_ext", *_r6("weight"),
+    )
+
+
+@query
+def collaboration_interval_nodes(spark, d):
+    return _intervals(spark, d)[1].select(
+        F.col("first_year").cast("long").alias("first_year"), F.col("last_year").cast("long").alias("last_year"),
+        F.col("position").cast("long").alias("position"), "org_id", *_r6("nb_contributions"), "nb_records", "name", "country_code",
+    )
+
+
+@query
+def collaboration_lines(spark, d):
+    """External collaborations with the coordinates of both ends; some organisations have two places."""
+    edges = network.collaboration_edges(star.team_lines(spark, d), star.team_records(spark, d), star.MAX_TEAM_SIZE)
+    return network.edge_lines(edges.where("is_ext"), star.places(spark, d)).select(
+        "from", "to", *_r6("weight"), "lat_1", "lng_1", "lat_2", "lng_2"
     )
 
 
@@ -356,6 +466,21 @@ def link_categories(spark, d):
     return star.linked_categories(spark, d).select("lens_id", "raw_display_name", "category_id", "parent_1", "parent_0", "is_not_linked")
 
 
+def _shared_topics(spark, d):
+    tables = taxonomy.build_taxonomy_nodes(star.topics(spark, d, shared_labels=True))
+    resolved = taxonomy.resolve_topic_hierarchy(tables["nodes"], tables["parents"])
+    return stage(resolved.withColumn("level", F.col("level").cast("long")), "topics")
+
+
+@query
+def link_topics(spark, d):
+    """Labels of records in the four-level taxonomy; some labels stand on two levels."""
+    cats = taxonomy.fields_of_study(publications.build_categories(star.publications(spark, d)), "lens_id")
+    return taxonomy.link_topics(cats, _shared_topics(spark, d), "lens_id").select(
+        "lens_id", "display_name", "category_id", "level", "parent_2", "parent_1", "parent_0", "is_not_linked"
+    )
+
+
 @query
 def join_taxonomy_crosswalk(spark, d):
     a = load(spark, d, "supplier").select(
@@ -381,8 +506,7 @@ def unify_document_type(spark, d):
 
 
 def _baseline_input(spark, d):
-    categories = stage(star.linked_categories(spark, d).select("lens_id", "parent_1").distinct(), "disciplines")
-    return star.typed_records(spark, d), categories
+    return star.typed_records(spark, d), star.linked_categories(spark, d).select("lens_id", "parent_1")
 
 
 @query
@@ -489,6 +613,31 @@ def registry_match(spark, d):
     return publications.build_locations(_contributions(spark, d)["organisations_id"], tables)
 
 
+def publication_tables(spark, d):
+    """All project tables, made from documents that were written as JSON lines."""
+    path = new_path(spark, "json")
+    pubs = star.publications(spark, d)
+    pubs.write.json(path)
+    return publications.build_publication_tables(
+        files.scan_nested_json(spark, path, pubs.schema), registry.registry_tables(star.registry(spark, d)),
+        concepts=stage(star.hierarchy(spark, d), "hierarchy"), topics=_shared_topics(spark, d), max_team_size=star.MAX_TEAM_SIZE,
+    )
+
+
+@query
+def build_publication_tables(spark, d):
+    """Per project table its number of rows and a sum of row digests, whatever their order."""
+    tables = publication_tables(spark, d)
+
+    def summary(name: str) -> DataFrame:
+        text = F.concat_ws("|", *[F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("~")) for c in oracle.PUBLICATION_DIGESTS[name]])
+        digest = F.conv(F.substring(F.md5(text.cast("binary")), 1, 8), 16, 10).cast("bigint")
+        rows = tables[name].agg(F.count(F.lit(1)).alias("nb_rows"), F.sum(digest).alias("digest"))
+        return rows.select(F.lit(name).alias("name"), "nb_rows", "digest")
+
+    return joins.union_all(*[summary(name) for name in tables])
+
+
 # --- registry -------------------------------------------------------------------------
 
 
@@ -763,6 +912,29 @@ def static_code_table(spark, d):
     )
 
 
+@query
+def document_codes(spark, d):
+    """Records per document type code, by the fixed table of codes."""
+    table = codes.static_code_table(spark, codes.DOCUMENT_TYPE_CODES, codes.DOCUMENT_TYPE_SCHEMA)
+    code = F.when(F.col("is_retracted"), "RP").when(F.col("publication_type") == "1-URGENT", "AA").when(F.col("publication_type") == "2-HIGH", "RR").otherwise("OO")
+    counts = star.record_facts(spark, d).groupBy(code.alias("doctype_code")).agg(F.count(F.lit(1)).alias("n"))
+    return table.join(counts, "doctype_code", "left").select("doctype_code", "doctype", F.coalesce("n", F.lit(0)).alias("nb_records"))
+
+
+@query
+def config_document_types(spark, d):
+    """Definition files, one per source, whose thesaurus unifies the types of records."""
+    types = load(spark, d, "orders").select("o_orderpriority").distinct()
+    code = F.lower(F.substring("o_orderpriority", 3, 2))
+    entry = F.format_string('{"publication_type": {"name": "types", "value": {"%s": {"label": "%s", "source_types": ["%s"]}}}}', code, "o_orderpriority", "o_orderpriority")
+    text = F.format_string('{"source of %s": {"unification": {"thesaurus": [%s]}, "main": {"notes": [{"x": {"name": "n"}}]}}}', "o_orderpriority", entry)
+    path = new_path(spark, "definitions")
+    types.select(text.alias("value"), F.md5("o_orderpriority").alias("part")).write.partitionBy("part").text(path)
+    thesaurus = definitions.thesaurus_from_config(definitions.flatten_config(spark, path + "/*"))
+    typed = codes.unify_document_type(star.record_facts(spark, d), thesaurus, "publication_type")
+    return typed.groupBy("pubtype_id", "publication_type").agg(F.count(F.lit(1)).alias("nb_records"))
+
+
 @query
 def flatten_config(spark, d):
     """Definition documents derived from the customers, one per segment and customer."""
@@ -819,6 +991,37 @@ def roundtrip_json_dump(spark, d):
     return files.scan_json_dump(spark, path, entries.schema, multi_line=False).select("id", "status", F.col("established").cast("long").alias("established"))
 
 
+@query
+def roundtrip_json_array(spark, d):
+    """Registry entries written as files that are one JSON array each, and read back."""
+    entries = star.registry(spark, d)
+    path = new_path(spark, "arrays")
+    part = F.floor(F.substring("id", 2, 18).cast("bigint") / ENTRIES_PER_FILE).alias("part")
+    arrays = entries.groupBy(part).agg(F.to_json(F.collect_list(F.struct(*entries.columns))).alias("value"))
+    arrays.write.partitionBy("part").text(path)
+    read = files.scan_json_dump(spark, path + "/*", entries.schema)
+    return read.select("id", "status", F.col("established").cast("long").alias("established"), nested.array_element("types", 1).alias("type"))
+
+
+ENTRIES_PER_FILE = 400
+EVENTS_PER_PAGE = 40
+
+
+@query
+def scan_paged_first_score(spark, d):
+    """Pages of several rows, one search per event type; later pages take the first page's score."""
+    events = load(spark, d, "events").select(
+        F.col("event_type").alias("search"), F.floor(F.col("event_id") / EVENTS_PER_PAGE).alias("page_number"), "event_id", "user_id", "value"
+    )
+    own = F.when(F.col("user_id") % 3 != 0, F.col("value")).alias("score")
+    pages = events.groupBy("search", "page_number").agg(
+        F.max("value").alias("max_score"), F.collect_list(F.struct("event_id", "user_id", own)).alias("data")
+    )
+    path = new_path(spark, "pages")
+    pages.select(F.to_json(F.struct("search", "page_number", "max_score", "data")).alias("value")).write.text(path)
+    return files.scan_paged_append(spark, path, "event_id bigint, user_id bigint, score double", "score", first_page=True).drop("page")
+
+
 @query
 def scan_paged_append(spark, d):
     """Result pages (one JSON object per page) appended to one table."""

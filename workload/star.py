@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from citeloom.functions.predicates import fix_duplicate_labels
 from citeloom.operators.joins import union_all
-from citeloom.plans.network import collaboration_edges, collaboration_nodes, team_sizes
+from citeloom.plans.network import collaboration_network, team_sizes
 from citeloom.plans.taxonomy import link_categories, resolve_hierarchy
 from citeloom.session import stage
 from citeloom.sources.codes import type_thesaurus, unify_document_type
@@ -29,6 +29,9 @@ TYPE_GROUPS = {
 }
 
 
+#: Topics up to this number can bear the label of their nation.
+SHARED_TOPICS = 40
+
 # Declared, so that opening a table costs no job that looks into its files.
 SCHEMAS = {
     "region": "r_regionkey int, r_name string",
@@ -139,6 +142,18 @@ def locations(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def places(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Places of the organisations with coordinates; rich ones have two, and nation 0 has no coordinates."""
+    placed = load(spark, sf_dir, "supplier").where(F.col("s_acctbal") >= 0)
+    own, other = F.col("s_nationkey"), (F.col("s_nationkey") + 7) % 25
+    listed = F.when(F.col("s_acctbal") >= 5000, F.array(own, other)).otherwise(F.array(own))
+    lines = placed.select(F.col("s_suppkey").alias("org_id"), F.explode(listed.cast("array<bigint>")).alias("geonames_id"))
+    known = F.col("geonames_id") > 0
+    return lines.select(
+        "org_id", "geonames_id", F.when(known, F.col("geonames_id") * 1.5).alias("lat"), F.when(known, F.col("geonames_id") * -2.0).alias("lng")
+    )
+
+
 def funding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Brands as funders of the records that order them; parts of size 1 have no project."""
     lines = load(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey")
@@ -212,12 +227,10 @@ def typed_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def network(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """Stored network tables and what the collaboration reports read besides."""
-    lines, orgs = team_lines(spark, sf_dir), organisations(spark, sf_dir)
-    records = stage(team_records(spark, sf_dir), "teams")
-    edges = stage(collaboration_edges(lines, records, MAX_TEAM_SIZE), "edges")
+    edges, nodes = collaboration_network(team_lines(spark, sf_dir), team_records(spark, sf_dir), organisations(spark, sf_dir), MAX_TEAM_SIZE)
     return {
         "net_org_edges": edges,
-        "net_org_nodes": stage(collaboration_nodes(lines, records, edges, orgs, MAX_TEAM_SIZE), "nodes"),
+        "net_org_nodes": stage(nodes, "nodes"),
         "locations": locations(spark, sf_dir),
         "countries": countries(spark, sf_dir),
     }
@@ -345,18 +358,20 @@ def registry(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def topics(spark: SparkSession, sf_dir: str) -> DataFrame:
+def topics(spark: SparkSession, sf_dir: str, shared_labels: bool = False) -> DataFrame:
     """Nested topics, one per customer, below segment, nation and region.
 
-    The first nation has no outside id, so its node is missing from the upper levels.
+    The first nation has no outside id, so its node is missing from the upper levels. With
+    ``shared_labels`` the first topics bear the label of their nation, two levels above.
     """
     customer, nation, region = (load(spark, sf_dir, t) for t in ("customer", "nation", "region"))
     base = customer.join(nation, F.col("c_nationkey") == F.col("n_nationkey")).join(
         region, F.col("n_regionkey") == F.col("r_regionkey")
     )
     space = "https://openalex.org/"
+    own = F.col("c_name")
     return base.select(
-        F.col("c_name").alias("display_name"),
+        (F.when(F.col("c_custkey") <= SHARED_TOPICS, F.col("n_name")).otherwise(own) if shared_labels else own).alias("display_name"),
         F.expr(f"array(named_struct('id', concat('{space}C', c_custkey + 1), 'display_name', c_name),"
                f" named_struct('id', cast(null as string), 'display_name', n_name))").alias("siblings"),
         F.expr(f"named_struct('openalex', concat('{space}C', c_custkey), 'wikipedia', concat('wiki/', c_name))").alias("ids"),
