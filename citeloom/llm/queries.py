@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from citeloom.llm import decontaminate, language, licenses, line_dedup, near_dup, packing, quality, runs, secrets, sharding, suffix_dedup, token_files, whitening
 from citeloom.llm.common import read_table
-from citeloom.session import new_path
+from citeloom.session import new_path, split_hot_keys
 
 
 def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -126,7 +126,17 @@ def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op12_whitening,
         op13_sharding,
     )
-    return {f.__name__: f for f in operators} | {"pipeline": corpus_pipeline.run}
+    return {name: _split(run) for name, run in ({f.__name__: f for f in operators} | {"pipeline": corpus_pipeline.run}).items()}
+
+
+def _split(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    """The query in a session whose joins split hot keys."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return query(split_hot_keys(spark), sf_dir)
+
+    run.__name__, run.__doc__ = query.__name__, query.__doc__
+    return run
 
 
 def statements() -> dict[str, str]:

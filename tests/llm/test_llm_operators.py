@@ -6,6 +6,7 @@ import random
 import numpy as np
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from citeloom.llm import decontaminate, language, licenses, line_dedup, near_dup, packing, quality, secrets, suffix_dedup, token_files, tokens
@@ -298,6 +299,65 @@ def test_contamination_of_given_tables(spark, small, none):
     assert got(decontaminate.contamination(small, none.selectExpr("source AS item_id", "text")), "n_hit") == [(0,)] * small.count()
 
 
+def test_contamination_by_a_very_long_item(spark, monkeypatch):
+    """What is staged grows with the words of an item, not with their square."""
+    sizes = {}
+    stage = decontaminate.stage
+
+    def measuring(df, label="stage"):
+        out = stage(df, label)
+        sizes[label] = sum(os.path.getsize(f.removeprefix("file://")) for f in out.inputFiles())
+        return out
+
+    monkeypatch.setattr(decontaminate, "stage", measuring)
+    rng = random.Random(3)
+    words = [f"w{rng.randrange(10**9)}" for _ in range(30_000)]
+    rows = [(1, "x " + " ".join(words[12_000:12_400]) + " y"), (2, "nothing of it"), (3, " ".join(words))]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    items = spark.createDataFrame([("long", " ".join(words)), ("short", "nothing of")], "item_id string, text string")
+    out = got(decontaminate.contamination(docs, items), "doc_id", "n_words", "n_hit", "n_items")
+    assert out == [(1, 402, 400, 1), (2, 3, 2, 1), (3, 30_000, 30_000, 1)]
+    assert sizes["items"] + sizes["lying"] < 3_000_000
+
+
+def test_line_fingerprints_are_window_minima(tricky):
+    """Only the selected places are kept, and every run of three units has one."""
+    lines = F.transform(line_dedup.units(F.col("text")), lambda u: F.xxhash64(F.btrim(u, F.lit(line_dedup._BLANK)))).alias("lines")
+    hashed = tricky.select("doc_id", F.xxhash64("text").alias("text_hash"), lines).filter("size(lines) > 0")
+    places = {}
+    for doc, _, fingerprint, at, served, around in line_dedup.fingerprints(hashed).collect():
+        places.setdefault(doc, {})[at] = (fingerprint, served, around)
+    kept = every = 0
+    for doc, _, own in hashed.collect():
+        found = places.get(doc, {})
+        begins = sorted(at - k for at, (_, served, _) in found.items() for k in served)
+        assert begins == list(range(len(own) - 2))
+        for at, (_, _, around) in found.items():
+            assert around == [own[at - 1] if at else None, own[at + 2] if at + 2 < len(own) else None]
+        kept, every = kept + len(found), every + max(0, len(own) - 2)
+    assert kept < 0.8 * every
+
+
+def test_line_dedup_splits_hot_lines(spark):
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "8KB", "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "8KB",
+    }
+    before = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        text = F.when(F.col("id") % 3 == 0, F.lit("a\nb\nc")).otherwise(F.concat_ws("\n", F.md5(F.col("id").cast("string")), F.col("id"), F.lit("z")))
+        docs = spark.range(0, 120_000, numPartitions=16).select(F.col("id").alias("doc_id"), text.alias("text"))
+        out = line_dedup.repeated_units(docs)
+        assert len(out.collect()) == 39_999
+        assert "skew=true" in out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
 def test_line_dedup(tricky, none, small):
     for docs in (tricky, none, small):
         expected = brute.line_dedup(pairs(docs))

@@ -33,7 +33,7 @@ def test_stages(spark, tmp_path):
     assert good.columns == columns and not failed & {d for d, _ in rows_of(good)}
 
     lines = stage("line_dedup", good)
-    expected = {d: t for d, (n, gone, t) in brute.line_dedup(rows_of(good)).items() if not gone or len(gone) < n}
+    expected = {d: t for d, (n, gone, t) in brute.passage_dedup(rows_of(good)).items() if not gone or len(gone) < n}
     assert lines.columns == columns and dict(rows_of(lines)) == expected
 
     single = stage("near_duplicates", lines)
@@ -63,4 +63,4 @@ def test_sql(spark, name):
 
 def test_every_operator_is_registered():
     names = entry.queries()
-    assert all(any(n.startswith(f"op{k}_") for n in names) for k in range(1, 11)) and "pipeline" in names
+    assert all(any(n.startswith(f"op{k}_") for n in names) for k in range(1, 14)) and "pipeline" in names
