@@ -5,7 +5,8 @@ every ``WINDOW_GRAMS`` consecutive hashes of ``GRAM`` words the smallest is kept
 equal ones), so a shared span of ``GRAM + WINDOW_GRAMS - 1`` words, which is a window, has a
 kept hash at the same place on both sides. Documents and items are joined on kept hashes; a
 hit fixes how document and item lie against each other, and the words are compared to both
-sides of it. Runs of equal words that hold a window of the item are marked.
+sides of it. Runs of equal words that hold a window of the item are marked. The words of an item are
+held once, and meet the documents that hit it once per document.
 
 An item of fewer words than a window is one window of its own length. Its hash over all its
 words is looked for at every place of the documents.
@@ -30,6 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F
 
 from citeloom.llm.common import mix64, text_chunks, utf8
+from citeloom.operators.joins import join_split
 from citeloom.session import stage
 
 WINDOW = 10
@@ -81,16 +83,21 @@ def _slot(hashes: np.ndarray) -> np.ndarray:
 
 
 def _hash_items(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One row per item: its words once, and its kept hashes with their places."""
     for chunk in text_chunks(batches):
-        ids, hashes, places, lengths, words = [], [], [], [], []
-        for item, text in zip(chunk.column("item_id").to_pylist(), chunk.column("text").to_pylist()):
-            own = word_hashes(text)
-            kept, at = _item_hashes(own)
-            for h, p in zip(kept.view(np.int64).tolist(), at.tolist()):
-                ids.append(item), hashes.append(h), places.append(p), lengths.append(len(own)), words.append(own.tobytes())
+        words = [word_hashes(t) for t in chunk.column("text").to_pylist()]
+        kept = [_item_hashes(w) for w in words]
+        ends = pa.array(np.cumsum([0] + [len(h) for h, _ in kept]).astype(np.int32))
         yield pa.RecordBatch.from_arrays(
-            [pa.array(ids, pa.string()), pa.array(hashes, pa.int64()), pa.array(places, pa.int64()), pa.array(lengths, pa.int64()), pa.array(words, pa.binary())],
-            names=["item_id", "hash", "place", "n_words", "words"],
+            [
+                chunk.column("item"),
+                chunk.column("item_id"),
+                pa.array([len(w) for w in words], pa.int64()),
+                pa.array([w.tobytes() for w in words], pa.binary()),
+                pa.ListArray.from_arrays(ends, pa.array(np.concatenate([h for h, _ in kept]).view(np.int64))),
+                pa.ListArray.from_arrays(ends, pa.array(np.concatenate([at for _, at in kept]).astype(np.int64))),
+            ],
+            names=["item", "item_id", "n_words", "words", "hashes", "places"],
         )
 
 
@@ -107,13 +114,12 @@ def _matched(words: np.ndarray, item: np.ndarray, offset: int) -> np.ndarray:
 
 def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """(doc_id, n_words, n_hit, n_items, items_sha256, contaminated) of every row of ``docs``."""
-    items = stage(
-        benchmark.select(F.col("item_id").cast("string").alias("item_id"), utf8()).mapInArrow(_hash_items, "item_id string, hash bigint, place bigint, n_words bigint, words binary"),
-        "items",
-    )
+    numbered = stage(benchmark.select(F.monotonically_increasing_id().alias("item"), F.col("item_id").cast("string").alias("item_id"), utf8()), "benchmark")
+    items = stage(numbered.mapInArrow(_hash_items, "item bigint, item_id string, n_words bigint, words binary, hashes array<bigint>, places array<bigint>"), "items")
+    kept = items.select("item", F.explode(F.arrays_zip("hashes", "places")).alias("f")).select("item", F.col("f.hashes").alias("hash"), F.col("f.places").alias("place"))
     # At most 2 ** MAP_BITS numbers reach the driver, and at most WINDOW - 1 lengths.
-    slots = [r[0] for r in items.select(F.shiftrightunsigned("hash", 64 - MAP_BITS).alias("slot")).distinct().toLocalIterator()]
-    short = sorted(r[0] for r in items.filter(F.col("n_words") < WINDOW).select("n_words").distinct().collect())
+    slots = [r[0] for r in kept.select(F.shiftrightunsigned("hash", 64 - MAP_BITS).alias("slot")).distinct().toLocalIterator()]
+    short = sorted(r[0] for r in items.filter((F.col("n_words") > 0) & (F.col("n_words") < WINDOW)).select("n_words").distinct().collect())
     bits = np.zeros(1 << MAP_BITS, dtype=bool)
     bits[np.array(slots, dtype=np.int64)] = True
     packed = docs.sparkSession.sparkContext.broadcast(np.packbits(bits).tobytes())
@@ -152,10 +158,11 @@ def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     key = ["doc_id", "text_hash"]
     some = rows.filter("size(hashes) > 0").dropDuplicates(key).select(*key, F.explode(F.arrays_zip("hashes", "places")).alias("f"))
     some = some.select(*key, F.col("f.hashes").alias("hash"), F.col("f.places").alias("at"))
-    hits = some.join(items.select("hash", "item_id", "place", "words"), "hash")
-    hits = hits.select(*key, "item_id", "words", (F.col("at") - F.col("place")).alias("offset")).distinct()
-    # One row per document, item text and place; the item's words stay with it.
-    lying = hits.groupBy(*key, "item_id", "words").agg(F.collect_list("offset").alias("offsets"))
+    # A word that is an item alone may stand anywhere, so the join splits hot hashes.
+    hits = join_split(some, kept, ["hash"]).select(*key, "item", (F.col("at") - F.col("place")).alias("offset")).distinct()
+    # One row per document and item with the places; only then the item's words come in.
+    lying = hits.groupBy(*key, "item").agg(F.collect_list("offset").alias("offsets"))
+    lying = stage(join_split(lying, items.select("item", "item_id", "words"), ["item"]).drop("item"), "lying")
 
     def extend(key_of, left, right):
         left = left.to_pylist()
