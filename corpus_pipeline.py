@@ -4,7 +4,8 @@ Each stage takes (spark, docs, sf_dir) and returns a data frame that is written
 read again as the next stage's documents. All but the last return the columns of documents.
 
 1. ``quality_rules`` drops documents that fail the base rules or the divergence test.
-2. ``line_dedup`` deletes repeated runs of lines; documents that consist of nothing else go.
+2. ``line_dedup`` deletes repeated runs of lines, and repeated passages of one or two long lines;
+   documents that consist of nothing else go.
 3. ``near_duplicates`` keeps the document of smallest id of each group.
 4. ``decontamination`` drops documents that hold a window of the benchmark.
 5. ``packing`` returns the pieces of token sequences.
@@ -25,7 +26,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def line_deduplication(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    out = line_dedup.drop_repeated_lines(docs)
+    out = line_dedup.drop_repeated_lines(docs, line_dedup.PASSAGE_WORDS)
     return out.withColumn("n_chars", F.length("text").cast("bigint")) if "n_chars" in docs.columns else out
 
 
