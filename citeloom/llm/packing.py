@@ -16,6 +16,7 @@ other columns are ignored; no rows give no pieces.
 
 from __future__ import annotations
 
+import heapq
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -51,21 +52,41 @@ def pack(sizes: list[int], capacity: int = SEQUENCE_TOKENS, linear: float = LINE
     rests.sort(key=lambda r: (-r[0], r[1]))
     total = sum(r[0] for r in rests)
     count = -(-total // capacity)
-    room = np.full(count, capacity, dtype=np.int64)
+    room = [capacity] * count
     room[-1] = 1 << int(total - (count - 1) * capacity - 1).bit_length()
-    size = room.copy()
-    cost = np.zeros(count)
+    size, cost = list(room), [0.0] * count
+    # Sequences with room for the rest at hand, by cost; the others by room and by cost. Entries that no
+    # longer hold are passed over.
+    fitting: list[tuple[float, int]] = []
+    by_room, by_cost = [(-r, at) for at, r in enumerate(room)], [(0.0, at) for at in range(count)]
+    heapq.heapify(by_room)
+    fits = [False] * count
     for length, doc, start in rests:
         while length:
-            open_to = np.flatnonzero(room >= length)
-            if not len(open_to):
-                open_to = np.flatnonzero(room)
-            at = open_to[np.argmin(cost[open_to])]
-            put = min(length, int(room[at]))
-            pieces.append((doc, start, put, sequence + int(at), int(size[at] - room[at])))
+            while by_room and -by_room[0][0] >= length:
+                r, at = heapq.heappop(by_room)
+                if room[at] == -r and not fits[at]:
+                    fits[at] = True
+                    heapq.heappush(fitting, (cost[at], at))
+            if fitting:
+                at = heapq.heappop(fitting)[1]
+                if room[at] < length:  # it fitted the end of a rest that was cut
+                    fits[at] = False
+                    heapq.heappush(by_room, (-room[at], at))
+                    continue
+            else:
+                c, at = heapq.heappop(by_cost)
+                if cost[at] != c or not room[at]:
+                    continue
+            put = min(length, room[at])
+            pieces.append((doc, start, put, sequence + at, size[at] - room[at]))
             room[at] -= put
             cost[at] += linear * put + quadratic * put * put
             length, start = length - put, start + put
+            fits[at] = False
+            if room[at]:
+                heapq.heappush(by_room, (-room[at], at))
+                heapq.heappush(by_cost, (cost[at], at))
     return pieces
 
 

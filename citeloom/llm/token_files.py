@@ -36,11 +36,10 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int, l
 
     def encode(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         work = encoder(tokenizer, lower_case)
-        end = np.array([end_id], dtype="<u4").tobytes()
         for chunk in text_chunks(batches, limit=4 << 20):
-            ids = [i + end for i in work.encode(chunk.column("text").to_pylist())]
-            ends = np.cumsum([0] + [len(i) // 4 for i in ids])
-            values = pa.array(np.frombuffer(b"".join(ids), dtype="<i4"))
+            flat, bounds = work.encode_flat(chunk.column("text").to_pylist())
+            values = pa.array(np.insert(flat, bounds[1:], end_id).astype("<i4"))
+            ends = bounds + np.arange(len(bounds))
             yield pa.RecordBatch.from_arrays(
                 [chunk.column("doc_id"), pa.array(np.diff(ends).astype(np.int32)), pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), values)],
                 names=["doc_id", "n_tokens", "ids"],
