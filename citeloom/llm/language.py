@@ -9,12 +9,13 @@ of words for every further language is selected. The prediction is its most freq
 the score that language's proportion before the selection.
 
 Learning reads texts and their non-null languages, one scan with sums per task; predicting
-reads texts alone. Batches of words are worked on together; a batch gets smaller with the
-number of languages, so memory stays the same.
+reads texts alone. A document is worked on as its different words with their numbers, so a very
+long one stays small, and batches get smaller with the number of languages.
 
-All languages count. Up to ``BLOCK`` of them are fitted at once. More are fitted block by block:
-a document's ``LEADERS`` languages of largest proportion in each block are then fitted together,
-so the score is the proportion among these. A task holds one block at a time.
+All languages are fitted together, whatever their number. A round of EM passes twice over the words'
+likelihoods, in blocks of ``BLOCK`` languages: once for the sum over all languages, once for the new
+proportions. Likelihoods that fit ``HELD_BYTES`` are kept between the passes, others are worked out
+again; neither changes the result. A task holds one block of the model at a time.
 
 Cases: null texts, and texts without a letter, are ``und`` with score 0, and so is every
 document if nothing could be learned; equal texts get equal results; a null id is kept; other
@@ -24,6 +25,7 @@ columns are ignored; no rows give no rows.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
@@ -38,10 +40,10 @@ SMOOTHING = 0.5
 ROUNDS = 12
 MAX_SET = 3
 PENALTY = 4.0
-#: Languages fitted at once. Bounds what a task holds of the model.
+#: Languages of a block. Bounds what a task holds of the model.
 BLOCK = 200
-#: Languages of each block that are fitted again with those of the others.
-LEADERS = 8
+#: Likelihoods a task keeps between the passes of EM.
+HELD_BYTES = 64 << 20
 UNKNOWN = "und"
 
 _LETTERS = bytes(c + 32 if 0x41 <= c <= 0x5A else c if 0x61 <= c <= 0x7A or c >= 0x80 else 0x20 for c in range(256))
@@ -88,7 +90,7 @@ class Model:
 
 
 class Blocks:
-    """Models of the languages in order, of BLOCK languages each; kept as broadcasts and loaded one at a time."""
+    """One model for every BLOCK languages, in order; kept as broadcasts and loaded one at a time."""
 
     def __init__(self, languages: list[str], models: list[Broadcast]):
         self.languages, self.models = languages, models
@@ -105,76 +107,101 @@ def _loaded(model: Broadcast) -> Model:
     return value
 
 
-def _fit(likely: np.ndarray, starts: np.ndarray, of: np.ndarray, sizes: np.ndarray, allowed: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Proportions per document within ``allowed`` languages, and the log-likelihood (less a constant)."""
-    share = allowed / allowed.sum(axis=1, keepdims=True)
-    for _ in range(ROUNDS):
-        joint = likely * share[of]
-        joint /= np.maximum(joint.sum(axis=1, keepdims=True), 1e-30)
-        share = np.add.reduceat(joint, starts, axis=0) / sizes[:, None]
-    return share, np.add.reduceat(np.log(np.maximum((likely * share[of]).sum(axis=1), 1e-30)), starts)
-
-
-def _likely(scores: np.ndarray) -> np.ndarray:
-    return np.maximum(np.exp(scores - scores.max(axis=1, keepdims=True)), 1e-12)
+class _Likelihoods:
+    """Likelihoods of the different words of a batch's documents, relative to a word's likeliest language, block by block."""
 
+    def __init__(self, blocks: list[Callable[[], Model]], words: list[bytes], word: np.ndarray):
+        self.blocks, self.words, self.word = blocks, words, word
+        self.top = np.full(len(words), -np.inf, np.float32)
+        self.count = 0
+        for block in blocks:
+            scores = block().word_scores(words).astype(np.float32)
+            self.top, self.count = np.maximum(self.top, scores.max(axis=1)), self.count + scores.shape[1]
+        self.held = list(self._worked_out()) if len(word) * self.count * 4 <= HELD_BYTES else None
+
+    def _worked_out(self) -> Iterator[np.ndarray]:
+        for block in self.blocks:
+            scores = block().word_scores(self.words).astype(np.float32)
+            yield np.maximum(np.exp(scores - self.top[:, None]), 1e-12)[self.word]
+
+    def __iter__(self) -> Iterator[tuple[slice, np.ndarray]]:
+        first = 0
+        for part in self._worked_out() if self.held is None else self.held:
+            yield slice(first, first + part.shape[1]), part
+            first += part.shape[1]
+
+
+def _fit(
+    likely: Iterable[tuple[slice, np.ndarray]], doc: np.ndarray, starts: np.ndarray, number: np.ndarray, allowed: np.ndarray
+) -> tuple[np.ndarray, np.ndarray]:
+    """Proportions per document within ``allowed`` languages, and the log-likelihood (less a constant).
+
+    ``doc`` and ``number`` are those of each different word of a document; ``starts`` its first word.
+    """
+    share = (allowed / allowed.sum(axis=1, keepdims=True)).astype(np.float32)
+    sizes = np.add.reduceat(number, starts)[:, None]
+
+    def sums() -> np.ndarray:
+        out = np.zeros(len(doc), np.float32)
+        for columns, part in likely:
+            out += (part * share[doc, columns]).sum(axis=1)
+        return np.maximum(out, 1e-30)
 
-def _leaders(scores: np.ndarray, names: np.ndarray, starts: np.ndarray, of: np.ndarray, sizes: np.ndarray, keep: int) -> tuple[np.ndarray, np.ndarray]:
-    """The columns of each document's ``keep`` largest proportions, in order of language: scores per word, names per document."""
-    full, _ = _fit(_likely(scores), starts, of, sizes, np.ones(names.shape, np.float32))
-    best = np.sort(np.argsort(-full, axis=1, kind="stable")[:, :keep], axis=1)
-    return np.take_along_axis(scores, best[of], axis=1), np.take_along_axis(names, best, axis=1)
+    for _ in range(ROUNDS):
+        weight = (number / sums())[:, None].astype(np.float32)
+        new = np.empty_like(share)
+        for columns, part in likely:
+            new[:, columns] = np.add.reduceat(part * weight, starts, axis=0)
+        share = (new * share / sizes).astype(np.float32)
+    return share, np.add.reduceat(np.log(sums()) * number, starts)
 
 
 def predict_by(blocks: list[Callable[[], Model]], languages: list[str], texts: list[bytes | None]) -> list[tuple[str, float, str]]:
     """(language, score, languages of the selected set by proportion) of each text, by models that follow each other in ``languages``."""
     out: list[tuple[str, float, str]] = [(UNKNOWN, 0.0, "")] * len(texts)
-    words = [[w for w in t.translate(_LETTERS).split(b" ") if w] if has_letter(t) else [] for t in texts]
-    known = [i for i, w in enumerate(words) if w]
+    place: dict[bytes, int] = {}
+    counted = []
+    for t in texts:
+        words = Counter(t.translate(_LETTERS).split()) if has_letter(t) else {}
+        counted.append((np.array([place.setdefault(w, len(place)) for w in words], np.int64), np.array(list(words.values()), np.float64)))
+    known = [i for i, (w, _) in enumerate(counted) if len(w)]
     if not known or not languages:
         return out
-    place: dict[bytes, int] = {}
-    at = np.array([place.setdefault(w, len(place)) for i in known for w in words[i]], dtype=np.int64)
-    sizes = np.array([len(words[i]) for i in known], dtype=np.int64)
-    starts = np.concatenate(([0], np.cumsum(sizes)[:-1]))
-    of = np.repeat(np.arange(len(known)), sizes)
-    if len(blocks) == 1:
-        likely = _likely(blocks[0]().word_scores(list(place)).astype(np.float32))[at]
-        names = np.broadcast_to(np.arange(len(languages)), (len(known), len(languages)))
-    else:
-        held, names, first = np.zeros((len(at), 0), np.float32), np.zeros((len(known), 0), np.int64), 0
-        for block in blocks:
-            model = block()
-            here = np.broadcast_to(np.arange(first, first + len(model.languages)), (len(known), len(model.languages)))
-            scores, best = _leaders(model.word_scores(list(place)).astype(np.float32)[at], here, starts, of, sizes, LEADERS)
-            if held.shape[1] + LEADERS > BLOCK:
-                held, names = _leaders(held, names, starts, of, sizes, BLOCK // 2)
-            held, names = np.concatenate([held, scores], axis=1), np.concatenate([names, best], axis=1)
-            first += len(model.languages)
-        likely = _likely(held)
-    count = names.shape[1]
-    full, ceiling = _fit(likely, starts, of, sizes, np.ones((len(known), count), np.float32))
-    order = np.argsort(-full, axis=1, kind="stable")
-    chosen = np.zeros_like(full)
-    chosen[np.arange(len(known)), order[:, 0]] = 1.0
-    best = np.add.reduceat(np.log(likely[np.arange(len(of)), order[of, 0]]), starts)
+    kinds = np.array([len(counted[i][0]) for i in known], dtype=np.int64)
+    starts, doc = np.cumsum(kinds) - kinds, np.repeat(np.arange(len(known)), kinds)
+    number = np.concatenate([counted[i][1] for i in known])
+    likely = _Likelihoods(blocks, list(place), np.concatenate([counted[i][0] for i in known]))
+    count = likely.count
+    full, ceiling = _fit(likely, doc, starts, number, np.ones((len(known), count), np.float32))
+    order = np.argsort(-full, axis=1, kind="stable")[:, : min(MAX_SET, count)]
+    # The likelihoods of a document's leading languages only.
+    leading = np.empty((len(doc), order.shape[1]), np.float32)
+    for columns, part in likely:
+        for rank in range(order.shape[1]):
+            of = order[doc, rank] - columns.start
+            inside = np.flatnonzero((of >= 0) & (of < part.shape[1]))
+            leading[inside, rank] = part[inside, of[inside]]
+    chosen = np.zeros((len(known), order.shape[1]), np.float32)
+    chosen[:, 0] = 1.0
+    best = np.add.reduceat(np.log(leading[:, 0]) * number, starts)
     # No set is likelier than all languages together, so only these may have several.
-    price = PENALTY * np.log(sizes + 1)
+    price = PENALTY * np.log(np.add.reduceat(number, starts) + 1)
     mixed = np.flatnonzero(ceiling - best > price)
     if len(mixed):
-        words_of = np.concatenate([np.arange(starts[d], starts[d] + sizes[d]) for d in mixed])
-        part, own = likely[words_of], sizes[mixed]
-        part_starts, part_of = np.concatenate(([0], np.cumsum(own)[:-1])), np.repeat(np.arange(len(mixed)), own)
-        for k in range(2, min(MAX_SET, count) + 1):
-            allowed = np.zeros((len(mixed), count), np.float32)
-            np.put_along_axis(allowed, order[mixed, :k], 1.0, axis=1)
-            share, likelihood = _fit(part, part_starts, part_of, own, allowed)
+        words_of = np.concatenate([np.arange(starts[d], starts[d] + kinds[d]) for d in mixed])
+        part = [(slice(0, order.shape[1]), leading[words_of])]
+        part_starts, part_doc = np.cumsum(kinds[mixed]) - kinds[mixed], np.repeat(np.arange(len(mixed)), kinds[mixed])
+        for k in range(2, order.shape[1] + 1):
+            allowed = np.zeros((len(mixed), order.shape[1]), np.float32)
+            allowed[:, :k] = 1.0
+            share, likelihood = _fit(part, part_doc, part_starts, number[words_of], allowed)
             likelihood = likelihood - (k - 1) * price[mixed]
             better = likelihood > best[mixed]
             best[mixed[better]], chosen[mixed[better]] = likelihood[better], share[better]
     for row, i in enumerate(known):
         ranked = [j for j in np.argsort(-chosen[row], kind="stable").tolist() if chosen[row, j] > 0]
-        out[i] = (languages[names[row, ranked[0]]], float(min(1.0, full[row, ranked[0]])), ",".join(languages[names[row, j]] for j in ranked))
+        names = [languages[order[row, j]] for j in ranked]
+        out[i] = (names[0], float(min(1.0, full[row, order[row, ranked[0]]])), ",".join(names))
     return out
 
 

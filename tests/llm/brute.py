@@ -251,3 +251,39 @@ def smallest_capacity(sizes, shards):
         middle = (low + high) // 2
         low, high = (low, middle) if fits(middle) else (middle + 1, high)
     return low
+
+
+def language(text, model, rounds, most, penalty):
+    """(language, score, selected languages) by the mixture over words, word by word; None without a letter."""
+    if not text or not any(c.isalpha() for c in text):
+        return "und", 0.0, ""
+    letters = bytes(c + 32 if 65 <= c <= 90 else c if 97 <= c <= 122 or c >= 128 else 32 for c in text.encode())
+    likely, count = [], len(model.languages)
+    for word in letters.split():
+        padded = b" " + word + b" "
+        cells = [((padded[k] << 16 | padded[k + 1] << 8 | padded[k + 2]) * 2654435761 % 2**32) >> 17 for k in range(len(padded) - 2)]
+        scores = [sum(float(model.log[c, j]) for c in cells) for j in range(count)]
+        likely.append([max(np.exp(x - max(scores)), 1e-12) for x in scores])
+
+    def fit(languages):
+        share = {j: 1 / len(languages) for j in languages}
+        for _ in range(rounds):
+            new = dict.fromkeys(languages, 0.0)
+            for p in likely:
+                z = sum(p[j] * share[j] for j in languages)
+                for j in languages:
+                    new[j] += p[j] * share[j] / z / len(likely)
+            share = new
+        return share, sum(np.log(sum(p[j] * share[j] for j in languages)) for p in likely)
+
+    full, ceiling = fit(range(count))
+    order = sorted(range(count), key=lambda j: -full[j])
+    chosen, best = {order[0]: 1.0}, sum(np.log(p[order[0]]) for p in likely)
+    price = penalty * np.log(len(likely) + 1)
+    if ceiling - best > price:
+        for k in range(2, min(most, count) + 1):
+            share, value = fit(order[:k])
+            if value - (k - 1) * price > best:
+                chosen, best = share, value - (k - 1) * price
+    ranked = sorted(chosen, key=lambda j: (-chosen[j], order.index(j)))
+    return model.languages[ranked[0]], full[ranked[0]], ",".join(model.languages[j] for j in ranked)
