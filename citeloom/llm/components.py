@@ -18,6 +18,9 @@ def connected_components(edges: DataFrame) -> DataFrame:
     Large-star and small-star steps in turn: every node hands its larger, then its smaller
     neighbours to the smallest one it knows, until nothing changes. A chain of n nodes takes
     in the order of log(n) squared steps. Each round is written to the shared folder.
+
+    Edges with a null end and edges of a node to itself count for nothing, and a node without other
+    edges is not returned; repeated edges count once; no edges give no rows.
     """
     low, high = F.least("a", "b").alias("b"), F.greatest("a", "b").alias("a")
     pairs = stage(edges.filter("a <> b").select(high, low).distinct(), "edges")
