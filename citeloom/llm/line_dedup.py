@@ -141,7 +141,8 @@ def delete_repeated_lines(docs: DataFrame, counts: tuple[str, str, str], run: in
     gone = stage(repeated_units(docs, run, gram, passage_words), "deleted")
     own_id, own_text, places = (fresh(docs, n) for n in ("gone_id", "gone_text", "deleted"))
     gone = gone.select(F.col("doc_id").alias(own_id), F.col("text_hash").alias(own_text), F.col("deleted").alias(places))
-    joined = docs.join(gone, docs["doc_id"].eqNullSafe(gone[own_id]) & (F.xxhash64(docs["text"]) == gone[own_text]), "left")
+    # What is deleted grows with the corpus and has no size bound, so it is never broadcast.
+    joined = docs.join(gone.hint("merge"), docs["doc_id"].eqNullSafe(gone[own_id]) & (F.xxhash64(docs["text"]) == gone[own_text]), "left")
     deleted = gone[places]
     left = F.array_join(F.filter(units(docs["text"]), lambda u, i: ~F.array_contains(deleted, i)), "\n")
     return joined.select(
