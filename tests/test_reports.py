@@ -1,10 +1,13 @@
 """Reports read their facts once, and show what readers see."""
 
+import datetime
+
 import pytest
 
 from citeloom.operators import grouping
 from citeloom.plans import reports
 from tests.conftest import rows
+from workload import queries, star
 
 
 @pytest.fixture
@@ -100,3 +103,18 @@ def test_a_click_shows_one_line_more(spark):
     markers = reports.report_collaboration_map(net)["markers"]
     (label, popup), = rows(markers.where("org_id = 2"), "label", "popup")
     assert label.startswith("<strong>B</strong><br/>1,234 records<br/>247 researchers") and popup == label + "<br/>Review Profile"
+
+
+def test_the_country_query_returns_every_country(spark, tmp_path):
+    """Nation 0 has no known code, 24 is not on the map; the query leaves neither out."""
+    when = datetime.datetime(1998, 1, 1)
+    tables = {
+        "supplier": [(n, f"S{n}", n, 1.0) for n in (0, 5, 24)],
+        "nation": [(n, f"NATION {n}", 0) for n in range(25)],
+        "orders": [(n, 1, "O", 10.0, when, "1-URGENT") for n in (0, 5, 24)],
+        "lineitem": [(n, 1, n, 1, 1.0, 1.0, 0.0, 0.0, "N", "O", when) for n in (0, 5, 24)],
+    }
+    for name, listed in tables.items():
+        spark.createDataFrame(listed, star.SCHEMAS[name]).write.parquet(f"{tmp_path}/{name}.parquet")
+    got = queries.registered()["report_countries"](spark, str(tmp_path))
+    assert rows(got, "country_code", "country", "nb_records") == [("??", "unknown", 1), ("N24", None, 1), ("N5", "NATION 5", 1)]

@@ -355,6 +355,11 @@ SELECT title, nb_records FROM titles ORDER BY nb_records DESC, title LIMIT 10"""
 SELECT round(regr_slope(nb_records, year_published), 4) AS slope, round(regr_intercept(nb_records, year_published), 2) AS intercept
 FROM yearly"""
     q["report_countries"] = f"""WITH {COUNTRY_REPORT}
+SELECT c.country_code, CASE WHEN c.country_code = '??' THEN 'unknown' ELSE k.country END AS country, nb_records, avg_nb_authors,
+       median_nb_authors, avg_year, round(share_records, 6) AS share_records
+FROM clean c LEFT JOIN countries k USING (country_code)"""
+    # The report table as readers see it: the countries on the map, under their names there.
+    countries_on_map = f"""WITH {COUNTRY_REPORT}
 SELECT c.country_code, k.admin AS country, nb_records, avg_nb_authors, median_nb_authors, avg_year,
        round(share_records, 6) AS share_records
 FROM clean c JOIN countries k USING (country_code)"""
@@ -369,7 +374,7 @@ SELECT country_code, nb_records, bin FROM binned"""
     q["report_sources_position"] = f"""WITH {SOURCE_REPORT}
 SELECT title, nb_records, row_number() OVER (ORDER BY nb_records DESC, title) AS position FROM titles"""
     q["report_countries_position"] = f"""SELECT country, nb_records, row_number() OVER (ORDER BY nb_records DESC, country, country_code) AS position
-FROM ({q["report_countries"]})"""
+FROM ({countries_on_map})"""
     q["report_funders"] = f"""WITH {FUNDED}
 SELECT org, country, nb_projects, {_even('nb_records', 0)} AS nb_records, {_even('share_projects', 1)} AS share_projects,
        {_even('share_records', 1)} AS share_records, avg_nb_authors, median_nb_authors, avg_year
@@ -440,7 +445,7 @@ UNION ALL SELECT 'domains_total', (WITH {FLOWS} SELECT format('{{:,}}', n) FROM
 FROM ({q["report_sources"]})"""
     q["report_years_headings"] = f"""SELECT year_published AS "Year of publication", nb_records AS "Count of records", avg_nb_authors AS {contributors[0]},
        median_nb_authors AS {contributors[1]} FROM ({q["report_years"]})"""
-    q["report_countries_headings"] = f"""SELECT country AS "Country", nb_records AS "Count of records" FROM ({q["report_countries"]})"""
+    q["report_countries_headings"] = f"""SELECT country AS "Country", nb_records AS "Count of records" FROM ({countries_on_map})"""
     q["report_funders_headings"] = f"""SELECT org AS "Funding organisation/institute", nb_projects AS "Count of projects", nb_records AS "Count of records",
        share_projects AS "Share of projects (%)", share_records AS "Share of records (%)", avg_nb_authors AS "Average number of contributors",
        median_nb_authors AS {contributors[1]}, avg_year AS "Average year of publication" FROM ({q["report_funders"]})"""
