@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from typing import NamedTuple
 
-from pyspark.sql import DataFrame, Row, Window as W, functions as F
+from pyspark.sql import Column, DataFrame, Row, Window as W, functions as F
 
 from citeloom.functions.scalars import n_choose_2, pair_sorted, settled
 from citeloom.operators.grouping import attach_group, distinct_on_key, sample_keys
@@ -37,36 +38,111 @@ def left_out(records: DataFrame, max_team_size: int) -> DataFrame:
     return records.agg(F.count_if(~within).alias("nb_left_out"), F.count(F.lit(1)).alias("nb_records"))
 
 
-def _set_pairs(teams: DataFrame, keys: Sequence[str], unit: str) -> DataFrame:
-    """Pairs of the organisation sets of a record's authors, with the weight of each combination.
+#: A record of more lines than this is paired by a join that splits, not inside a row.
+CROWD_LINES = 64
 
-    Pairing sets instead of authors is exact: all author pairs with the same two sets yield
-    the same rows. Of the k x m organisation combinations of two sets with s shared ones,
-    k*m - C(s,2) are distinct as unordered pairs, and each combination weighs that number. A
-    set is bounded by the organisations of one author; sets of a large record are rows, which
-    the join splits. Authors without a known organisation take part in no pair.
+
+class Teams(NamedTuple):
+    """Lines of teams with a known ``unit``: one row per key with its ``lines``, and the lines of crowded keys."""
+
+    rows: DataFrame
+    crowd: DataFrame | None
+    unit: str
+
+
+def gather_teams(teams: DataFrame, keys: Sequence[str], unit: str) -> Teams:
+    """Collect the lines (contribution and ``unit``) of every key in a row.
+
+    A row holds at most ``CROWD_LINES`` lines. Keys of more lines, if there are any, keep their lines as rows.
+    """
+    links = teams.where(F.col(unit).isNotNull()).select(*keys, F.col("contribution_id").alias("author"), F.col(unit).alias("unit"))
+    sizes = links.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    crowded = stage(sizes.where(F.col("_n") > CROWD_LINES).drop("_n"), "crowded")
+    few, crowd = links, None
+    if not crowded.isEmpty():
+        few = join_split(links, crowded, keys, "left_anti")
+        crowd = join_split(links, crowded, keys, "left_semi").select(*keys, F.col("author").alias("contribution_id"), F.col("unit").alias(unit))
+    rows = few.groupBy(*keys).agg(F.collect_list(F.struct("author", "unit")).alias("lines"))
+    return Teams(stage(rows, "teams"), stage(crowd, "crowd") if crowd is not None else None, unit)
+
+
+def _weighed(left: Column, right: Column, pairs: Column) -> Column:
+    """A pair of organisation sets that stands for ``pairs`` author pairs.
+
+    Of the k x m organisation combinations of two sets with s shared ones, k*m - C(s,2) are
+    distinct as unordered pairs, and each combination weighs that number.
     """
-    links = teams.where(F.col(unit).isNotNull())
-    authors = links.groupBy(*keys, "contribution_id").agg(F.sort_array(F.collect_set(unit)).alias("orgs"))
+    shared = F.array_intersect(left, right)
+    combined = F.size(left).cast("double") * F.size(right).cast("double")
+    n = F.size(shared)
+    return F.struct(
+        left.alias("left"), right.alias("right"), shared.alias("shared"), (n == 0).alias("is_ext"),
+        (pairs * (combined - n_choose_2(n))).alias("weight"), F.when(n == 0, combined).otherwise(n.cast("double")).alias("rows"),
+    )
+
+
+def _row_pairs(rows: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Pairs of the organisation sets of each row's authors, scaled to 1 in total.
+
+    Where every author has one line, author pairs are the rows and each weighs the same. Elsewhere authors
+    with the same organisations are one set with a multiplicity.
+    """
+    several = rows.where(F.size("lines") > 1)
+    plain = F.size(F.array_distinct(F.col("lines")["author"])) == F.size("lines")
+    units = several.where(plain).select(*by, F.col("lines")["unit"].alias("_units"))
+    first = units.select(*by, "_units", F.size("_units").alias("_n"), F.posexplode_outer("_units").alias("_at", "_l"))
+    both = first.where(F.col("_at") < F.col("_n") - 1).select(
+        *by, "_n", "_l", F.explode_outer(F.slice("_units", F.col("_at") + 2, F.col("_n"))).alias("_r")
+    )
+    left, right, external = F.array("_l"), F.array("_r"), F.col("_l") != F.col("_r")
+    single = both.select(
+        *by, left.alias("left"), right.alias("right"), F.when(external, F.slice(left, 1, 0)).otherwise(left).alias("shared"),
+        external.alias("is_ext"), (F.lit(1.0) / n_choose_2(F.col("_n"))).alias("row_weight"),
+    )
+    return single.unionByName(_set_pairs(several.where(~plain), by))
+
+
+def _set_pairs(rows: DataFrame, by: Sequence[str]) -> DataFrame:
+    lines = F.col("lines")
+    authors = F.transform(
+        F.array_distinct(lines["author"]),
+        lambda a: F.sort_array(F.array_distinct(F.filter(lines, lambda x: x["author"].eqNullSafe(a))["unit"])),
+    )
+    sets = F.transform(
+        F.array_distinct("_authors"),
+        lambda s: F.struct(s.alias("orgs"), F.size(F.filter("_authors", lambda x: x == s)).cast("double").alias("n")),
+    )
+
+    def with_later(a: Column, i: Column) -> Column:
+        """The set with itself and those behind it."""
+        later = F.slice("_sets", i + 1, F.size("_sets"))
+        return F.transform(
+            later, lambda b, j: _weighed(a["orgs"], b["orgs"], F.when(j == 0, n_choose_2(a["n"])).otherwise(a["n"] * b["n"]))
+        )
+
+    pairs = F.filter(F.flatten(F.transform("_sets", with_later)), lambda p: p["weight"] > 0)
+    total = F.aggregate("_pairs", F.lit(0.0), lambda acc, p: acc + p["weight"] * p["rows"])
+    made = rows.withColumn("_authors", authors).withColumn("_sets", sets).withColumn("_pairs", pairs).withColumn("_total", total)
+    # The outer form, as for the plain one the planner would make the pairs a second time, in a filter.
+    each = made.select(*by, "_total", F.explode_outer("_pairs").alias("p")).where(F.col("p").isNotNull())
+    return each.select(*by, "p.left", "p.right", "p.shared", "p.is_ext", (F.col("p.weight") / F.col("_total")).alias("row_weight"))
+
+
+def _joined_pairs(teams: DataFrame, keys: Sequence[str], by: Sequence[str], unit: str) -> DataFrame:
+    """The same for keys of any number of lines: sets of a record are rows, which the join splits."""
+    authors = teams.groupBy(*keys, "contribution_id").agg(F.sort_array(F.collect_set(unit)).alias("orgs"))
     sets = authors.groupBy(*keys, "orgs").agg(F.count(F.lit(1)).cast("double").alias("authors"))
     a = sets.select(*keys, F.col("orgs").alias("left"), F.col("authors").alias("m"))
     b = sets.select(*keys, F.col("orgs").alias("right"), F.col("authors").alias("n"))
     both = join_split(a, b, keys).where(F.col("left") <= F.col("right"))
-    same = F.col("left") == F.col("right")
-    shared = F.array_intersect("left", "right")
-    combined = F.size("left").cast("double") * F.size("right").cast("double")
-    return (
-        both.withColumn("pairs", F.when(same, n_choose_2(F.col("m"))).otherwise(F.col("m") * F.col("n")))
-        .where(F.col("pairs") > 0)
-        .withColumn("shared", shared)
-        .withColumn("is_ext", F.size("shared") == 0)
-        .withColumn("weight", F.col("pairs") * (combined - n_choose_2(F.size("shared"))))
-        .withColumn("rows", F.when(F.col("is_ext"), combined).otherwise(F.size("shared").cast("double")))
-        .select(*keys, "left", "right", "shared", "is_ext", "weight", "rows")
+    pairs = F.when(F.col("left") == F.col("right"), n_choose_2(F.col("m"))).otherwise(F.col("m") * F.col("n"))
+    weighed = both.select(*keys, _weighed(F.col("left"), F.col("right"), pairs).alias("p")).select(*keys, "p.*").where(F.col("weight") > 0)
+    return attach_group(stage(weighed, "pairs"), keys, F.sum(F.col("weight") * F.col("rows")).alias("_total")).select(
+        *by, "left", "right", "shared", "is_ext", (F.col("weight") / F.col("_total")).alias("row_weight")
     )
 
 
-def edges_of_teams(teams: DataFrame, record: str = "lens_id", level: str = "org_id", by: Sequence[str] = ()) -> DataFrame:
+def edges_of_teams(teams: DataFrame | Teams, record: str = "lens_id", level: str = "org_id", by: Sequence[str] = ()) -> DataFrame:
     """Edges (from, to, is_ext, weight) between the organisations of teams, or between their countries.
 
     Every pair of authors of a record is external when they share no organisation. External
@@ -74,12 +150,15 @@ def edges_of_teams(teams: DataFrame, record: str = "lens_id", level: str = "org_
     they share. Rows weigh C(n,2) x distinct pairs, then each record is scaled to 1 in
     total; C(n,2) is the same for all rows of a record and cancels there. The scale is known
     before any organisation pair is made. With ``by`` every value of these columns has a network of its own.
+
+    Sets of organisations are paired instead of authors: all author pairs with the same two sets yield
+    the same rows. Authors without a known organisation take part in no pair.
     """
     keys = [*by, record]
-    pairs = _set_pairs(teams, keys, level)
-    scaled = attach_group(pairs, keys, F.sum(F.col("weight") * F.col("rows")).alias("_total")).select(
-        *by, "left", "right", "shared", "is_ext", (F.col("weight") / F.col("_total")).alias("row_weight")
-    )
+    gathered = teams if isinstance(teams, Teams) else gather_teams(teams, keys, level)
+    scaled = _row_pairs(gathered.rows, by)
+    if gathered.crowd is not None:
+        scaled = scaled.unionByName(_joined_pairs(gathered.crowd, keys, by, gathered.unit))
     one_end = scaled.select(
         *by, "is_ext", "row_weight", "right",
         F.explode(F.when(F.col("is_ext"), F.col("left")).otherwise(F.col("shared"))).alias("_l"),
@@ -98,21 +177,30 @@ def collaboration_edges(
 ) -> DataFrame:
     """Edges of the network of all records up to a team size, or of a sample of records."""
     base = affiliation if sample is None else sample_keys(affiliation, record, sample, seed)
-    return edges_of_teams(small_teams(base, records, record, max_team_size), record, level)
+    lines = small_teams(base, records, record, max_team_size).select(record, "contribution_id", level)
+    return edges_of_teams(stage(lines, "lines"), record, level)
 
 
-def figures_of_teams(teams: DataFrame, record: str = "lens_id", by: Sequence[str] = ()) -> DataFrame:
+def figures_of_teams(teams: DataFrame | Teams, record: str = "lens_id", by: Sequence[str] = ()) -> DataFrame:
     """Fractional contributions and number of records per organisation."""
     keys = [*by, record]
-    cells = teams.where(F.col("org_id").isNotNull()).groupBy(*keys, "org_id").agg(F.count(F.lit(1)).alias("_rows"))
-    return (
-        attach_group(cells, keys, F.sum("_rows").alias("_all"))
-        .groupBy(*by, "org_id")
-        .agg(settled(F.sum(F.col("_rows") / F.col("_all"))).alias("nb_contributions"), F.count(F.lit(1)).alias("nb_records"))
+    gathered = teams if isinstance(teams, Teams) else gather_teams(teams, keys, "org_id")
+    units = F.transform("lines", lambda x: x["unit"])
+    counted = F.transform(
+        F.array_distinct("_units"),
+        lambda u: F.struct(u.alias("org_id"), (F.size(F.filter("_units", lambda x: x == u)) / F.size("_units")).alias("_part")),
+    )
+    parts = gathered.rows.select(*by, units.alias("_units")).select(*by, F.inline_outer(counted))
+    if gathered.crowd is not None:
+        cells = gathered.crowd.groupBy(*keys, "org_id").agg(F.count(F.lit(1)).alias("_rows"))
+        spread = attach_group(cells, keys, F.sum("_rows").alias("_all"))
+        parts = parts.unionByName(spread.select(*by, "org_id", (F.col("_rows") / F.col("_all")).alias("_part")))
+    return parts.groupBy(*by, "org_id").agg(
+        settled(F.sum("_part")).alias("nb_contributions"), F.count(F.lit(1)).alias("nb_records")
     )
 
 
-def nodes_of_teams(teams: DataFrame, edges: DataFrame, organisations: DataFrame, record: str = "lens_id") -> DataFrame:
+def nodes_of_teams(teams: DataFrame | Teams, edges: DataFrame, organisations: DataFrame, record: str = "lens_id") -> DataFrame:
     """Nodes of the network: the organisations at the ends of edges, with their figures."""
     seen = join_split(union_distinct_keys(edges), figures_of_teams(teams, record), ["org_id"])
     return join_split(seen, organisations, ["org_id"])
@@ -131,7 +219,8 @@ def collaboration_network(
 ) -> tuple[DataFrame, DataFrame]:
     """(edges, nodes) of the organisation network; the lines of small teams are sought out once."""
     base = affiliation if sample is None else sample_keys(affiliation, record, sample, seed)
-    teams = stage(small_teams(base, records, record, max_team_size).select(record, "contribution_id", "org_id"), "teams")
+    lines = stage(small_teams(base, records, record, max_team_size).select(record, "contribution_id", "org_id"), "lines")
+    teams = gather_teams(lines, [record], "org_id")
     edges = stage(edges_of_teams(teams, record), "edges")
     return edges, nodes_of_teams(teams, edges, organisations, record)
 
@@ -151,7 +240,7 @@ def collaboration_intervals(
     within = F.filter(listed, lambda s: F.col("year_published").between(s["first_year"], s["last_year"]))
     dated = records.where(F.col("year_published").isNotNull()).select(record, F.inline(within))
     teams = small_teams(affiliation, records, record, max_team_size).select(record, "contribution_id", "org_id")
-    teams = stage(join_split(teams, dated, [record]), "teams")
+    teams = gather_teams(stage(join_split(teams, dated, [record]), "lines"), [*by, record], "org_id")
     edges = stage(edges_of_teams(teams, record, by=by), "edges")
     ends = edges.select(*by, F.col("from").alias("org_id")).unionByName(edges.select(*by, F.col("to").alias("org_id"))).distinct()
     figures = join_split(ends, figures_of_teams(teams, record, by), [*by, "org_id"])
@@ -221,9 +310,13 @@ def top_pairs_unweighted(
     seeds = stage(sizes.orderBy(F.col("n").desc(), "org_id").limit(max(SEEDS, 2 * math.isqrt(n) + 2)), "seeds")
     top, worst = best(joint_records(present, seeds, None, 1, record))
     least = seeds.agg(F.min("n")).first()[0] or 1
+    done = None
     while True:
         least = max(1, least // 4, worst.nb_records if worst else 1)
-        top, worst = best(joint_records(present, sizes, worst, least, record))
+        # Nothing to pair anew where no organisation has so few records.
+        if done is None or not sizes.where((F.col("n") >= least) & (F.col("n") < done)).isEmpty():
+            top, worst = best(joint_records(present, sizes, worst, least, record))
+        done = least
         if least <= (worst.nb_records if worst else 1):
             return top
 

@@ -20,7 +20,7 @@ from citeloom.functions.predicates import drop_columns
 from citeloom.operators.grouping import distinct_on_key
 from citeloom.operators.joins import join_composite_id, union_all
 from citeloom.operators.keys import join_left_composite, surrogate_key
-from citeloom.plans.network import edges_of_teams, nodes_of_teams, small_teams
+from citeloom.plans.network import edges_of_teams, gather_teams, nodes_of_teams, small_teams
 from citeloom.plans.taxonomy import fields_of_study, link_categories, link_topics
 from citeloom.session import stage
 
@@ -238,7 +238,8 @@ def _tables(
         builders["categories_topics"] = lambda t: link_topics(fields_of_study(t["categories"], record), topics, record)
     if max_team_size is not None:
         builders |= {
-            "_teams": lambda t: stage(small_teams(_team_lines(t, record), t["records"], record, max_team_size), "teams"),
+            "_members": lambda t: stage(small_teams(_team_lines(t, record), t["records"], record, max_team_size), "lines"),
+            "_teams": lambda t: gather_teams(t["_members"], [record], "org_id"),
             "net_org_edges": lambda t: stage(edges_of_teams(t["_teams"], record), "edges"),
             "net_org_nodes": lambda t: nodes_of_teams(t["_teams"], t["net_org_edges"], t["organisations"], record),
         }

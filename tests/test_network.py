@@ -201,3 +201,39 @@ def test_edges_are_drawn_between_one_place_each(spark):
     locations = spark.createDataFrame(places, "org_id long, geonames_id long, lat double, lng double")
     got = rows(network.edge_lines(edges, locations), "from", "to", "lat_1", "lng_1", "lat_2", "lng_2")
     assert got == [(1, 2, 2.0, 2.5, 2.0, 2.5), (1, 3, 2.0, 2.5, 3.0, 3.5)]
+
+
+def test_pairs_are_made_once_and_inside_rows(spark, monkeypatch):
+    """Records of few lines are paired without a join, crowded ones by a join; both give the definition's network."""
+    rng = random.Random(4)
+    lines = [(r, a % 4, rng.randrange(12)) for r in range(60) for a in range(rng.randrange(1, 9))]
+    lines += [(60, a, a % 9) for a in range(200)]
+    want = {k: pytest.approx(v) for k, v in by_hand(lines, 300).items()}
+    df, joined = spark.createDataFrame(lines, SCHEMA), []
+    join_split = network.join_split
+
+    def noting(left, right, keys, how="inner"):
+        joined.append((how, left.select("lens_id").distinct().count() if "lens_id" in left.columns else 0))
+        return join_split(left, right, keys, how)
+
+    monkeypatch.setattr(network, "join_split", noting)
+    assert edge_weights(network.edges_of_teams(df)) == want
+    assert [n for how, n in joined if how == "inner"] == [1]
+
+
+def test_top_pairs_are_counted_anew_only_for_more_organisations(spark, monkeypatch):
+    """Organisations of about equal size are all paired in the first round, so one more would find nothing."""
+    rng = random.Random(6)
+    lines = [(r, a, rng.randrange(400)) for r in range(8000) for a in range(4)]
+    df, rounds = spark.createDataFrame(lines, SCHEMA), []
+    joint_records = network.joint_records
+    monkeypatch.setattr(network, "joint_records", lambda *a: rounds.append(a[3]) or joint_records(*a))
+    top = network.top_pairs_unweighted(df, network.team_sizes(df), 20, 20)
+    assert rows(top) == sorted(pairs_by_hand(lines, 20))
+    assert len(rounds) == 2
+
+
+def test_figures_of_crowded_and_other_records(spark):
+    lines = [(1, a, a % 3) for a in range(100)] + [(2, 1, 0), (2, 1, 0), (2, 2, 5)]
+    got = rows(network.figures_of_teams(spark.createDataFrame(lines, SCHEMA)))
+    assert got == [(0, pytest.approx(0.34 + 2 / 3), 2), (1, 0.33, 1), (2, 0.33, 1), (5, pytest.approx(1 / 3), 1)]

@@ -4,7 +4,7 @@ import os
 
 import pytest
 
-from citeloom.session import new_path, shared_dir, stage, staging
+from citeloom.session import new_path, shared_dir, spread, stage, staging
 
 
 def test_staged_tables_live_as_long_as_their_block(spark):
@@ -29,3 +29,18 @@ def test_staged_tables_go_when_the_block_fails(spark):
         spark.range(2).write.parquet(path)
         raise ValueError
     assert not os.path.exists(path.removeprefix("file:"))
+
+
+def test_shuffles_start_with_enough_partitions(spark):
+    """A query cuts its shuffles finely, and keeps a larger number of the session's own."""
+    names = ["spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.initialPartitionNum"]
+    before = [spark.conf.get(name, None) for name in names]
+    try:
+        spark.conf.unset(names[1])
+        spark.conf.set(names[0], "8")
+        assert spread(spark).conf.get(names[1]) == "400"
+        spark.conf.set(names[0], "1000")
+        assert spread(spark).conf.get(names[1]) == "1000"
+    finally:
+        for name, value in zip(names, before):
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)

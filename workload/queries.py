@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from citeloom.functions import nested, predicates, scalars
 from citeloom.operators import grouping, joins, keys, ranking
 from citeloom.plans import baseline, network, publications, registry, reports, searches, taxonomy
-from citeloom.session import new_path, stage, tune
+from citeloom.session import new_path, spread, stage, tune
 from citeloom.sources import codes, definitions, files
 from workload import oracle, star
 from workload.star import YEARS, load
@@ -20,7 +20,7 @@ _REGISTERED: dict[str, Query] = {}
 
 def query(fn: Query) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return fn(tune(spark), sf_dir)
+        return fn(spread(tune(spark)), sf_dir)
 
     run.__name__, run.__doc__ = fn.__name__, fn.__doc__
     _REGISTERED[fn.__name__] = run
