@@ -498,3 +498,27 @@ def test_licenses_merge_neighbouring_diagonals(spark):
 def test_licenses_run_no_python(tricky):
     plan = licenses.scan_licenses(tricky)._jdf.queryExecution().toString()
     assert not any(word in plan for word in ("Python", "Arrow", "Pandas"))
+
+
+def test_every_labelled_finding_trains_the_secret_network(spark, monkeypatch):
+    """Findings beyond one block are dealt over blocks that all take part; the result does not hang on partitions."""
+    monkeypatch.setattr(secrets, "BLOCK", 40)
+    monkeypatch.setattr(secrets, "ROUNDS", 2)
+    rng = random.Random(3)
+    draw = lambda alphabet, n: "".join(rng.choice(alphabet) for _ in range(n))
+    texts = [f"see page {draw('0123456789', 14)} and password = {draw('abcdef123', 9)} of {draw('abcdef', 5)}" for _ in range(90)]
+    rows = [(k, t) for k, t in enumerate(texts)]
+    found, blocks = [], secrets.finding_blocks
+
+    def noting(each, count):
+        out = blocks(each, count)
+        found.append((count, each.distinct().count(), sum(r.n for r in out.select("n").collect())))
+        return out
+
+    monkeypatch.setattr(secrets, "finding_blocks", noting)
+    results = [
+        sorted(tuple(r) for r in secrets.find_secrets(spark.createDataFrame(rows, "doc_id bigint, text string").repartition(n)).collect())
+        for n in (1, 5)
+    ]
+    assert all(count == 5 and all_of == 180 == dealt for count, all_of, dealt in found) and len(found) == 2
+    assert [r[:6] for r in results[0]] == [r[:6] for r in results[1]]
