@@ -211,9 +211,11 @@ def report_countries(tables: Tables, years: Years = None, top: int = 10) -> Repo
     named = join_lookup_code(filter_null_any(shares), tables["countries"], "country_code", "country_code", "country", {"??": "unknown"})
     # The table shows the countries of the map under their names there.
     on_map = named.drop("country").join(tables["countries"].select("country_code", F.col("admin").alias("country")), "country_code")
+    whole = join_lookup_code(filter_null_any(shares), tables["countries"].select("country_code", "admin"), "country_code", "country_code", "admin", {"??": "unknown"})
     most = on_map.agg(F.max("nb_records")).scalar()
     return {
         "table": sort_desc(on_map, ["nb_records"], ["country"]),
+        "whole": sort_desc(whole.withColumnRenamed("admin", "country"), ["nb_records"], ["country_code"]),
         "all": sort_desc(named, ["nb_records"], ["country_code"]),
         "top": top_n(named, [F.col("nb_records").desc_nulls_last(), F.col("country_code").asc_nulls_last()], top),
         "hero": _headline(named, F.sum("nb_records")),

@@ -117,4 +117,4 @@ def test_the_country_query_returns_every_country(spark, tmp_path):
     for name, listed in tables.items():
         spark.createDataFrame(listed, star.SCHEMAS[name]).write.parquet(f"{tmp_path}/{name}.parquet")
     got = queries.registered()["report_countries"](spark, str(tmp_path))
-    assert rows(got, "country_code", "country", "nb_records") == [("??", "unknown", 1), ("N24", None, 1), ("N5", "NATION 5", 1)]
+    assert rows(got, "country_code", "country", "nb_records") == [("??", "unknown", 1), ("N24", None, 1), ("N5", "State of NATION 5", 1)]

@@ -355,7 +355,7 @@ SELECT title, nb_records FROM titles ORDER BY nb_records DESC, title LIMIT 10"""
 SELECT round(regr_slope(nb_records, year_published), 4) AS slope, round(regr_intercept(nb_records, year_published), 2) AS intercept
 FROM yearly"""
     q["report_countries"] = f"""WITH {COUNTRY_REPORT}
-SELECT c.country_code, CASE WHEN c.country_code = '??' THEN 'unknown' ELSE k.country END AS country, nb_records, avg_nb_authors,
+SELECT c.country_code, CASE WHEN c.country_code = '??' THEN 'unknown' ELSE k.admin END AS country, nb_records, avg_nb_authors,
        median_nb_authors, avg_year, round(share_records, 6) AS share_records
 FROM clean c LEFT JOIN countries k USING (country_code)"""
     # The report table as readers see it: the countries on the map, under their names there.

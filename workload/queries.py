@@ -100,8 +100,8 @@ def _countries(spark, d):
 
 @query
 def report_countries(spark, d):
-    """Every country of the records, also those that are not on the map, and the unknown one."""
-    return _countries(spark, d)["all"].select(
+    """Every country of the records under the map's names, also those that are not on the map, and the unknown one."""
+    return _countries(spark, d)["whole"].select(
         "country_code", "country", "nb_records", "avg_nb_authors", "median_nb_authors", "avg_year", *_r6("share_records")
     )
 
