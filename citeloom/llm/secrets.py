@@ -364,7 +364,8 @@ def finding_blocks(each: DataFrame, blocks: int) -> DataFrame:
         packed = [v.astype(np.uint8).tobytes() for v in (x, y, s, known, apart)]
         return pa.table({"block": pa.array([block], pa.int64()), "n": pa.array([len(found)], pa.int64()), **{c: pa.array([v], pa.binary()) for c, v in zip("xyska", packed)}})
 
-    dealt = each.withColumn("block", F.pmod(F.xxhash64("window"), F.lit(blocks)))
+    # A stated number of partitions, as run-time merging would bring small blocks into one task.
+    dealt = each.withColumn("block", F.pmod(F.xxhash64("window"), F.lit(blocks))).repartition(blocks, "block")
     return dealt.groupBy("block").applyInArrow(gather, "block bigint, n bigint, x binary, y binary, s binary, k binary, a binary")
 
 
@@ -417,8 +418,7 @@ def learn(each: DataFrame) -> Network:
     if blocks <= 1:
         ordered = each.orderBy(F.xxhash64("window"), "window", "label").collect()
         return train((bytes(r[0]), r[1], r[2]) for r in ordered)
-    # A block is about a megabyte; few of them stand in one batch.
-    return train_blocks(stage(finding_blocks(each, blocks).repartition(blocks), "blocks"))
+    return train_blocks(stage(finding_blocks(each, blocks), "blocks"))
 
 
 _CANDIDATE = "array<struct<start:bigint,end:bigint,kind:string,shape:int,windows:binary,labelled:boolean>>"
