@@ -3,8 +3,9 @@
 import os
 
 import pytest
+from pyspark.sql import functions as F
 
-from citeloom.session import new_path, shared_dir, spread, stage, staging
+from citeloom.session import new_path, shared_dir, spread, stage, staging, tune
 
 
 def test_staged_tables_live_as_long_as_their_block(spark):
@@ -44,3 +45,22 @@ def test_shuffles_start_with_enough_partitions(spark):
     finally:
         for name, value in zip(names, before):
             spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+
+
+def test_scans_are_cut_as_finely_as_shuffles(spark):
+    """A task of a scan reads no more than a task of a shuffle, however large the table."""
+    names = ["spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes", "spark.sql.files.minPartitionNum"]
+    before = [spark.conf.get(name, None) for name in names]
+    try:
+        spark.conf.set(names[0], "128m")
+        tune(spark)
+        # About 120 MB in files of 15 MB, cheap to open and not cut for the number of cores, so that files share a part.
+        spark.conf.set(names[1], "0")
+        spark.conf.set(names[2], "1")
+        table = stage(spark.range(0, 8 * 240_000, numPartitions=8).select(F.sha2(F.col("id").cast("string"), 256).alias("text")), "wide")
+        rows = table.groupBy(F.spark_partition_id().alias("part")).count()
+        assert rows.agg(F.max("count")).first()[0] <= 2 * 240_000
+        assert spark.conf.get(names[0]) == "16m"
+    finally:
+        for name, value in zip(names, before):
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
