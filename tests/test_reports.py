@@ -118,3 +118,16 @@ def test_the_country_query_returns_every_country(spark, tmp_path):
         spark.createDataFrame(listed, star.SCHEMAS[name]).write.parquet(f"{tmp_path}/{name}.parquet")
     got = queries.registered()["report_countries"](spark, str(tmp_path))
     assert rows(got, "country_code", "country", "nb_records") == [("??", "unknown", 1), ("N24", None, 1), ("N5", "State of NATION 5", 1)]
+
+
+def test_headline_report_makes_the_records_once(spark, monkeypatch):
+    """Five of the reports read the records with their team sizes; these are grouped once for all of them."""
+    made = []
+
+    def counted(session, folder, make=star.records):
+        made.append(folder)
+        return make(session, folder)
+
+    monkeypatch.setattr(star, "records", counted)
+    heroes = queries.registered()["report_heroes"](spark, "/root/testdata/sf0.001")
+    assert heroes.count() == 6 and len(made) == 1

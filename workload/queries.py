@@ -38,8 +38,8 @@ def _r6(*cs: str) -> list[Column]:
 # --- reports --------------------------------------------------------------------------
 
 
-def _types(spark, d):
-    return reports.report_document_types({"records": star.records(spark, d)}, YEARS)
+def _types(spark, d, records=None):
+    return reports.report_document_types({"records": records or star.records(spark, d)}, YEARS)
 
 
 @query
@@ -56,8 +56,8 @@ def report_document_types_headings(spark, d):
     return reports.with_headings(top, "document_types")
 
 
-def _sources(spark, d):
-    tables = {"records": star.records(spark, d), "source": star.source(spark, d)}
+def _sources(spark, d, records=None):
+    tables = {"records": records or star.records(spark, d), "source": star.source(spark, d)}
     return reports.report_sources(tables, YEARS)
 
 
@@ -73,8 +73,8 @@ def report_sources_top(spark, d):
     return _sources(spark, d)["top"].select("title", "nb_records")
 
 
-def _years(spark, d):
-    return reports.report_years({"records": star.records(spark, d)}, YEARS)
+def _years(spark, d, records=None):
+    return reports.report_years({"records": records or star.records(spark, d)}, YEARS)
 
 
 @query
@@ -87,9 +87,9 @@ def trend_line(spark, d):
     return _years(spark, d)["trend"].select(F.round("slope", 4).alias("slope"), F.round("intercept", 2).alias("intercept"))
 
 
-def _countries(spark, d):
+def _countries(spark, d, records=None):
     tables = {
-        "records": star.records(spark, d),
+        "records": records or star.records(spark, d),
         "contribution": star.contribution(spark, d),
         "affiliation": star.affiliation(spark, d).select("contribution_id", "org_id"),
         "organisations": star.organisations(spark, d),
@@ -162,8 +162,8 @@ def bin_values(spark, d):
     return _countries(spark, d)["map"].select("country_code", "nb_records", F.col("bin").cast("long").alias("bin"))
 
 
-def _funders(spark, d):
-    tables = {"records": star.records(spark, d), "funding": star.funding(spark, d)}
+def _funders(spark, d, records=None):
+    tables = {"records": records or star.records(spark, d), "funding": star.funding(spark, d)}
     return reports.report_funders(tables), tables
 
 
@@ -244,13 +244,14 @@ def domain_match_classes(spark, d):
 
 @query
 def report_heroes(spark, d):
-    """The headline figure of each grouped report."""
+    """The headline figure of each grouped report; the records with their team sizes are made once for all."""
+    records = stage(star.records(spark, d), "records")
     heroes = {
-        "document_types": _types(spark, d)["hero"],
-        "sources": _sources(spark, d)["hero"],
-        "years": _years(spark, d)["hero"],
-        "countries": _countries(spark, d)["hero"],
-        "funders": _funders(spark, d)[0]["hero"],
+        "document_types": _types(spark, d, records)["hero"],
+        "sources": _sources(spark, d, records)["hero"],
+        "years": _years(spark, d, records)["hero"],
+        "countries": _countries(spark, d, records)["hero"],
+        "funders": _funders(spark, d, records)[0]["hero"],
         "domains_disciplines": _domains(spark, d)["hero"],
     }
     return joins.union_all(*[df.select(F.lit(name).alias("report"), "hero") for name, df in heroes.items()])
