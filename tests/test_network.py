@@ -237,3 +237,55 @@ def test_figures_of_crowded_and_other_records(spark):
     lines = [(1, a, a % 3) for a in range(100)] + [(2, 1, 0), (2, 1, 0), (2, 2, 5)]
     got = rows(network.figures_of_teams(spark.createDataFrame(lines, SCHEMA)))
     assert got == [(0, pytest.approx(0.34 + 2 / 3), 2), (1, 0.33, 1), (2, 0.33, 1), (5, pytest.approx(1 / 3), 1)]
+
+
+def staged_labels(monkeypatch, module):
+    labels = []
+
+    def spy(df, label="stage", *more, make=module.stage):
+        labels.append(label)
+        return make(df, label, *more)
+
+    monkeypatch.setattr(module, "stage", spy)
+    return labels
+
+
+def test_network_gathers_teams_before_the_bound(spark, monkeypatch):
+    """Lines are not written out to find the small teams; the crowded record goes through the join, the large one is left out."""
+    lines = [(1, 1, 10), (1, 2, 20), (1, 2, 20), (2, 1, 10), (2, 1, 20), (2, 2, 10), (None, 1, 10), (None, 2, 30), (3, 1, None), (3, 2, 10)]
+    lines += [(4, a, a) for a in range(21)] + [(5, a, a) for a in range(90)] + [(6, a % 3, a) for a in range(70)]
+    df = spark.createDataFrame(lines, SCHEMA)
+    organisations = spark.createDataFrame([(o, f"o{o}") for o in range(90)], "org_id long, name string")
+    labels = staged_labels(monkeypatch, network)
+    edges, nodes = network.collaboration_network(df, network.team_sizes(df), organisations, 20)
+    want = {k: pytest.approx(v) for k, v in by_hand([x for x in lines if x[0] is not None]).items()}
+    assert edge_weights(edges) == want and want
+    assert rows(nodes.where("org_id in (10, 20)"), "org_id", "nb_records") == [(10, 4), (20, 3)]
+    assert "lines" not in labels and "crowd" in labels
+
+
+def test_files_of_teams_are_bounded_in_rows(spark, monkeypatch):
+    """The memory of a task that adds up pairs goes with its rows, however well their bytes are packed."""
+    monkeypatch.setattr(network, "TEAMS_PER_FILE", 50, raising=False)
+    df = spark.range(2000).select(F.col("id").alias("lens_id"), F.explode(F.array(*[F.lit(k).cast("long") for k in (1, 2, 3)])).alias("contribution_id"))
+    teams = network.gather_teams(df.withColumn("org_id", F.col("contribution_id")), ["lens_id"], "org_id").rows
+    files = teams.groupBy(F.input_file_name().alias("file")).count()
+    assert files.agg(F.max("count"), F.sum("count")).first() == (50, 2000)
+
+
+def test_authors_of_organisations_of_their_own_are_paired_by_line(spark, monkeypatch):
+    """Sets are made only where an author has several organisations and an organisation several authors."""
+    lines = [(1, 1, 10), (1, 1, 11), (1, 1, 11), (1, 2, 20), (1, 3, 30), (1, 3, 31), (1, 3, 32), (2, 1, 10), (2, 1, 20), (3, 1, 10), (3, 2, 10), (3, 2, 10)]
+    lines += [(4, None, 10), (4, None, 20), (4, 1, 30)]
+    seen = []
+
+    def spy(df, by, make=network._set_pairs):
+        seen.append(df)
+        return make(df, by)
+
+    monkeypatch.setattr(network, "_set_pairs", spy)
+    df = spark.createDataFrame(lines, SCHEMA)
+    records = df.select("lens_id").distinct().withColumn("nb_authors", F.lit(3))
+    got = edge_weights(network.collaboration_edges(df, records, 20))
+    assert got == {k: pytest.approx(v) for k, v in by_hand([(r, a or 0, o) for r, a, o in lines]).items()}
+    assert [df.count() for df in seen] == [0]
