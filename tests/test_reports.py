@@ -131,3 +131,16 @@ def test_headline_report_makes_the_records_once(spark, monkeypatch):
     monkeypatch.setattr(star, "records", counted)
     heroes = queries.registered()["report_heroes"](spark, "/root/testdata/sf0.001")
     assert heroes.count() == 6 and len(made) == 1
+
+
+def test_second_headline_report_counts_team_sizes_once(spark, monkeypatch):
+    """The bound of the network and the records of the funders read the same team sizes."""
+    made = []
+
+    def counted(df, *more, make=star.team_sizes):
+        made.append(df)
+        return make(df, *more)
+
+    monkeypatch.setattr(star, "team_sizes", counted)
+    heroes = queries.registered()["report_heroes_more"](spark, "/root/testdata/sf0.001")
+    assert heroes.count() == 5 and len(made) == 1

@@ -259,9 +259,13 @@ def report_heroes(spark, d):
 
 @query
 def report_heroes_more(spark, d):
-    """Headline figures of the remaining reports, and the totals that the domain report shows beside its own."""
-    funding = {"records": star.records(spark, d), "funding": star.funding(spark, d)}
-    net, domains = star.network(spark, d), _domains(spark, d)
+    """Headline figures of the remaining reports, and the totals that the domain report shows beside its own.
+
+    The team sizes are counted once, for the records and for the bound of the network.
+    """
+    sizes = stage(star.team_records(spark, d), "sizes")
+    funding = {"records": star.records(spark, d, sizes), "funding": star.funding(spark, d)}
+    net, domains = star.network(spark, d, sizes), _domains(spark, d)
     heroes = {
         "fund_recipients": reports.report_fund_recipients(funding)["hero"],
         "collaborations": reports.report_collaborations(net, limit=1.0)["hero"],

@@ -54,11 +54,13 @@ def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
-def records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orders as records; a record without lines has no known team size."""
-    teams = load(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.count_distinct("l_linenumber").alias("nb_authors"))
-    facts = record_facts(spark, sf_dir)
-    return facts.join(teams.withColumnRenamed("l_orderkey", "lens_id"), "lens_id", "left")
+def records(spark: SparkSession, sf_dir: str, sizes: DataFrame | None = None) -> DataFrame:
+    """Orders as records; a record without lines has no known team size.
+
+    ``sizes`` are the team sizes where they are at hand already.
+    """
+    teams = team_records(spark, sf_dir) if sizes is None else sizes
+    return record_facts(spark, sf_dir).join(teams, "lens_id", "left")
 
 
 def record_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -225,9 +227,10 @@ def typed_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return typed.withColumnRenamed("year_published", "year")
 
 
-def network(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """Stored network tables and what the collaboration reports read besides."""
-    edges, nodes = collaboration_network(team_lines(spark, sf_dir), team_records(spark, sf_dir), organisations(spark, sf_dir), MAX_TEAM_SIZE)
+def network(spark: SparkSession, sf_dir: str, sizes: DataFrame | None = None) -> dict[str, DataFrame]:
+    """Stored network tables and what the collaboration reports read besides; ``sizes`` as in ``records``."""
+    teams = team_records(spark, sf_dir) if sizes is None else sizes
+    edges, nodes = collaboration_network(team_lines(spark, sf_dir), teams, organisations(spark, sf_dir), MAX_TEAM_SIZE)
     return {
         "net_org_edges": edges,
         "net_org_nodes": stage(nodes, "nodes"),
