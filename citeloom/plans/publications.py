@@ -237,7 +237,10 @@ def _tables(
     if topics is not None:
         builders["categories_topics"] = lambda t: link_topics(fields_of_study(t["categories"], record), topics, record)
     if max_team_size is not None:
+        numbered = builders["affiliation"]
         builders |= {
+            # The network reads the lines too, so their organisations are looked up once for both.
+            "affiliation": lambda t: stage(numbered(t), "affiliation"),
             "_members": lambda t: stage(small_teams(_team_lines(t, record), t["records"], record, max_team_size), "lines"),
             "_teams": lambda t: gather_teams(t["_members"], [record], "org_id"),
             "net_org_edges": lambda t: stage(edges_of_teams(t["_teams"], record), "edges"),

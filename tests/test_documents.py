@@ -228,3 +228,21 @@ def test_pages_of_one_file_are_ordered_by_their_number(spark, tmp_path):
     (tmp_path / "pages.json").write_text("\n".join(map(json.dumps, lines)))
     got = files.scan_paged_append(spark, str(tmp_path), "id long, score double", "score", first_page=True)
     assert rows(got, "id", "score") == [(1, 8.0), (2, 0.5), (3, 0.5), (4, 8.0)]
+
+
+def test_organisations_of_affiliations_are_looked_up_once_for_the_network(spark, tmp_path, monkeypatch):
+    """The lines that the network reads and the table of affiliations are one staged table."""
+    labels = []
+
+    def spy(df, label="stage", *more, make=publications.stage):
+        labels.append(label)
+        return make(df, label, *more)
+
+    monkeypatch.setattr(publications, "stage", spy)
+    path = tmp_path / "pubs.jsonl"
+    org = {"name": "A", "country_code": "N1", "grid_id": "g1"}
+    path.write_text(json.dumps({"lens_id": "P1", "author_count": 2, "authors": [{"affiliations": [org]}, {"affiliations": [{**org, "name": "B"}]}]}))
+    made = publications.build_publication_tables(files.scan_nested_json(spark, str(path), schemas.PUBLICATION), max_team_size=20)
+    assert rows(made["affiliation"], "affiliation_id", "contribution_id", "org_id") == [("P1#1#1", "P1#1", 0), ("P1#2#1", "P1#2", 1)]
+    assert rows(made["net_org_edges"], "from", "to", "is_ext", "weight") == [(0, 1, True, 1.0)]
+    assert labels.count("affiliation") == 1
