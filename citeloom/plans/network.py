@@ -28,10 +28,10 @@ def small_teams(affiliation: DataFrame, records: DataFrame, record: str, max_tea
     it are left out. ``None`` is no bound, and then only the record has to be known.
     """
     known = affiliation.where(F.col(record).isNotNull())
-    return join_split(known, _small_records(records, record, max_team_size), [record], "left_semi")
+    return join_split(known, records_within(records, record, max_team_size), [record], "left_semi")
 
 
-def _small_records(records: DataFrame, record: str, max_team_size: int | None) -> DataFrame:
+def records_within(records: DataFrame, record: str, max_team_size: int | None) -> DataFrame:
     """The known records within the bound, once each."""
     within = records if max_team_size is None else records.where(F.col("nb_authors") <= max_team_size)
     return within.select(record).where(F.col(record).isNotNull()).distinct()
@@ -87,7 +87,7 @@ def gather_small_teams(
     finding the records within the bound neither moves nor sorts the lines once more. ``affiliation`` is
     read twice: stage it first where that is dear.
     """
-    within = _small_records(records, record, max_team_size)
+    within = records_within(records, record, max_team_size)
     rows, crowd = _gathered(affiliation.where(F.col(record).isNotNull()), [record], unit)
     # One row per record on both sides: no key is hot, and both are dealt out by the record already.
     rows = stage(rows.join(within, record, "left_semi"), "teams", TEAMS_PER_FILE)

@@ -11,7 +11,7 @@ table reads the nested columns it needs and nothing else.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator, Mapping
+from collections.abc import Callable, Iterator, Mapping, Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
@@ -20,9 +20,9 @@ from citeloom.functions.predicates import drop_columns
 from citeloom.operators.grouping import distinct_on_key
 from citeloom.operators.joins import join_composite_id, union_all
 from citeloom.operators.keys import join_left_composite, surrogate_key
-from citeloom.plans.network import edges_of_teams, gather_teams, nodes_of_teams, small_teams
+from citeloom.plans.network import edges_of_teams, gather_teams, nodes_of_teams, records_within, small_teams
 from citeloom.plans.taxonomy import fields_of_study, link_categories, link_topics
-from citeloom.session import stage
+from citeloom.session import discard, noting, stage
 
 # What stands for a missing source field, country, registry id or name.
 OTHER = "other"
@@ -163,30 +163,73 @@ class LazyTables(Mapping[str, DataFrame]):
     """Tables by name, each made when it is first asked for.
 
     A builder gets the mapping itself, so that tables are made from one another. Names with an
-    underscore are steps between and are not listed.
+    underscore are steps between and are not listed; ``readers`` has the tables and staged steps that read the files of a step.
     """
 
-    def __init__(self, builders: Mapping[str, Builder]) -> None:
-        self._builders, self._made = dict(builders), {}
+    def __init__(self, builders: Mapping[str, Builder], readers: Mapping[str, Sequence[str]] | None = None) -> None:
+        self._builders, self._made, self._paths = dict(builders), {}, {}
         self._names = [name for name in self._builders if not name.startswith("_")]
+        self._readers = {step: [r for r in listed if r in self._builders] for step, listed in (readers or {}).items()}
 
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self._made:
-            self._made[name] = self._builders[name](self)
+            with noting() as self._paths[name]:
+                self._made[name] = self._builders[name](self)
         return self._made[name]
 
+    def in_turn(self) -> Iterator[tuple[str, DataFrame]]:
+        """The listed tables with their names, each to be read before the next is asked for.
+
+        A step is deleted once all its tables are read and the steps made from it are staged. So
+        the disk does not hold all steps together, and the mapping can not be used after.
+        """
+        read = set()
+        for name in self._names:
+            yield name, self[name]
+            read.add(name)
+            for step, readers in self._readers.items():
+                tables = [r for r in readers if not r.startswith("_")]
+                if step not in self._paths or not read.issuperset(tables):
+                    continue
+                between = [r for r in readers if r.startswith("_")]
+                if tables:
+                    for r in between:
+                        self[r]
+                if all(r in self._made for r in between):
+                    for path in self._paths.pop(step):
+                        discard(self._made[step].sparkSession, path)
+
     def __iter__(self) -> Iterator[str]:
         return iter(self._names)
 
     def __len__(self) -> int:
         return len(self._names)
 
+    def land(self) -> LazyTables:
+        """The same tables, with the documents read: their files may go."""
+        self["_documents"]
+        return self
+
     def only(self, *names: str) -> LazyTables:
         """The same tables, of which only some are listed."""
         self._names = list(names)
         return self
 
 
+#: The tables and staged steps that read the files of a step.
+READERS = {
+    "_documents": [
+        "records_id", "source_issn", "records", "categories", "funding", "categories_concepts", "categories_topics",
+        "_sources", "_authors", "_within",
+    ],
+    "_authors": ["contribution", "contributors_id", "_lines", "_small"],
+    "_lines": ["affiliation", "_organisations", "_described"],
+    "_within": ["_small"],
+    "_small": ["_members"],
+    "_members": ["_teams"],
+}
+
+
 def build_publication_tables(
     pubs: DataFrame, registry: Mapping[str, DataFrame] | None = None, record: str = "lens_id",
     concepts: DataFrame | None = None, topics: DataFrame | None = None, max_team_size: int | None = None,
@@ -219,37 +262,44 @@ def _tables(
         "source_issn": lambda t: source_issn(t["_documents"], t["_sources"], record),
         "records": lambda t: build_records(t["_documents"], t["_sources"], record),
         "categories": lambda t: build_categories(t["_documents"], record),
-        "contribution": lambda t: contributions(t["_authors"], record),
-        "contributors_id": lambda t: typed_ids(t["_authors"], "contribution_id"),
-        "affiliation": lambda t: join_left_composite(
-            drop_columns(t["_lines"], ["ids"]), t["_organisations"], ORGANISATION_KEY, "org_id"
-        ).select("affiliation_id", "contribution_id", "org_id"),
-        "organisations": lambda t: t["_described"].select("org_id", "name", "country_code", array_length("ids").alias("nb_ids")),
-        "organisations_id": lambda t: typed_ids(t["_described"], "org_id"),
         "funding": lambda t: build_funding(t["_documents"], record),
     }
-    if registry is not None:
-        builders["locations"] = lambda t: build_locations(t["organisations_id"], registry)
+    # Tables of the documents come first, those of authors last, so that steps can go early.
     if concepts is not None:
         builders["categories_concepts"] = lambda t: drop_columns(
             link_categories(fields_of_study(t["categories"], record), concepts, record, "value", "raw_display_name"), ["raw_display_name"]
         )
     if topics is not None:
         builders["categories_topics"] = lambda t: link_topics(fields_of_study(t["categories"], record), topics, record)
+
+    def numbered(t: LazyTables) -> DataFrame:
+        lines = join_left_composite(drop_columns(t["_lines"], ["ids"]), t["_organisations"], ORGANISATION_KEY, "org_id")
+        return lines.select("affiliation_id", "contribution_id", "org_id")
+
+    builders |= {
+        # The network reads the lines too, so their organisations are looked up once for both.
+        "affiliation": numbered if max_team_size is None else lambda t: stage(numbered(t), "affiliation"),
+        "organisations": lambda t: t["_described"].select("org_id", "name", "country_code", array_length("ids").alias("nb_ids")),
+        "organisations_id": lambda t: typed_ids(t["_described"], "org_id"),
+    }
+    if registry is not None:
+        builders["locations"] = lambda t: build_locations(t["organisations_id"], registry)
+    builders |= {
+        "contribution": lambda t: contributions(t["_authors"], record),
+        "contributors_id": lambda t: typed_ids(t["_authors"], "contribution_id"),
+    }
     if max_team_size is not None:
-        numbered = builders["affiliation"]
         builders |= {
-            # The network reads the lines too, so their organisations are looked up once for both.
-            "affiliation": lambda t: stage(numbered(t), "affiliation"),
-            "_members": lambda t: stage(small_teams(_team_lines(t, record), t["records"], record, max_team_size), "lines"),
+            "_within": lambda t: stage(records_within(t["records"], record, max_team_size), "within"),
+            "_small": lambda t: stage(small_teams(t["contribution"].select(record, "contribution_id"), t["_within"], record, None), "small"),
+            "_members": lambda t: stage(_team_lines(t["_small"], t["affiliation"]), "lines"),
             "_teams": lambda t: gather_teams(t["_members"], [record], "org_id"),
             "net_org_edges": lambda t: stage(edges_of_teams(t["_teams"], record), "edges"),
             "net_org_nodes": lambda t: nodes_of_teams(t["_teams"], t["net_org_edges"], t["organisations"], record),
         }
-    return LazyTables(builders)
+    return LazyTables(builders, READERS)
 
 
-def _team_lines(tables: Mapping[str, DataFrame], record: str) -> DataFrame:
+def _team_lines(authors: DataFrame, affiliation: DataFrame) -> DataFrame:
     """Every author of a record with each of the organisations; authors without one keep a row."""
-    authors = tables["contribution"].select(record, "contribution_id")
-    return authors.join(tables["affiliation"].select("contribution_id", "org_id"), "contribution_id", "left")
+    return authors.join(affiliation.select("contribution_id", "org_id"), "contribution_id", "left")

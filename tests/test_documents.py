@@ -1,15 +1,22 @@
 """Nested documents, the registry, and files in every supported layout."""
 
+import glob
 import gzip
 import json
+import os
+from collections import Counter
 
+import duckdb
 import pytest
 
 from pyspark.sql import functions as F
 
+from citeloom import session
 from citeloom.plans import publications, registry, taxonomy
 from citeloom.sources import definitions, files, schemas
 from tests.conftest import rows
+from tests.oracle_check import compare
+from workload import oracle, queries
 
 AUTHOR_CASES = [
     {"lens_id": "1", "author_count": 3, "source": {"title": "J", "issn": [{"type": "print", "value": "1"}]},
@@ -246,3 +253,94 @@ def test_organisations_of_affiliations_are_looked_up_once_for_the_network(spark,
     assert rows(made["affiliation"], "affiliation_id", "contribution_id", "org_id") == [("P1#1#1", "P1#1", 0), ("P1#2#1", "P1#2", 1)]
     assert rows(made["net_org_edges"], "from", "to", "is_ext", "weight") == [(0, 1, True, 1.0)]
     assert labels.count("affiliation") == 1
+
+
+def folders(spark):
+    return os.listdir(session.shared_dir(spark).removeprefix("file:"))
+
+
+def test_steps_leave_the_disk_once_nothing_reads_them(spark, tables, tmp_path):
+    """Tables asked for in turn are those of the mapping, and the steps between do not lie on the disk together."""
+    path = tmp_path / "pubs.json"
+    org = {"country_code": "FR", "grid_id": None}
+    teams = [
+        {"lens_id": n, "author_count": size, "authors": [{"affiliations": [{**org, "name": x} for x in names]} for names in authors]}
+        for n, size, authors in (("4", 2, ["A", "BC"]), ("5", 40, ["A", "D"]), ("4", 2, ["B", "D"]), (None, 2, ["A", "E"]))
+    ]
+    path.write_text("\n".join(json.dumps(d) for d in AUTHOR_CASES + teams))
+    documents = files.scan_nested_json(spark, str(path), schemas.PUBLICATION)
+    nodes = spark.createDataFrame([("C1", 0, "a", "a")], "category_id string, level int, display_name string, raw_display_name string")
+    concepts = taxonomy.resolve_hierarchy(nodes, spark.createDataFrame([], "category_id string, parent string"))
+
+    def made():
+        return publications.build_publication_tables(documents, tables, concepts=concepts, max_team_size=20)
+
+    with session.staging(spark):
+        plain = made()
+        expected = {name: Counter(map(str, plain[name].collect())) for name in plain}
+    earlier, found, lying = set(folders(spark)), {}, {}
+    with session.staging(spark):
+        for name, table in made().in_turn():
+            lying[name] = {f.split("-")[0] for f in set(folders(spark)) - earlier}
+            found[name] = Counter(map(str, table.collect()))
+    assert found == expected and len(found) == 15
+    assert "documents" in lying["categories_concepts"] and "documents" not in lying["affiliation"]
+    assert "affiliations" in lying["affiliation"] and "affiliations" not in lying["contribution"]
+    assert "authors" in lying["contributors_id"] and not {"authors", "within"} & lying["net_org_edges"]
+    assert {"teams", "edges"} <= lying["net_org_nodes"] and not {"lines", "small", "authors", "documents"} & lying["net_org_nodes"]
+
+
+def test_a_step_stays_while_a_table_reads_it(spark):
+    """Steps made inside other steps keep their files when those go."""
+    def step(label, *below):
+        return lambda t: session.stage(t[below[0]] if below else spark.range(3), label)
+
+    def table(step):
+        return lambda t: t[step].withColumnRenamed("id", "n")
+
+    builders = {"_low": step("low"), "_high": step("high", "_low"), "first": table("_high"), "second": table("_low")}
+    made = publications.LazyTables(builders, {"_low": ["second", "_high"], "_high": ["first"]})
+    earlier, seen = set(folders(spark)), []
+    with session.staging(spark):
+        for name, df in made.in_turn():
+            seen.append((name, rows(df, "n"), sorted(f.split("-")[0] for f in set(folders(spark)) - earlier)))
+        assert set(folders(spark)) == earlier
+    numbers = [(0,), (1,), (2,)]
+    assert seen == [("first", numbers, ["high", "low"]), ("second", numbers, ["low"])]
+
+
+STAR_ROWS = {
+    "region": "SELECT i::INT AS r_regionkey, 'REGION ' || i AS r_name FROM range(2) r(i)",
+    "nation": "SELECT i::INT AS n_nationkey, 'NATION ' || i AS n_name, (i % 2)::INT AS n_regionkey FROM range(5) r(i)",
+    "supplier": "SELECT i AS s_suppkey, 'Supplier#' || i AS s_name, (i % 5)::INT AS s_nationkey, 10e0 * i - 20 AS s_acctbal FROM range(7) r(i)",
+    "customer": "SELECT i AS c_custkey, 'Customer#' || i AS c_name, (i % 5)::INT AS c_nationkey, 100e0 * i - 300 AS c_acctbal,"
+    " ['BUILDING', 'MACHINERY', 'FURNITURE'][i % 3 + 1] AS c_mktsegment FROM range(11) r(i)",
+    "orders": "SELECT i AS o_orderkey, i % 11 AS o_custkey, ['O', 'F', 'P'][i % 3 + 1] AS o_orderstatus, 1000e0 * i AS o_totalprice,"
+    " TIMESTAMP '1996-01-01' + to_days((i * 17)::INT) AS o_orderdate, '1-URGENT' AS o_orderpriority FROM range(300) r(i)",
+}
+
+
+def test_documents_of_the_query_are_packed_and_go_when_they_are_read(spark, tmp_path, monkeypatch):
+    """JSON parts are packed and small, and after the call only the sums of the tables lie on the disk."""
+    con = duckdb.connect()
+    for name, sql in STAR_ROWS.items():
+        con.execute(f"COPY ({sql}) TO '{tmp_path}/{name}.parquet'")
+        con.execute(f"CREATE VIEW {name} AS SELECT * FROM '{tmp_path}/{name}.parquet'")
+    parts, steps = [], []
+
+    def watched(spark, path):
+        steps.append([f.split("-")[0] for f in set(folders(spark)) - earlier])
+        for part in glob.glob(f"{path.removeprefix('file:')}/part-*"):
+            with gzip.open(part) as f:
+                parts.append((part.endswith(".json.gz"), len(f.readlines())))
+        session.discard(spark, path)
+
+    monkeypatch.setattr(queries, "discard", watched)
+    monkeypatch.setattr(queries, "DOCUMENTS_PER_FILE", 64)
+    earlier = set(folders(spark))
+    sums = queries.registered()["build_publication_tables"](spark, str(tmp_path))
+    assert sum(n for _, n in parts) == 300 and all(packed and n <= 64 for packed, n in parts)
+    assert set(steps[0]) == {"json", "hierarchy", "topics", "documents"}
+    left = set(folders(spark)) - earlier
+    assert len(left) == 16 and {f.split("-")[0] for f in left} == {"summary"}
+    assert compare(sums, con, oracle.statements()["build_publication_tables"]) is None

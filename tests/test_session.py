@@ -1,11 +1,12 @@
 """Staged tables and their owner."""
 
 import os
+import time
 
 import pytest
 from pyspark.sql import functions as F
 
-from citeloom.session import new_path, shared_dir, spread, stage, staging, tune
+from citeloom.session import new_path, noting, shared_dir, shuffles_dropped, spread, stage, staging, tune
 
 
 def test_staged_tables_live_as_long_as_their_block(spark):
@@ -64,3 +65,51 @@ def test_scans_are_cut_as_finely_as_shuffles(spark):
     finally:
         for name, value in zip(names, before):
             spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+
+
+def test_summaries_outlive_the_block_they_are_staged_in(spark):
+    with staging(spark):
+        with staging(spark):
+            kept = stage(spark.range(4), "kept", outlives=True)
+            gone = new_path(spark, "gone")
+            spark.range(1).write.parquet(gone)
+        assert kept.count() == 4 and not os.path.exists(gone.removeprefix("file:"))
+    with pytest.raises(Exception, match="PATH|exist|FAILED_READ"):
+        kept.collect()
+
+
+def test_noted_paths_are_those_of_the_innermost_block(spark):
+    with staging(spark):
+        with noting() as outer:
+            first = new_path(spark, "first")
+            with noting() as inner:
+                second = new_path(spark, "second")
+            spark.range(1).write.parquet(second)
+        assert (outer, inner) == ([first], [second]) and os.path.exists(second.removeprefix("file:"))
+    assert not os.path.exists(second.removeprefix("file:"))
+
+
+def shuffle_files(spark):
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return {files.apply(i).getName() for i in range(files.size()) if files.apply(i).getName().startswith("shuffle_")}
+
+
+def test_shuffle_files_go_with_their_query(spark):
+    """Inside the block, whether or not the driver has collected anything as garbage; the setting is put back."""
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    setting = spark.conf.get(name)
+
+    def left(label):
+        before = shuffle_files(spark)
+        counted = stage(spark.range(0, 20_000, numPartitions=4).groupBy((F.col("id") % 5_000).alias("k")).count(), label)
+        assert counted.agg(F.sum("count")).first()[0] == 20_000
+        return before
+
+    with staging(spark), shuffles_dropped(spark):
+        before = left("dropped")
+        for _ in range(50):  # they are deleted beside the driver's work
+            if not shuffle_files(spark) - before:
+                break
+            time.sleep(0.1)
+        assert not shuffle_files(spark) - before
+    assert spark.conf.get(name) == setting

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from citeloom.functions import nested, predicates, scalars
 from citeloom.operators import grouping, joins, keys, ranking
 from citeloom.plans import baseline, network, publications, registry, reports, searches, taxonomy
-from citeloom.session import new_path, spread, stage, tune
+from citeloom.session import discard, new_path, shuffles_dropped, spread, stage, staging, tune
 from citeloom.sources import codes, definitions, files
 from workload import oracle, star
 from workload.star import YEARS, load
@@ -619,29 +619,38 @@ def registry_match(spark, d):
     return publications.build_locations(_contributions(spark, d)["organisations_id"], tables)
 
 
+#: Documents in a file of JSON lines. A gzip part is read by one task, so a part stays small.
+DOCUMENTS_PER_FILE = 16_384
+
+
 def publication_tables(spark, d):
     """All project tables, made from documents that were written as JSON lines."""
     path = new_path(spark, "json")
     pubs = star.publications(spark, d)
-    pubs.write.json(path)
-    return publications.build_publication_tables(
+    pubs.write.option("compression", "gzip").option("maxRecordsPerFile", DOCUMENTS_PER_FILE).json(path)
+    tables = publications.build_publication_tables(
         files.scan_nested_json(spark, path, pubs.schema), registry.registry_tables(star.registry(spark, d)),
         concepts=stage(star.hierarchy(spark, d), "hierarchy"), topics=_shared_topics(spark, d), max_team_size=star.MAX_TEAM_SIZE,
-    )
+    ).land()
+    discard(spark, path)
+    return tables
 
 
 @query
 def build_publication_tables(spark, d):
-    """Per project table its number of rows and a sum of row digests, whatever their order."""
-    tables = publication_tables(spark, d)
+    """Per project table its number of rows and a sum of row digests, whatever their order.
 
-    def summary(name: str) -> DataFrame:
+    The tables are summed up one after the other, so that the disk holds the shuffles of one and the steps still needed.
+    """
+    def summary(name: str, table: DataFrame) -> DataFrame:
         text = F.concat_ws("|", *[F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("~")) for c in oracle.PUBLICATION_DIGESTS[name]])
         digest = F.conv(F.substring(F.md5(text.cast("binary")), 1, 8), 16, 10).cast("bigint")
-        rows = tables[name].agg(F.count(F.lit(1)).alias("nb_rows"), F.sum(digest).alias("digest"))
+        rows = table.agg(F.count(F.lit(1)).alias("nb_rows"), F.sum(digest).alias("digest"))
         return rows.select(F.lit(name).alias("name"), "nb_rows", "digest")
 
-    return joins.union_all(*[summary(name) for name in tables])
+    with staging(spark), shuffles_dropped(spark):
+        tables = publication_tables(spark, d)
+        return joins.union_all(*[stage(summary(*each), "summary", outlives=True) for each in tables.in_turn()])
 
 
 # --- registry -------------------------------------------------------------------------
